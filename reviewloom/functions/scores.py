@@ -14,14 +14,14 @@ SEVERITY = {"No safeguarding": 0, "Possibly Concerning": 1, "Strongly Concerning
 def json_string(text: Column | str) -> Column:
     """A JSON string literal holding the text."""
     wrapped = F.to_json(F.struct(F.col(text).alias("v") if isinstance(text, str) else text.alias("v")))
-    return F.regexp_replace(wrapped, r'(?s)^\{"v":(.*)\}\z', "$1")
+    return F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)  # what {"v":...} holds
 
 
 def decode_json_string(literal: Column | str) -> Column:
     """Text of a JSON string literal; null when the line is not one."""
     c = F.col(literal) if isinstance(literal, str) else literal
-    stripped = F.regexp_replace(c, r"^\s+|\s+$", "")
-    is_literal = stripped.rlike(r'(?s)^".*"\z')
+    stripped = F.btrim(c, F.lit(" \t\r\n"))
+    is_literal = stripped.startswith('"') & stripped.endswith('"') & (F.length(stripped) > 1)
     return F.when(is_literal, F.get_json_object(F.concat(F.lit('{"v":'), stripped, F.lit("}")), "$.v"))
 
 

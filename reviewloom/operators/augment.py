@@ -32,13 +32,6 @@ def shuffled_sentences(seed: int = DEFAULT_SEED) -> Rewriter:
     return rewrite
 
 
-def _swap(word: Column, draw: Column, rate: float, stop: list[str], replacement: Column) -> Column:
-    eligible = draw < F.lit(rate)
-    if stop:
-        eligible = eligible & ~F.lower(word).isin(stop)
-    return F.when(eligible, F.coalesce(replacement, word)).otherwise(word)
-
-
 def substituted_words(
     synonyms: Mapping[str, str], rate: float = 0.05, stopwords: Iterable[str] = (), seed: int = DEFAULT_SEED
 ) -> Rewriter:
@@ -48,20 +41,21 @@ def substituted_words(
     rest is re-joined by ``". "``. For dictionaries of up to a thousand entries; ``substitute_words``
     takes any size.
     """
-    stop = sorted(set(stopwords))
-    table = F.create_map(*[F.lit(x) for kv in sorted(synonyms.items()) for x in kv])
+    stop = set(stopwords)
+    table = {word: synonym for word, synonym in sorted(synonyms.items()) if word not in stop}
+    if not table:
+        table = {"": ""}
+    replacement = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    known = list(table)
 
     def rewrite(row_id: Column, text: Column, copy: Column) -> Column:
+        def word(w: Column, i: Column, j: Column) -> Column:
+            # The draw is made only for words that could change.
+            swap = F.lower(w).isin(known) & (uniform(seed, row_id, copy, i, j) < F.lit(rate))
+            return F.when(swap, F.coalesce(F.try_element_at(replacement, F.lower(w)), w)).otherwise(w)
+
         def sentence(s: Column, i: Column) -> Column:
-            return F.array_join(
-                F.transform(
-                    F.split(strip(s), " "),
-                    lambda w, j: _swap(
-                        w, uniform(seed, row_id, copy, i, j), rate, stop, F.try_element_at(table, F.lower(w))
-                    ),
-                ),
-                " ",
-            )
+            return F.array_join(F.transform(F.split(strip(s), " "), lambda w, j: word(w, i, j)), " ")
 
         return F.array_join(F.transform(sentences(text), sentence), ". ")
 
@@ -110,14 +104,11 @@ def substitute_words(
     rows = bounded_rows(pairs, max_literal)
     if rows is not None:
         table = {r["token"]: r["synonym"] for r in rows}
-        if not table:
-            table = {"": ""}
         return copies(df, id_col, text_col, substituted_words(table, rate, stopwords, seed), n)
     stop = sorted(set(stopwords))
     split_up = F.transform(sentences(text_col), lambda s: F.split(strip(s), " "))
-    every = df.filter(F.col(text_col).isNotNull()).select(
-        id_col, split_up.alias("_s"), F.explode(F.sequence(F.lit(1), F.lit(n))).alias("copy")
-    )
+    pieces = df.filter(F.col(text_col).isNotNull()).select(id_col, split_up.alias("_s"))
+    every = pieces.select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("copy"))
     marked = F.flatten(
         F.transform(
             "_s",

@@ -31,7 +31,8 @@ def text_features(df: DataFrame, id_col: str, text: str, dictionary: DataFrame,
         .groupBy("token")
         .agg(F.max("_known").alias("_known"), F.max("_polarity").alias("_polarity"))
     )
-    words = df.select(id_col, word_count(text).alias("text_length"), F.explode_outer(tokens(text)).alias("token"))
+    counted = df.select(id_col, word_count(text).alias("text_length"), tokens(text).alias("_w"))
+    words = counted.select(id_col, "text_length", F.explode_outer("_w").alias("token"))
     uses = words.groupBy(id_col, "text_length", "token").agg(F.count(F.lit(1)).alias("_n"))
     marked = lookup_join(uses, known, "token", "left", spread_by=[id_col])
     scored = F.when(F.col("_polarity").isNotNull(), F.col("_n"))

@@ -15,25 +15,21 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 WHISKER = 1.5
 
 
-def exact_quantiles(
-    ranked: DataFrame, group: str, value: str, probabilities: Mapping[str, float], few_groups: bool = False
-) -> DataFrame:
+def exact_quantiles(ranked: DataFrame, group: str, value: str, probabilities: Mapping[str, float]) -> DataFrame:
     """Interpolated quantiles per group from ``value_ranks``: the two neighbours of each position are
     picked out of the distinct values, so no task holds a group's values."""
-    hint = F.broadcast if few_groups else (lambda d: d)
-    total = ranked.groupBy(group).agg(F.sum("n").alias("_rows"))
     x, below, upto = F.col(value).cast("double"), F.col("below"), F.col("below") + F.col("n")
-    placed = ranked.join(hint(total), group)
-    aggs: list[Column] = [F.max("_rows").alias("n")]
+    aggs: list[Column] = [F.max("total").alias("_rows")]
     parts: list[Column] = []
     for name, p in probabilities.items():
-        place = (F.col("_rows") - 1) * F.lit(p)
+        place = (F.col("total") - 1) * F.lit(p)
         low, high = F.floor(place), F.ceil(place)
         aggs.append(F.max(F.when((below <= low) & (low < upto), x)).alias(f"_lo_{name}"))
         aggs.append(F.max(F.when((below <= high) & (high < upto), x)).alias(f"_hi_{name}"))
-        share = (F.col("n") - 1) * F.lit(p) - F.floor((F.col("n") - 1) * F.lit(p))
-        parts.append((F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * share).alias(name))
-    return placed.groupBy(group).agg(*aggs).select(group, "n", *parts)
+        at = (F.col("_rows") - 1) * F.lit(p)
+        gap = F.col(f"_hi_{name}") - F.col(f"_lo_{name}")
+        parts.append((F.col(f"_lo_{name}") + gap * (at - F.floor(at))).alias(name))
+    return ranked.groupBy(group).agg(*aggs).select(group, F.col("_rows").alias("n"), *parts)
 
 
 def few_groups_in(df: DataFrame, group: str, limit: int = 2_000) -> bool:
@@ -48,10 +44,10 @@ def box_stats(df: DataFrame, group: str, feature: str) -> DataFrame:
     """
     few = few_groups_in(df, group)
     ranked = value_ranks(df, [group], feature, few_keys=few)
-    boxes = exact_quantiles(ranked, group, feature, QUARTILES, few)
+    boxes = exact_quantiles(ranked, group, feature, QUARTILES)
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     x = F.col(feature).cast("double")
-    held = ranked.select(group, feature).join(F.broadcast(boxes) if few else boxes, group)
+    held = df.select(group, feature).join(F.broadcast(boxes) if few else boxes, group)
     return held.groupBy(group).agg(
         *[F.max(c).alias(c) for c in ("n", "q1", "median", "q3")],
         F.min(F.when(x >= F.col("q1") - reach, x)).alias("whisker_low"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.hashing import DEFAULT_SEED, seed_hash, uniform
 from reviewloom.operators.tables import concat_datasets
-from reviewloom.plans.hash_rank import group_sizes, hash_segments, take_by_hash
+from reviewloom.plans.hash_rank import TooManyGroups, hash_segments, rank_by_hash, take_by_hash
 
 # Default shares of train, test and validation rows.
 SPLIT_FRACTIONS = {"train": 0.5, "test": 0.25, "val": 0.25}
@@ -64,7 +64,6 @@ def mix(df: DataFrame, source: str, recipe: Mapping[str, int | str], id_col: str
     if not part:
         return everything
     some = take_by_hash(df.filter(F.col(source).isin(list(part))), source, id_col, part, seed)
-    some = some.select(*df.columns)
     return some if everything is None else everything.unionByName(some)
 
 
@@ -83,10 +82,12 @@ def carve(
     supplementary set, as many for training as there are positives, the other half of the validation
     set, and what remains widens it. ``in_big_validation`` marks validation plus that remainder.
     """
-    sizes = group_sizes(df.filter(F.col(y).isin(0, 1)), y, id_col)
-    positives, half = sizes.get(1, 0), validation // 2
-    left = max(positives - half, 0)
-    cutoffs = {1: [half], 0: [supplementary, supplementary + left, supplementary + left + half]}
+    half = validation // 2
+
+    def cutoffs(sizes: dict) -> dict:
+        left = max(sizes.get(1, 0) - half, 0)
+        return {1: [half], 0: [supplementary, supplementary + left, supplementary + left + half]}
+
     part = (
         F.when((F.col(y) == 1) & (F.col("_seg") == 0), "validation")
         .when(F.col(y) == 1, "train")
@@ -96,7 +97,7 @@ def carve(
         .otherwise("remainder")
     )
     return (
-        hash_segments(df, y, id_col, cutoffs, seed, "_seg")
+        hash_segments(df.filter(F.col(y).isin(0, 1)), y, id_col, cutoffs, seed, "_seg")
         .withColumn("part", part)
         .withColumn("in_big_validation", F.col("part").isin("validation", "remainder"))
         .drop("_seg")
@@ -110,25 +111,28 @@ def holdout(df: DataFrame, y: str, id_col: str, size: int, balance_rest: bool =
     ``unused``.
     """
     half = size // 2
-    cutoffs: dict = {1: [half], 0: [half]}
-    if balance_rest:
-        sizes = group_sizes(df.filter(F.col(y).isin(0, 1)), y, id_col)
-        cutoffs[0] = [half, half + max(sizes.get(1, 0) - half, 0)]
+
+    def cutoffs(sizes: dict) -> dict:
+        left = max(sizes.get(1, 0) - half, 0)
+        return {1: [half], 0: [half, half + left] if balance_rest else [half]}
+
     names = F.when(F.col("_seg") == 0, "validation").when(F.col("_seg") == 1, "train").otherwise("unused")
-    return hash_segments(df, y, id_col, cutoffs, seed, "_seg").withColumn("part", names).drop("_seg")
+    pool = df.filter(F.col(y).isin(0, 1))
+    return hash_segments(pool, y, id_col, cutoffs, seed, "_seg").withColumn("part", names).drop("_seg")
 
 
 def stratified_split(df: DataFrame, y: str, id_col: str, fraction: float = 0.2, seed: int = DEFAULT_SEED) -> DataFrame:
     """``is_val`` = 1 for exactly the rounded fraction of every class."""
-    sizes = group_sizes(df, y, id_col)
-    if sizes is None:
-        raise ValueError(f"{y} has too many classes for a stratified split")
-    cutoffs = {g: [math.floor(fraction * n + 0.5)] for g, n in sizes.items()}
-    return (
-        hash_segments(df, y, id_col, cutoffs, seed, "_seg")
-        .withColumn("is_val", (F.col("_seg") == 0).cast("int"))
-        .drop("_seg")
-    )
+
+    def cutoffs(sizes: dict) -> dict:
+        return {g: [math.floor(fraction * n + 0.5)] for g, n in sizes.items()}
+
+    try:
+        placed = hash_segments(df, y, id_col, cutoffs, seed, "_seg").withColumn("_val", F.col("_seg") == 0)
+    except TooManyGroups:
+        ranked = rank_by_hash(df, y, id_col, seed, "_rank")
+        placed = ranked.withColumn("_val", F.col("_rank") <= F.floor(F.lit(fraction) * F.col("_n") + F.lit(0.5)))
+    return placed.select(*df.columns, F.col("_val").cast("int").alias("is_val"))
 
 
 def evaluation_sets(

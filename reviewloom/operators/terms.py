@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.functions.text import ngrams, tokens
+from reviewloom.functions.text import neighbours, tokens
 from reviewloom.plans.bounded import lookup_join
 
 
@@ -35,10 +35,18 @@ def distinctive_ngrams(
     out: 1 to ``threshold`` occurrences count against a term, none does not.
     """
     words = df.select(F.col(y).alias("_y"), tokens(text, stopwords).alias("_w"))
-    counts = class_term_counts(words, "_y", ngrams("_w", n), "ngram")
+    parts = [f"_{i}" for i in range(n)]
+    label = F.col("_y")
+    # Neighbours are counted as separate columns; only the few that remain are joined to a string.
+    counts = (
+        words.select("_y", F.explode(neighbours("_w", n, parts)).alias("_g"))
+        .select("_y", "_g.*")
+        .groupBy(*parts)
+        .agg(F.count_if(label == 1).alias("n1"), F.count_if(label == 0).alias("n0"))
+    )
     return (
         counts.filter((F.col("n1") > threshold) & ((F.col("n0") == 0) | (F.col("n0") > threshold)))
-        .withColumn("diff", F.col("n1") - F.col("n0"))
+        .select(F.concat_ws(" ", *parts).alias("ngram"), "n1", "n0", (F.col("n1") - F.col("n0")).alias("diff"))
         .orderBy(F.col("diff").desc(), "ngram")
     )
 
@@ -62,11 +70,6 @@ def feature_means(df: DataFrame, y: str, features: Sequence[str]) -> DataFrame:
     return df.groupBy(y).agg(*[F.avg(f).alias(f"avg_{f}") for f in features])
 
 
-def _token_rows(df: DataFrame, id_col: str, text: str, distinct: bool = False) -> DataFrame:
-    words = tokens(text)
-    return df.select(id_col, F.explode(F.array_distinct(words) if distinct else words).alias("token"))
-
-
 def misspellings(df: DataFrame, id_col: str, text: str, dictionary: DataFrame) -> DataFrame:
     """Number of distinct words per text that a dictionary (``token``) does not know; 0 is included.
 
@@ -103,14 +106,18 @@ def tag_names(df: DataFrame, id_col: str, text: str, gazetteer: DataFrame, max_w
     One row per mention: ``(id, start, entity, phrase)``; ``start`` is the index of the first word.
     """
     words = df.select(id_col, tokens(text).alias("_w"))
-    # Spans are built per text before the explode, so no row drags the whole word list along.
-    spans = F.concat(
-        *[
-            F.transform(ngrams("_w", n), lambda g, i: F.struct(i.alias("start"), g.alias("phrase")))
-            for n in range(1, max_words + 1)
-        ]
+    parts = [f"_{i}" for i in range(max_words)]
+    places = words.select(id_col, F.posexplode(neighbours("_w", max_words, parts, whole=False)).alias("start", "_g")).select(
+        id_col, "start", "_g.*"
     )
-    phrases = words.select(id_col, F.explode(spans).alias("_s")).select(id_col, "_s.*")
+    # Most places drop out on their first word, before any phrase is put together.
+    openers = gazetteer.select(F.split("phrase", " ")[0].alias("_0")).distinct()
+    places = lookup_join(places, openers, "_0", "left_semi", spread_by=[id_col, "start"])
+    spans = [
+        F.when(F.col(parts[length - 1]).isNotNull(), F.concat_ws(" ", *parts[:length]))
+        for length in range(1, max_words + 1)
+    ]
+    phrases = places.select(id_col, "start", F.explode(F.array_compact(F.array(*spans))).alias("phrase"))
     return lookup_join(phrases, gazetteer.select("phrase", "entity"), "phrase", "inner", spread_by=[id_col, "start"]).select(
         id_col, "start", "entity", "phrase"
     )
@@ -119,10 +126,7 @@ def tag_names(df: DataFrame, id_col: str, text: str, gazetteer: DataFrame, max_w
 def modifier_pairs(df: DataFrame, id_col: str, text: str, modifiers: DataFrame) -> DataFrame:
     """Neighbouring words whose first one is a known modifier (``token``): ``(id, pos, modifier, head)``."""
     words = df.select(id_col, tokens(text).alias("_w"))
-    pairs = F.arrays_zip(
-        F.slice("_w", F.lit(1), F.greatest(F.size("_w") - 1, F.lit(0))).alias("token"),
-        F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0))).alias("head"),
-    )
+    pairs = neighbours("_w", 2, ["token", "head"])
     rows = words.select(id_col, F.posexplode(pairs).alias("pos", "_p")).select(id_col, "pos", "_p.*")
     found = lookup_join(rows, modifiers.select("token").distinct(), "token", "inner", spread_by=[id_col, "pos"])
     return found.select(id_col, "pos", F.col("token").alias("modifier"), "head")

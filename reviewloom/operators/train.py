@@ -27,7 +27,7 @@ from reviewloom.operators.grids import search_space, trial_samples
 from reviewloom.operators.sampling import evaluation_sets
 from reviewloom.operators.tables import concat_datasets
 from reviewloom.operators.terms import vocabulary
-from reviewloom.plans.hash_rank import group_sizes, hash_cuts
+from reviewloom.plans.hash_rank import HashCounts
 
 FEATURES = "_features"
 LABEL = "_label"
@@ -110,20 +110,23 @@ def estimator(kind: str, params: Mapping, n_rows: int, n_classes: int = 2):
 
 def train(df: DataFrame, kind: str, params: Mapping | None = None, n_rows: int | None = None, n_classes: int = 2):
     """Fit a classifier by name on ``_features`` and ``_label``."""
-    n = df.count() if n_rows is None else n_rows
-    return estimator(kind, params or {}, n, n_classes).fit(df)
+    rows = df.select(FEATURES, LABEL)
+    held = rows.storageLevel.useMemory or df.storageLevel.useMemory
+    if not held:
+        rows = rows.persist()  # vectors may come from a costly encoder, and training passes over them often
+    try:
+        n = rows.count() if n_rows is None else n_rows
+        return estimator(kind, params or {}, n, n_classes).fit(rows)
+    finally:
+        if not held:
+            rows.unpersist()
 
 
 def train_text(df: DataFrame, text_col: str, y: str, kind: str = "logistic_regression", params: Mapping | None = None, size: int = VOCABULARY_SIZE) -> PipelineModel:
     """Bag of words plus classifier as one saved-and-loaded-together pipeline."""
     words = bow(df, text_col, size)
-    rows = words.transform(df.withColumn(LABEL, F.col(y).cast("double"))).select(FEATURES, LABEL)
-    rows = rows.persist()
-    try:
-        model = train(rows, kind, params)
-    finally:
-        rows.unpersist()
-    return PipelineModel(stages=[*words.stages, model])
+    rows = words.transform(df.withColumn(LABEL, F.col(y).cast("double")))
+    return PipelineModel(stages=[*words.stages, train(rows, kind, params)])
 
 
 def score(df: DataFrame, model, vector_col: str | None = None) -> DataFrame:
@@ -191,7 +194,7 @@ def grid_cv(
     finally:
         rows.unpersist()
     table = [
-        ("l1" if m[base.elasticNetParam] == 1.0 else "l2", 1.0 / (m[base.regParam] * n_fit), score_)
+        ("l1" if m[base.elasticNetParam] == 1.0 else "l2", 1.0 / (m[base.regParam] * n_fit), float(score_))
         for m, score_ in zip(maps, fitted.avgMetrics)
     ]
     top = max(table, key=lambda row: row[2])
@@ -242,7 +245,8 @@ def search_mix(
     test = evaluation_sets([pool], y, id_col, balance_test, False, seed)["test"]
     test = with_features(test, vector_col, y).select(FEATURES, LABEL, y).persist()
     try:
-        sizes = group_sizes(narrow, "_source", id_col)
+        counts = HashCounts(narrow, "_source", id_col, seed)
+        sizes = counts.sizes
         sampled = {s: n for s, n in sizes.items() if s not in positives}
         always = sum(n for s, n in sizes.items() if s in positives)
         n_classes = test.select(LABEL).distinct().count() if multiclass else 2
@@ -252,7 +256,7 @@ def search_mix(
             for r in trial_samples(table, "source", "size", trials, seed).limit(trials * len(sampled)).collect():
                 drawn[r["trial"]][r["source"]] = r["n_rows"]
         wanted = {s: sorted({drawn[t][s] for t in drawn}) for s in sampled}
-        cuts = hash_cuts(narrow.filter(F.col("_source").isin(list(sampled))), "_source", id_col, wanted, seed) if sampled else {}
+        cuts = counts.cuts(wanted)
         settings = search_space(spark.range(trials).withColumnRenamed("id", "trial"), "trial", kind, seed)
         settings = {r["trial"]: {**r.asDict(), **(fixed or {})} for r in settings.limit(trials).collect()}
 

@@ -44,3 +44,13 @@ def lookup_join(
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*(spread_by or big.columns)), F.lit(SALTS)))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
     return salted_big.join(salted_small, [on, "_salt"], how).drop("_salt")
+
+
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table with fewer splits than the cluster has cores over all of them, by key.
+
+    For a table read as it is and about to meet CPU-heavy expressions. One of real size has more splits
+    than there are cores and does not move.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -4,12 +4,15 @@
 here. Ranking a class with one window would send the whole class, half of the table for a binary label,
 through one task. Instead the n-th smallest hash itself is located:
 
-1. count rows per (class, leading hash digits), a map-side combined aggregate over two narrow columns;
-2. find the leading digits where the running count passes n;
-3. order only the rows with these digits (one in 4,096 of the class) and read off the n-th hash.
+1. rows are counted per (class, leading hash digits): a map-side combined aggregate over two narrow columns
+   with at most 4,096 results per class, which tells class sizes and where each running count passes n;
+2. only the rows with those leading digits, one in 4,096 of a class, are put in order to read off the hash.
 
-The sample is then a filter ``(hash, id) <= cut`` on the full rows: a scan with a broadcast lookup that has
-one row per class. Keys must be unique within a class.
+The sample is then a filter ``(hash, key) <= cut`` on the full rows: a scan with a broadcast lookup that has
+one row per class. Beyond ``MAX_COUNTS`` results of step 1 rows are ranked by a shuffle on (class, leading
+digits) instead, which spreads any class over 4,096 windows.
+
+Keys should be unique within a class; rows that share a key are kept or left together.
 """
 
 from __future__ import annotations
@@ -24,116 +27,150 @@ from reviewloom.functions.hashing import DEFAULT_SEED, seed_hash
 from reviewloom.plans.bounded import bounded_rows
 
 PREFIX_DIGITS = 3
-MAX_GROUPS = 20_000
-
-_ALL = "_everything"
-
-
-def _keyed(df: DataFrame, group: str | None, key: str, seed: int) -> DataFrame:
-    group_col = F.lit(0) if group is None else F.col(group)
-    return df.select(group_col.alias("_g"), F.col(key).alias("_k"), seed_hash(seed, key).alias("_h")).filter(
-        F.col("_g").isNotNull() & F.col("_k").isNotNull()
-    )
-
+MAX_COUNTS = 500_000
 
-def group_sizes(df: DataFrame, group: str, key: str, limit: int = MAX_GROUPS) -> dict | None:
-    """Rows per non-null group as a dictionary, or None when there are more groups than ``limit``."""
-    counted = df.filter(F.col(group).isNotNull() & F.col(key).isNotNull()).groupBy(group).count()
-    rows = bounded_rows(counted, limit)
-    return None if rows is None else {r[0]: r[1] for r in rows}
+Cutoffs = Mapping[object, Sequence[int]]
 
 
-def _bucket_starts(keyed: DataFrame) -> DataFrame:
-    """Per (group, leading digits): rows in it and rows of the group before it."""
-    counts = keyed.groupBy("_g", F.substring("_h", 1, PREFIX_DIGITS).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
-
+class TooManyGroups(ValueError):
+    """There are more groups than a lookup table should hold."""
 
-def rank_by_hash(df: DataFrame, group: str | None, key: str, seed: int = DEFAULT_SEED, name: str = "hash_rank") -> DataFrame:
-    """Every row with its position (from 1) in its group's hash order.
 
-    Rows shuffle once, on (group, leading hash digits), which spreads any group over 4,096 tasks' worth
-    of windows. This is the way out when there are too many groups for a lookup.
-    """
-    g = F.lit(0) if group is None else F.col(group)
-    rows = df.withColumn("_g", g).withColumn("_h", seed_hash(seed, key)).withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
-    starts = _bucket_starts(_keyed(df, group, key, seed)).drop("_n")
-    within = Window.partitionBy("_g", "_p").orderBy("_h", key)
+def _keyed(df: DataFrame, group: str | None, key: str, seed: int) -> DataFrame:
+    group_col = F.lit(0) if group is None else F.col(group)
     return (
-        rows.join(starts, ["_g", "_p"])
-        .withColumn(name, F.col("_before") + F.row_number().over(within))
-        .drop("_g", "_p", "_h", "_before")
+        df.select(group_col.alias("_g"), F.col(key).alias("_k"), seed_hash(seed, key).alias("_h"))
+        .filter(F.col("_g").isNotNull() & F.col("_k").isNotNull())
+        .withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
     )
 
 
-def hash_cuts(
-    df: DataFrame, group: str | None, key: str, wanted: Mapping[object, Sequence[int]], seed: int = DEFAULT_SEED
-) -> dict[tuple[object, int], tuple[str, object]]:
-    """(group, n) -> (hash, key) of the group's n-th row in hash order, for 0 < n <= group size."""
-    spark = df.sparkSession
-    g_type = T.IntegerType() if group is None else df.schema[group].dataType
-    asked = sorted({(g, int(n)) for g, ns in wanted.items() for n in ns if n > 0}, key=repr)
-    if not asked:
-        return {}
-    wishes = spark.createDataFrame(asked, T.StructType([T.StructField("_g", g_type), T.StructField("_want", T.LongType())]))
-    keyed = _keyed(df, group, key, seed)
-    hit = (
-        _bucket_starts(keyed)
-        .join(F.broadcast(wishes), "_g")
-        .filter((F.col("_before") < F.col("_want")) & (F.col("_want") <= F.col("_before") + F.col("_n")))
-    )
-    # At most one (group, digits) pair per wish, so these two lookups are as small as the wish list.
-    pairs = hit.select("_g", "_p").distinct()
-    within = Window.partitionBy("_g", "_p").orderBy("_h", "_k")
-    edge = (
-        keyed.withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
-        .join(F.broadcast(pairs), ["_g", "_p"], "left_semi")
-        .withColumn("_r", F.row_number().over(within))
-    )
-    cuts = edge.join(F.broadcast(hit.select("_g", "_p", "_want", (F.col("_want") - F.col("_before")).alias("_r"))), ["_g", "_p", "_r"])
-    return {(r["_g"], r["_want"]): (r["_h"], r["_k"]) for r in cuts.select("_g", "_want", "_h", "_k").limit(len(asked)).collect()}
+def _group_type(df: DataFrame, group: str | None) -> T.DataType:
+    return T.IntegerType() if group is None else df.schema[group].dataType
+
+
+class HashCounts:
+    """Rows per (group, leading hash digits) of a table, held on the driver."""
+
+    def __init__(self, df: DataFrame, group: str | None, key: str, seed: int = DEFAULT_SEED):
+        self.df, self.group, self.key, self.seed = df, group, key, seed
+        counted = _keyed(df, group, key, seed).groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_n"))
+        rows = bounded_rows(counted, MAX_COUNTS)
+        if rows is None:
+            raise TooManyGroups(f"{group} has too many values")
+        self.counts: dict[object, list[tuple[str, int]]] = {}
+        for r in sorted(rows, key=lambda r: r["_p"]):
+            self.counts.setdefault(r["_g"], []).append((r["_p"], r["_n"]))
+
+    @property
+    def sizes(self) -> dict:
+        return {g: sum(n for _p, n in parts) for g, parts in self.counts.items()}
+
+    def cuts(self, wanted: Cutoffs) -> dict[tuple[object, int], tuple[str, object]]:
+        """(group, n) -> (hash, key) of the group's n-th row in hash order, for 0 < n <= group size."""
+        places = []
+        for g, ns in wanted.items():
+            for n in sorted({int(n) for n in ns if n > 0}):
+                before = 0
+                for prefix, rows in self.counts.get(g, ()):
+                    if n <= before + rows:
+                        places.append((g, prefix, n, n - before))
+                        break
+                    before += rows
+        if not places:
+            return {}
+        fields = [("_g", _group_type(self.df, self.group)), ("_p", T.StringType()), ("_want", T.LongType()), ("_r", T.LongType())]
+        schema = T.StructType([T.StructField(name, kind) for name, kind in fields])
+        lookup = self.df.sparkSession.createDataFrame(places, schema)
+        upto = Window.partitionBy("_g", "_p").orderBy("_h", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        # Keys are counted first, so a key that repeats a billion times is one row of the window.
+        edge = (
+            _keyed(self.df, self.group, self.key, self.seed)
+            .join(F.broadcast(lookup.select("_g", "_p").distinct()), ["_g", "_p"], "left_semi")
+            .groupBy("_g", "_p", "_h", "_k")
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_last", F.sum("_n").over(upto))
+        )
+        hit = edge.join(F.broadcast(lookup), ["_g", "_p"]).filter(
+            (F.col("_last") - F.col("_n") < F.col("_r")) & (F.col("_r") <= F.col("_last"))
+        )
+        found = hit.select("_g", "_want", "_h", "_k").limit(len(places)).collect()
+        return {(r["_g"], r["_want"]): (r["_h"], r["_k"]) for r in found}
 
 
 def hash_segments(
     df: DataFrame,
     group: str | None,
     key: str,
-    cutoffs: Mapping[object, Sequence[int]],
+    cutoffs: Cutoffs | Callable[[dict], Cutoffs],
     seed: int = DEFAULT_SEED,
     name: str = "segment",
 ) -> DataFrame:
     """Number each row by how many of its group's ascending cut-offs lie before its hash rank.
 
-    Segment 0 is ranks 1..c0, segment 1 is c0+1..c1 and so on. Rows of groups without an entry, and
-    rows with a null key or group, are dropped.
+    Segment 0 is ranks 1..c0, segment 1 is c0+1..c1 and so on. ``cutoffs`` is a dictionary per group or a
+    function from group sizes to one. Rows of groups without an entry, and rows with a null key or group,
+    are dropped.
     """
-    spark = df.sparkSession
-    cuts = hash_cuts(df, group, key, cutoffs, seed)
-    g_type = T.IntegerType() if group is None else df.schema[group].dataType
+    counts = HashCounts(df, group, key, seed)
+    wanted = cutoffs(counts.sizes) if callable(cutoffs) else cutoffs
+    cuts = counts.cuts(wanted)
     cut_type = T.StructType([T.StructField("h", T.StringType()), T.StructField("k", df.schema[key].dataType)])
-    table = []
-    for g, ns in cutoffs.items():
-        found = [cuts[(g, int(n))] for n in ns if (g, int(n)) in cuts]
-        table.append((g, sum(1 for n in ns if n <= 0), found))
     schema = T.StructType(
         [
-            T.StructField("_g", g_type),
+            T.StructField("_g", _group_type(df, group)),
             T.StructField("_base", T.IntegerType()),
             T.StructField("_cuts", T.ArrayType(cut_type)),
         ]
     )
-    lookup = spark.createDataFrame(table, schema)
+    table = [
+        (g, sum(1 for n in ns if n <= 0), [cuts[(g, int(n))] for n in ns if (g, int(n)) in cuts])
+        for g, ns in wanted.items()
+    ]
+    lookup = df.sparkSession.createDataFrame(table, schema)
     here = F.struct(seed_hash(seed, key).alias("h"), F.col(key).alias("k"))
     passed = F.size(F.filter("_cuts", lambda c: c < here))
     rows = df.withColumn("_g", F.lit(0) if group is None else F.col(group)).filter(F.col(key).isNotNull())
+    return rows.join(F.broadcast(lookup), "_g").withColumn(name, F.col("_base") + passed).drop("_g", "_base", "_cuts")
+
+
+def rank_by_hash(df: DataFrame, group: str, key: str, seed: int = DEFAULT_SEED, name: str = "hash_rank") -> DataFrame:
+    """Every row with its position (from 1) in its group's hash order and the group's size ``_n``.
+
+    Rows shuffle once, on (group, leading hash digits).
+    """
+    counts = _keyed(df, group, key, seed).groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_rows"))
+    upto = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = counts.select(
+        "_g",
+        "_p",
+        (F.sum("_rows").over(upto) - F.col("_rows")).alias("_before"),
+        F.sum("_rows").over(Window.partitionBy("_g")).alias("_n"),
+    )
+    within = Window.partitionBy("_g", "_p").orderBy("_h", key)
     return (
-        rows.join(F.broadcast(lookup), "_g")
-        .withColumn(name, F.col("_base") + passed)
-        .drop("_g", "_base", "_cuts")
+        df.withColumn("_g", F.col(group))
+        .withColumn("_h", seed_hash(seed, key))
+        .withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
+        .join(starts, ["_g", "_p"])
+        .withColumn(name, F.col("_before") + F.row_number().over(within))
+        .drop("_g", "_p", "_h", "_before")
     )
 
 
+def _first_ranks(df: DataFrame, group: str, key: str, quota: Mapping | Column, seed: int) -> DataFrame:
+    ranked = rank_by_hash(df, group, key, seed, "_rank")
+    if isinstance(quota, Mapping):
+        schema = T.StructType([T.StructField(group, df.schema[group].dataType), T.StructField("_quota", T.LongType())])
+        table = df.sparkSession.createDataFrame([(g, int(n)) for g, n in quota.items()], schema)
+        ranked = ranked.join(F.broadcast(table), group)
+        quota = F.col("_quota")
+    else:
+        smallest = df.filter(F.col(group).isNotNull() & F.col(key).isNotNull()).groupBy(group).count().agg(F.min("count"))
+        ranked = ranked.withColumn("_min", smallest.scalar())
+    return ranked.filter(F.col("_rank") <= quota).select(*df.columns)
+
+
 def take_by_hash(
     df: DataFrame,
     group: str | None,
@@ -144,26 +181,17 @@ def take_by_hash(
 ) -> DataFrame:
     """The first ``quota`` rows of each group in hash order.
 
-    ``quota`` is a number, a dictionary per group, or a function from group sizes to such a dictionary.
-    With more than ``MAX_GROUPS`` groups the dictionary is not built: rows are ranked by shuffle and
-    compared with ``many_groups_quota``, an expression over ``_n`` (rows in the group) and ``_min``
-    (rows in the smallest group).
+    ``quota`` is a dictionary per group, a function from group sizes to one, or a number when there are no
+    groups. For a function, ``many_groups_quota`` says the same as an expression over ``_n`` (rows in the
+    group) and ``_min`` (rows in the smallest group); it serves when there are too many groups to look up.
     """
     if group is None:
-        return hash_segments(df, None, key, {0: [int(quota)]}, seed, "_seg").filter("_seg = 0").drop("_seg")
-    if isinstance(quota, Mapping):
-        quotas = dict(quota)
+        cutoffs: Cutoffs | Callable = {0: [int(quota)]}
+    elif callable(quota):
+        cutoffs = lambda sizes: {g: [n] for g, n in quota(sizes).items()}
     else:
-        sizes = group_sizes(df, group, key)
-        if sizes is None:
-            return _take_by_shuffle(df, group, key, many_groups_quota if many_groups_quota is not None else F.lit(quota), seed)
-        quotas = quota(sizes) if callable(quota) else {g: int(quota) for g in sizes}
-    return hash_segments(df, group, key, {g: [n] for g, n in quotas.items()}, seed, "_seg").filter("_seg = 0").drop("_seg")
-
-
-def _take_by_shuffle(df: DataFrame, group: str, key: str, quota: Column, seed: int) -> DataFrame:
-    sizes = df.filter(F.col(group).isNotNull() & F.col(key).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    smallest = sizes.agg(F.min("_n"))
-    sizes = sizes.withColumn("_min", smallest.scalar())
-    ranked = rank_by_hash(df.filter(F.col(group).isNotNull() & F.col(key).isNotNull()), group, key, seed, "_rank")
-    return ranked.join(sizes, group).filter(F.col("_rank") <= quota).drop("_rank", "_n", "_min")
+        cutoffs = {g: [n] for g, n in quota.items()}
+    try:
+        return hash_segments(df, group, key, cutoffs, seed, "_seg").filter("_seg = 0").select(*df.columns)
+    except TooManyGroups:
+        return _first_ranks(df, group, key, many_groups_quota if callable(quota) else quota, seed)

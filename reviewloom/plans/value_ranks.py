@@ -24,7 +24,8 @@ def value_ranks(
     sums: Mapping[str, Column] | None = None,
     few_keys: bool = False,
 ) -> DataFrame:
-    """Per key and distinct non-null value: ``n`` rows, ``below`` rows with a smaller value, and ``sums``.
+    """Per key and distinct non-null value: ``n`` rows, ``below`` rows with a smaller value, the ``total`` of
+    the key, and ``sums``.
 
     ``few_keys`` says that the caller fixes the number of key combinations, so the range table (one row
     per combination) may be broadcast unseen; otherwise its size is checked first.
@@ -57,7 +58,12 @@ def value_ranks(
         ranged.groupBy(*keys, "_range")
         .agg(F.sum("n").alias("_rows"), *touched)
         .filter(in_use)
-        .select(*keys, "_range", F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_start"))
+        .select(
+            *keys,
+            "_range",
+            F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_start"),
+            F.sum("_rows").over(Window.partitionBy(*keys)).alias("total"),
+        )
     )
     inside = Window.partitionBy(*keys, "_range").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (

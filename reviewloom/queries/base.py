@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.functions.text import WHITESPACE
+from reviewloom.plans.bounded import spread_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,14 +26,20 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, spread: str | None = None) -> DataFrame:
+    """A test table; with ``spread``, one that is too small to occupy all cores is spread by that key."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread_small(df, spread) if spread else df
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents", spread="doc_id")
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that carry labels: ``toxic`` is the label, ``flagged_p`` (quality = 0) the prediction."""
     labels = table(spark, folder, "labels").withColumn("flagged_p", (F.col("quality") == 0).cast("int"))
-    return table(spark, folder, "documents").join(labels, "doc_id")
+    return documents(spark, folder).join(labels, "doc_id")
 
 
 REVIEWS = """(select d.*, l.quality, l.toxic, case when l.quality = 0 then 1 else 0 end as flagged_p

@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 from reviewloom.functions.text import WHITESPACE, tokens
 from reviewloom.operators import augment, bias, terms
 from reviewloom.operators.sampling import assign_splits
-from reviewloom.queries.base import REVIEWS, query, reviews, sentences_sql, strip_sql, table, unit, words_sql
+from reviewloom.queries.base import REVIEWS, documents, query, reviews, sentences_sql, strip_sql, table, unit, words_sql
 
 STOPWORDS = ["a", "and", "by", "de", "is", "la", "le", "of", "on", "the", "un"]
 _STOP = ", ".join(f"'{w}'" for w in STOPWORDS)
 
-POLARITY = {"the": 0.5, "of": -0.25, "with": 1.0, "de": -1.0, "elle": 0.75, "und": 0.1, "que": -0.4, "he": 0.2}
+# Multiples of 1/8, so that sums are exact in any order.
+POLARITY = {"the": 0.5, "of": -0.25, "with": 1.0, "de": -1.0, "elle": 0.75, "und": 0.125, "que": -0.375, "he": 0.25}
 _POLARITY = ", ".join(f"('{w}', {p}::double)" for w, p in POLARITY.items())
 
 TAGS = {"is": "VBZ", "was": "VBD", "are": "VBP", "had": "VBD", "has": "VBZ", "it": "PRP", "elle": "PRP", "that": "DT", "the": "DT", "er": "PRP", "est": "VBZ"}
-_TAGS = ", ".join(f"('{w}', '{t}')" for w, t in TAGS.items())
+_TAG_CASES = " ".join(f"when '{w}' then '{t}'" for w, t in TAGS.items())
 
 NAMES = {"of the": "ORG", "the": "MISC", "la": "PER", "is on the": "LOC", "de la": "PER", "und er": "PER", "it": "ORG"}
 _NAMES = ", ".join(f"('{p}', '{e}')" for p, e in NAMES.items())
@@ -47,7 +48,7 @@ _DICTIONARY = f"(select distinct unnest({words_sql('text')}) as token from bench
 )
 def token_counts(spark, d):
     kept = tokens("text", STOPWORDS)
-    return table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id",
         F.size(tokens("text")).cast("bigint").alias("n_tokens"),
         F.size(kept).cast("bigint").alias("n_kept"),
@@ -116,25 +117,25 @@ def feature_means(spark, d):
     select d.doc_id, coalesce(m.n, 0) as misspellings from documents d left join m on d.doc_id = m.doc_id""",
 )
 def misspellings(spark, d):
-    return terms.misspellings(table(spark, d, "documents"), "doc_id", "text", _dictionary(spark, d))
+    return terms.misspellings(documents(spark, d), "doc_id", "text", _dictionary(spark, d))
 
 
 @query(
     "lexicon_sentiment",
     f"""with x(token, polarity) as (values {_POLARITY}), w as (select doc_id, unnest({words_sql('text')}) as token from documents),
       s as (select doc_id, avg(polarity) as p from w join x on w.token = x.token group by doc_id)
-    select d.doc_id, round(coalesce(p, 0), 6) as sentiment from documents d left join s on d.doc_id = s.doc_id""",
+    select d.doc_id, coalesce(p, 0) as sentiment from documents d left join s on d.doc_id = s.doc_id""",
 )
 def lexicon_sentiment(spark, d):
     lexicon = _lexicon(spark, POLARITY.items(), "token string, polarity double")
-    out = terms.lexicon_sentiment(table(spark, d, "documents"), "doc_id", "text", lexicon)
-    return out.withColumn("sentiment", F.round("sentiment", 6))
+    return terms.lexicon_sentiment(documents(spark, d), "doc_id", "text", lexicon)
 
 
 @query(
     "tag_frequencies",
-    f"""with x(token, tag) as (values {_TAGS}), w as (select toxic, unnest({words_sql('text')}) as token from {REVIEWS})
-    select tag, count(*) filter (toxic = 1) as n1, count(*) filter (toxic = 0) as n0 from w join x on w.token = x.token group by tag""",
+    f"""with w as (select toxic, unnest({words_sql('text')}) as token from {REVIEWS}),
+      t as (select toxic, case token {_TAG_CASES} end as tag from w)
+    select tag, count(*) filter (toxic = 1) as n1, count(*) filter (toxic = 0) as n0 from t where tag is not null group by tag""",
 )
 def tag_frequencies(spark, d):
     tags = _lexicon(spark, TAGS.items(), "token string, tag string")
@@ -154,7 +155,7 @@ _SPANS = " union all ".join(
 )
 def name_mentions(spark, d):
     gazetteer = _lexicon(spark, NAMES.items(), "phrase string, entity string")
-    return terms.tag_names(table(spark, d, "documents"), "doc_id", "text", gazetteer)
+    return terms.tag_names(documents(spark, d), "doc_id", "text", gazetteer)
 
 
 @query(
@@ -165,7 +166,7 @@ def name_mentions(spark, d):
 )
 def modifier_pairs(spark, d):
     modifiers = _lexicon(spark, [(m,) for m in MODIFIERS], "token string")
-    return terms.modifier_pairs(table(spark, d, "documents"), "doc_id", "text", modifiers)
+    return terms.modifier_pairs(documents(spark, d), "doc_id", "text", modifiers)
 
 
 @query(
@@ -174,7 +175,7 @@ def modifier_pairs(spark, d):
     group by term order by n desc, term limit 10000""",
 )
 def vocabulary_top(spark, d):
-    return terms.vocabulary(table(spark, d, "documents"), "text")
+    return terms.vocabulary(documents(spark, d), "text")
 
 
 @query(
@@ -183,14 +184,13 @@ def vocabulary_top(spark, d):
       s as (select doc_id, avg(polarity) as p from w join x on w.token = x.token group by doc_id),
       m as (select doc_id, count(distinct token) as n from w where token not in (select token from {_DICTIONARY}) group by doc_id),
       l as (select doc_id, len(regexp_extract_all(text, '[^{WHITESPACE}]+')) as text_length from documents)
-    select l.doc_id, cast(text_length as int) as text_length, round(coalesce(p, 0), 6) as sentiment, coalesce(n, 0) as spelling_mistakes,
-      round(case when text_length = 0 then 0 else coalesce(n, 0)::double / text_length end, 6) as spelling_mistakes_rate
+    select l.doc_id, cast(text_length as int) as text_length, coalesce(p, 0) as sentiment, coalesce(n, 0) as spelling_mistakes,
+      case when text_length = 0 then 0 else coalesce(n, 0)::double / text_length end as spelling_mistakes_rate
     from l left join s on l.doc_id = s.doc_id left join m on l.doc_id = m.doc_id""",
 )
 def text_features(spark, d):
     lexicon = _lexicon(spark, POLARITY.items(), "token string, polarity double")
-    out = bias.text_features(table(spark, d, "documents"), "doc_id", "text", _dictionary(spark, d), lexicon)
-    return out.withColumns({c: F.round(c, 6) for c in ("sentiment", "spelling_mistakes_rate")})
+    return bias.text_features(documents(spark, d), "doc_id", "text", _dictionary(spark, d), lexicon)
 
 
 def _shuffled_sql(copy: str) -> str:
@@ -206,7 +206,7 @@ _PIECES = f"(select doc_id, text, {sentences_sql('text')} as p from documents)"
     f"select doc_id, copy, {_shuffled_sql('copy')} as text from {_PIECES}, (select unnest([1, 2])::int as copy)",
 )
 def augment_shuffle(spark, d):
-    return augment.shuffle_sentences(table(spark, d, "documents"), "doc_id", "text", n=2)
+    return augment.shuffle_sentences(documents(spark, d), "doc_id", "text", n=2)
 
 
 _SWAP = "case lower(w) " + " ".join(f"when '{a}' then '{b}'" for a, b in SYNONYMS.items()) + " else w end"
@@ -225,7 +225,7 @@ def _substituted_sql(copy: str, rate: float, stop: list[str]) -> str:
 )
 def augment_substitute(spark, d):
     synonyms = _lexicon(spark, SYNONYMS.items(), "token string, synonym string")
-    return augment.substitute_words(table(spark, d, "documents"), "doc_id", "text", synonyms, 1, 0.05, ["the", "le"])
+    return augment.substitute_words(documents(spark, d), "doc_id", "text", synonyms, 1, 0.05, ["the", "le"])
 
 
 @query(
@@ -233,7 +233,7 @@ def augment_substitute(spark, d):
     f"select doc_id, {_shuffled_sql('1')} as text from {_PIECES} union all select doc_id, {_shuffled_sql('2')} from {_PIECES}",
 )
 def augment_dataset(spark, d):
-    return augment.augment_dataset(table(spark, d, "documents"), "doc_id", "text", augment.shuffled_sentences(), 2)
+    return augment.augment_dataset(documents(spark, d), "doc_id", "text", augment.shuffled_sentences(), 2)
 
 
 @query(
@@ -242,5 +242,5 @@ def augment_dataset(spark, d):
     where {unit('doc_id')} < 0.5""",
 )
 def augment_train_only(spark, d):
-    rows = assign_splits(table(spark, d, "documents"), "doc_id")
+    rows = assign_splits(documents(spark, d), "doc_id")
     return augment.augment_train(rows, "doc_id", "text", augment.shuffled_sentences(), 1, "is_complaint", 0)

@@ -9,7 +9,7 @@ from reviewloom.operators.grids import expand_grid
 from reviewloom.operators.moderate import assess_run as reassess
 from reviewloom.operators.sampling import assign_splits
 from reviewloom.plans.session import cut_lineage, shared_dir
-from reviewloom.queries.base import REVIEWS, by_hash, query, reviews, table, unit
+from reviewloom.queries.base import REVIEWS, by_hash, documents, query, reviews, table, unit
 from reviewloom.queries.stubs import EchoWriter, FlakyWriter, Labeller, LengthScorer, SpaceEncoder, VowelEncoder
 from reviewloom.sources import runlog
 from reviewloom.sources.registry import Registry
@@ -26,7 +26,7 @@ _MARKS = ", ".join(f"(length(text) - length(replace(text, '{c}', '')))::float" f
     union all select doc_id || '-' || tone, 0, null, 'RuntimeError: refused' from p where substr(md5(prompt), 1, 1) = 'f'""",
 )
 def generate_stub(spark, d):
-    rows = expand_grid(table(spark, d, "documents").select("doc_id", "text"), {"tone": ["kind", "cross"]}, position=None)
+    rows = expand_grid(documents(spark, d).select("doc_id", "text"), {"tone": ["kind", "cross"]}, position=None)
     prompts = rows.select(
         F.concat_ws("-", F.col("doc_id").cast("string"), "tone").alias("prompt_id"),
         F.concat(F.lit("A "), "tone", F.lit(" version of: "), "text").alias("prompt"),
@@ -42,7 +42,7 @@ def generate_stub(spark, d):
 )
 def rewrite_stub(spark, d):
     return external.rewrite(
-        table(spark, d, "documents"), FlakyWriter, "doc_id", "text", "Simplify: {text} Thanks.", attempts=5, wait=0.001
+        documents(spark, d), FlakyWriter, "doc_id", "text", "Simplify: {text} Thanks.", attempts=5, wait=0.001
     )
 
 
@@ -52,13 +52,13 @@ def rewrite_stub(spark, d):
     case when length(text) % 7 <> 0 then round(1.0::double / (1 + length(text)), 6) end as probability from documents""",
 )
 def score_stub(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", "text")
+    rows = documents(spark, d).select("doc_id", "text")
     return external.score_external(rows, LengthScorer, "text").drop("text")
 
 
 @query("embed_stub", f"select doc_id, list_sum([{_VOWELS}])::double as total, [{_VOWELS}][2]::double as e from documents")
 def embed_stub(spark, d):
-    rows = external.embed(table(spark, d, "documents").select("doc_id", "text"), "text", "vowels", VowelEncoder)
+    rows = external.embed(documents(spark, d).select("doc_id", "text"), "text", "vowels", VowelEncoder)
     vector = F.col(external.embedding_column("text", "vowels"))
     total = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x)
     return rows.select("doc_id", total.alias("total"), vector[1].cast("double").alias("e"))
@@ -118,7 +118,7 @@ def train_lr(spark, d):
 def score_lr(spark, d):
     rows = _vectors(spark, d)
     path = shared_dir(spark, "model")
-    train.save_model(train.train(train.with_features(rows.filter("train = 1"), "embedding", "y"), "SVM", {"C": 1.0}), path)
+    train.save_model(train.train(train.with_features(rows.filter("train = 1"), "embedding", "y"), "SVM", {"C": 1.0, "max_iter": 30}), path)
     out = train.score(rows, train.load_model(path), "embedding")
     return _rounded(out.select("vec_id", "y", "prediction", "decision"))
 

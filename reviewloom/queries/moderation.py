@@ -11,7 +11,7 @@ from reviewloom.operators import train
 from reviewloom.operators.quality import drop_duplicates
 from reviewloom.operators.sampling import assign_splits
 from reviewloom.plans.session import shared_dir
-from reviewloom.queries.base import clean_sql, query, reviews, table, unit, words_sql
+from reviewloom.queries.base import clean_sql, documents, query, reviews, table, unit, words_sql
 from reviewloom.queries.stubs import VowelEncoder
 from reviewloom.streaming import moderation as S
 
@@ -54,14 +54,15 @@ _MODERATE_SQL = f"select {', '.join(_COLUMNS)} from {_rules_sql('documents')}"
 
 @query("moderate", _MODERATE_SQL)
 def moderate(spark, d):
-    return R.moderate(table(spark, d, "documents"), "text", RULES).select(*_COLUMNS)
+    return R.moderate(documents(spark, d), "text", RULES).select(*_COLUMNS)
 
 
 @query("moderate_stream", _MODERATE_SQL)
 def moderate_stream(spark, d):
     schema = table(spark, d, "documents").schema
     home = shared_dir(spark, "stream")
-    stream = S.read_stream(spark, f"{d}/documents.parquet", schema)
+    # As a glob the path may be one file or a folder of files.
+    stream = S.read_stream(spark, f"{d}/documents.parque[t]", schema)
     job = S.moderate_stream(stream, "text", RULES, f"{home}/out", f"{home}/checkpoint", available_now=True)
     job.awaitTermination()
     return spark.read.parquet(f"{home}/out").select(*_COLUMNS)
@@ -113,8 +114,8 @@ def complaints_rule(spark, d):
 
     column = embedding_column("text_cleaned", "vowels")
     known = embed(add_cleaned(reviews(spark, d), "text"), "text_cleaned", "vowels", VowelEncoder)
-    model = train.train(train.with_features(known, column, "toxic").select("_features", "_label"), "SVM", {"C": 0.1})
-    rows = table(spark, d, "documents").select("doc_id", "text")
+    model = train.train(train.with_features(known, column, "toxic").select("_features", "_label"), "logistic_regression", {"max_iter": 10})
+    rows = documents(spark, d).select("doc_id", "text")
     return R.complaints_rule(rows, "text", "vowels", VowelEncoder, model).drop("text")
 
 
@@ -122,7 +123,7 @@ def complaints_rule(spark, d):
 def nae_rule(spark, d):
     """Bag of words plus logistic regression, trained on labelled documents, applied to all."""
     model = train.train_text(reviews(spark, d).select("text", "toxic"), "text", "toxic", params={"C": 0.01, "max_iter": 20})
-    out = R.nae_rule(table(spark, d, "documents").select("doc_id", "text"), model).drop("text")
+    out = R.nae_rule(documents(spark, d).select("doc_id", "text"), model).drop("text")
     return out.withColumn("not_an_experience_probability", F.round("not_an_experience_probability", 4))
 
 

@@ -9,7 +9,7 @@ from reviewloom.operators import metrics as M
 from reviewloom.operators import submissions, tables
 from reviewloom.operators.sampling import assign_splits
 from reviewloom.plans.session import shared_dir
-from reviewloom.queries.base import REVIEWS, clean_sql, query, reviews, sentences_sql, table, unit
+from reviewloom.queries.base import REVIEWS, clean_sql, documents, query, reviews, sentences_sql, table, unit
 from reviewloom.sources import formats
 from reviewloom.sources.registry import Registry
 
@@ -87,7 +87,8 @@ PAYLOAD = (
 
 def _payloads(spark, d):
     """Raw submissions rebuilt from events: removed and status-less rows, offsets, bad dates, ratings."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    events = table(spark, d, "events", spread="event_id").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     clock = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     rating = lambda q, value: F.struct(F.lit(q).alias("Question"), value.cast("string").alias("Rating"))
     body = F.struct(
@@ -98,7 +99,7 @@ def _payloads(spark, d):
             F.col("event_type") != "view", F.array(rating("10001", k % 5), rating("10002", k), rating("10001", k % 3))
         ).alias("Ratings"),
     )
-    return table(spark, d, "events").select(F.to_json(body).alias("Data"))
+    return events.select(F.to_json(body).alias("Data"))
 
 
 _SUBMISSIONS_SQL = """
@@ -234,7 +235,7 @@ def classification_group(spark, d):
 def clean_text(spark, d):
     from reviewloom.operators.quality import add_cleaned
 
-    return add_cleaned(table(spark, d, "documents").select("doc_id", "text"), "text").drop("text")
+    return add_cleaned(documents(spark, d).select("doc_id", "text"), "text").drop("text")
 
 
 @query(
@@ -243,7 +244,7 @@ def clean_text(spark, d):
     from documents""",
 )
 def text_lengths(spark, d):
-    return table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id",
         text.word_count("text").cast("bigint").alias("n_words"),
         text.char_len("text").cast("bigint").alias("n_letters"),
@@ -252,7 +253,7 @@ def text_lengths(spark, d):
 
 @query("sentence_counts", f"select doc_id, len({sentences_sql('text')}) as n_sentences from documents")
 def sentence_counts(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.size(text.sentences("text")).cast("bigint").alias("n_sentences"))
+    return documents(spark, d).select("doc_id", F.size(text.sentences("text")).cast("bigint").alias("n_sentences"))
 
 
 TEMPLATE = "Write a {sentiment} review of {location} in {language}, about {word_count} words long."

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators import quality as Q
 from reviewloom.operators.sampling import assign_splits
-from reviewloom.queries.base import query, table, unit
+from reviewloom.queries.base import documents, query, table, unit
 
 
 @query(
@@ -15,7 +15,7 @@ from reviewloom.queries.base import query, table, unit
     where n_copies > 1""",
 )
 def find_duplicates(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", "lang", "text")
+    rows = documents(spark, d).select("doc_id", "lang", "text")
     return Q.find_duplicates(rows, ["text"]).select("doc_id", "lang", "n_copies")
 
 
@@ -25,7 +25,7 @@ def find_duplicates(spark, d):
     where rn = 1""",
 )
 def drop_duplicates(spark, d):
-    return Q.drop_duplicates(table(spark, d, "documents").select("doc_id", "text", "lang"), ["text"], "doc_id")
+    return Q.drop_duplicates(documents(spark, d).select("doc_id", "text", "lang"), ["text"], "doc_id")
 
 
 @query(
@@ -45,12 +45,12 @@ def clean_dataset(spark, d):
     from documents where text is not null group by text having count(*) > 1""",
 )
 def cross_source_duplicates(spark, d):
-    return Q.cross_dataset_duplicates(table(spark, d, "documents"), "text", "source")
+    return Q.cross_dataset_duplicates(documents(spark, d), "text", "source")
 
 
 def _with_broken_splits(spark, d):
     """Splits with known faults: rows of one language lose a flag, those of another gain one."""
-    rows = assign_splits(table(spark, d, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    rows = assign_splits(documents(spark, d).select("doc_id", "text", "lang", "source"), "doc_id")
     return rows.withColumn("val", F.when(F.col("lang") == "de", F.lit(None).cast("int")).otherwise(F.col("val"))).withColumn(
         "test", F.when(F.col("lang") == "es", 1).otherwise(F.col("test"))
     )

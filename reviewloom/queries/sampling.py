@@ -43,11 +43,10 @@ def sample_n(spark, d):
     return sampling.sample_n(table(spark, d, "documents").select("doc_id", "text"), 100, "doc_id")
 
 
-@query("sample_large", f"select l_key, l_quantity from (select l_orderkey * 10 + l_linenumber as l_key, l_quantity from lineitem) order by {by_hash('l_key')} limit 20000")
+@query("sample_large", f"select o_orderkey, o_totalprice from orders order by {by_hash('o_orderkey')} limit 12000")
 def sample_large(spark, d):
     """A sample beyond the size at which sorting on one task is right."""
-    key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("l_key")
-    return sampling.sample_n(table(spark, d, "lineitem").select(key, "l_quantity"), 20_000, "l_key")
+    return sampling.sample_n(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), 12_000, "o_orderkey")
 
 
 RECIPE = {"src0": "all", "src1": 10, "src2": 25, "src3": 1, "src4": 40}

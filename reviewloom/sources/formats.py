@@ -43,13 +43,17 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_lines(df: DataFrame, col: str, path: str) -> None:
     r"""One text per line; backslashes, newlines and carriage returns inside a text become escapes."""
-    c = F.regexp_replace(F.col(col), r"\\", r"\\\\")
-    c = F.regexp_replace(F.regexp_replace(c, "\n", r"\\n"), "\r", r"\\r")
+    c = F.col(col)
+    for plain, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(plain), F.lit(escape))
     df.filter(F.col(col).isNotNull()).select(c.alias("value")).write.text(path)
 
 
 def read_lines(spark: SparkSession, path: str, col: str = "text") -> DataFrame:
     """Texts written by ``write_lines``."""
-    marked = F.regexp_replace("value", r"\\\\", "\x00")
-    c = F.regexp_replace(F.regexp_replace(marked, r"\\n", "\n"), r"\\r", "\r")
-    return spark.read.text(path).select(F.regexp_replace(c, "\x00", r"\\").alias(col))
+    # Between escaped backslashes every remaining backslash starts an escape.
+    def plain(piece):
+        return F.replace(F.replace(piece, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    c = F.array_join(F.transform(F.split("value", r"\\\\"), plain), "\\")
+    return spark.read.text(path).select(c.alias(col))
