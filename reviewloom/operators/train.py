@@ -38,6 +38,9 @@ FOLDS = 5
 GRID_C = (0.001, 0.01, 0.1, 1, 10, 100)
 GRID_PENALTIES = ("l1", "l2")
 
+# When the iterative classifiers stop.
+TOLERANCE = {"SVM": 1e-3, "logistic_regression": 1e-4}
+
 TERM_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -74,6 +77,7 @@ def estimator(kind: str, params: Mapping, n_rows: int, n_classes: int = 2):
             regParam=_per_row_strength(params, n_rows),
             standardization=False,
             maxIter=int(params.get("max_iter", 100)),
+            tol=TOLERANCE["SVM"],
             **common,
         )
         return base if n_classes <= 2 else OneVsRest(classifier=base, **common)
@@ -83,6 +87,7 @@ def estimator(kind: str, params: Mapping, n_rows: int, n_classes: int = 2):
             elasticNetParam={"l1": 1.0, "l2": 0.0}[params.get("penalty", "l2")],
             standardization=False,
             maxIter=int(params.get("max_iter", 100)),
+            tol=TOLERANCE["logistic_regression"],
             **common,
         )
     if kind == "random_forest":
@@ -182,7 +187,13 @@ def grid_cv(
     rows = df.select(FEATURES, LABEL, fold.alias("_fold")).persist()
     try:
         n_fit = max(int(rows.count() * (folds - 1) / folds), 1)
-        base = LogisticRegression(featuresCol=FEATURES, labelCol=LABEL, maxIter=max_iter, standardization=False)
+        base = LogisticRegression(
+            featuresCol=FEATURES,
+            labelCol=LABEL,
+            maxIter=max_iter,
+            tol=TOLERANCE["logistic_regression"],
+            standardization=False,
+        )
         grid = ParamGridBuilder()
         grid.addGrid(base.elasticNetParam, [{"l1": 1.0, "l2": 0.0}[p] for p in penalties])
         grid.addGrid(base.regParam, [1.0 / (c * n_fit) for c in strengths])

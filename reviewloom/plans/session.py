@@ -29,12 +29,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     It lives under the session's ``spark.checkpoint.dir``. Only a local session without that setting
     gets a temporary folder of this machine, remembered for the rest of the session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="reviewloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
