@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -127,7 +129,16 @@ def parse_reply(reply: Column | str, mode: str = "chat") -> Column:
 
 def word_pattern(words: Iterable[str]) -> str:
     """Regex that finds any of the words or phrases as whole words, in any script."""
-    import re
-
     alternatives = "|".join(re.escape(w) for w in words)
     return rf"(^|[^\p{{L}}])({alternatives})([^\p{{L}}]|$)"
+
+
+def has_word(text: Column | str, words: Iterable[str]) -> Column:
+    """Does any of the words or phrases occur as a whole word?
+
+    A plain substring search goes first: texts without the letters never reach the regex.
+    """
+    c = F.col(text) if isinstance(text, str) else text
+    words = list(words)
+    letters = reduce(lambda a, b: a | b, [c.contains(w) for w in words])
+    return letters & c.rlike(word_pattern(words))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -12,24 +13,34 @@ from reviewloom.functions.text import sentences, strip
 from reviewloom.operators.tables import split_slice, with_label
 from reviewloom.plans.bounded import bounded_rows, lookup_join
 
-# A rewriter makes one new text from (row id, text, copy number).
-Rewriter = Callable[[Column, Column, Column], Column]
-
 MAX_LITERAL_SYNONYMS = 1_000
 
 
+@dataclass(frozen=True)
+class Rewriter:
+    """Makes one new text per copy number.
+
+    ``rewrite`` gets the row's id, its text, what ``prepare`` made of the text (once per row) and the copy
+    number; null means that it failed.
+    """
+
+    rewrite: Callable[[Column, Column, Column, Column], Column]
+    prepare: Callable[[Column], Column] = lambda text: text
+
+
+def _trimmed_sentences(text: Column) -> Column:
+    return F.transform(sentences(text), lambda s: strip(s))
+
+
 def shuffled_sentences(seed: int = DEFAULT_SEED) -> Rewriter:
     """Sentences in hash order, joined by ``". "``; a text with fewer than two stays as it is."""
 
-    def rewrite(row_id: Column, text: Column, copy: Column) -> Column:
-        pieces = sentences(text)
-        ordered = F.array_sort(
-            F.transform(pieces, lambda s, i: F.struct(seed_hash(seed, row_id, copy, i).alias("h"), strip(s).alias("s")))
-        )
-        joined = F.array_join(F.transform(ordered, lambda z: z["s"]), ". ")
+    def rewrite(row_id: Column, text: Column, pieces: Column, copy: Column) -> Column:
+        keyed = F.transform(pieces, lambda s, i: F.struct(seed_hash(seed, row_id, copy, i).alias("h"), s.alias("s")))
+        joined = F.array_join(F.sort_array(keyed)["s"], ". ")
         return F.when(F.size(pieces) < 2, text).otherwise(joined)
 
-    return rewrite
+    return Rewriter(rewrite, _trimmed_sentences)
 
 
 def substituted_words(
@@ -48,18 +59,18 @@ def substituted_words(
     replacement = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
     known = list(table)
 
-    def rewrite(row_id: Column, text: Column, copy: Column) -> Column:
+    def rewrite(row_id: Column, text: Column, pieces: Column, copy: Column) -> Column:
         def word(w: Column, i: Column, j: Column) -> Column:
             # The draw is made only for words that could change.
             swap = F.lower(w).isin(known) & (uniform(seed, row_id, copy, i, j) < F.lit(rate))
             return F.when(swap, F.coalesce(F.try_element_at(replacement, F.lower(w)), w)).otherwise(w)
 
         def sentence(s: Column, i: Column) -> Column:
-            return F.array_join(F.transform(F.split(strip(s), " "), lambda w, j: word(w, i, j)), " ")
+            return F.array_join(F.transform(F.split(s, " "), lambda w, j: word(w, i, j)), " ")
 
-        return F.array_join(F.transform(sentences(text), sentence), ". ")
+        return F.array_join(F.transform(pieces, sentence), ". ")
 
-    return rewrite
+    return Rewriter(rewrite, _trimmed_sentences)
 
 
 def copies(df: DataFrame, id_col: str, text_col: str, rewriter: Rewriter, n: int, observation: Observation | None = None) -> DataFrame:
@@ -67,15 +78,17 @@ def copies(df: DataFrame, id_col: str, text_col: str, rewriter: Rewriter, n: int
 
     An ``Observation`` receives ``seen`` and ``succeeded`` row counts when the result is first used.
     """
-    made = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: rewriter(F.col(id_col), F.col(text_col), k))
-    rows = df.select(id_col, made.alias("_made")).withColumn(
-        "_ok", F.coalesce(F.forall("_made", lambda t: t.isNotNull()), F.lit(False))
-    )
+    rows = df.select(id_col, text_col, rewriter.prepare(F.col(text_col)).alias("_prepared"))
+    made = [rewriter.rewrite(F.col(id_col), F.col(text_col), F.col("_prepared"), F.lit(k)) for k in range(1, n + 1)]
+    rows = rows.select(id_col, F.array(*made).alias("_made"))
+    whole = F.when(F.forall("_made", lambda t: t.isNotNull()), F.col("_made"))
+    rows = rows.select(id_col, whole.alias("_made"))
     if observation is not None:
-        rows = rows.observe(observation, F.count(F.lit(1)).alias("seen"), F.count_if("_ok").alias("succeeded"))
+        rows = rows.observe(observation, F.count(F.lit(1)).alias("seen"), F.count("_made").alias("succeeded"))
+    # An outer explode and a filter behind it: a filter in front would be pushed down and make every text twice.
     return (
-        rows.filter("_ok")
-        .select(id_col, F.posexplode("_made").alias("copy", text_col))
+        rows.select(id_col, F.posexplode_outer("_made").alias("copy", text_col))
+        .filter(F.col("copy").isNotNull())
         .withColumn("copy", F.col("copy") + 1)
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.hashing import DEFAULT_SEED
 from reviewloom.functions.scores import SEVERITY, lookup, severity
-from reviewloom.functions.text import clean_text, tokens, word_pattern
+from reviewloom.functions.text import clean_text, has_word, tokens
 from reviewloom.functions.vectors import top_class
 from reviewloom.operators import metrics as M
 from reviewloom.operators.external import embed, embedding_column
@@ -23,43 +23,40 @@ from reviewloom.operators.train import load_model, score
 
 @dataclass(frozen=True)
 class Rule:
-    """One moderation rule: a column worked out from the cleaned text; above 0 means flagged."""
+    """One moderation rule: a column worked out from the cleaned text and its words; above 0 means flagged."""
 
     name: str
-    column: Callable[[Column], Column]
+    column: Callable[[Column, Column], Column]
 
 
-def keyword_rule(name: str, words: Sequence[str]) -> Rule:
+def keyword_rule(name: str, keywords: Sequence[str]) -> Rule:
     """1 when any of the words or phrases occurs."""
-    pattern = word_pattern(words)
-    return Rule(name, lambda text: text.rlike(pattern).cast("int"))
+    return Rule(name, lambda text, words: has_word(text, keywords).cast("int"))
 
 
 def severity_rule(name: str, strong: Sequence[str], possible: Sequence[str]) -> Rule:
     """2, 1 or 0 by the strongest group of words that occurs."""
-    strong_p, possible_p = word_pattern(strong), word_pattern(possible)
-    return Rule(name, lambda text: F.when(text.rlike(strong_p), 2).when(text.rlike(possible_p), 1).otherwise(0))
+    return Rule(name, lambda text, words: F.when(has_word(text, strong), 2).when(has_word(text, possible), 1).otherwise(0))
 
 
-def lacks_rule(name: str, words: Sequence[str]) -> Rule:
+def lacks_rule(name: str, keywords: Sequence[str]) -> Rule:
     """1 when none of the words occurs, e.g. no first-person word in something that is not an experience."""
-    pattern = word_pattern(words)
-    return Rule(name, lambda text: (~text.rlike(pattern)).cast("int"))
+    return Rule(name, lambda text, words: (~has_word(text, keywords)).cast("int"))
 
 
-def mentions_rule(name: str, phrases: Sequence[str]) -> Rule:
+def mentions_rule(name: str, names: Sequence[str]) -> Rule:
     """Number of words that are one of the names."""
-    wanted = sorted(set(phrases))
-    return Rule(name, lambda text: F.size(F.filter(tokens(text), lambda w: w.isin(wanted))))
+    wanted = sorted(set(names))
+    return Rule(name, lambda text, words: F.size(F.filter(words, lambda w: w.isin(wanted))))
 
 
 def pairs_rule(name: str, modifiers: Sequence[str]) -> Rule:
     """Number of words that directly follow a modifier."""
     wanted = sorted(set(modifiers))
 
-    def count(text: Column) -> Column:
-        words = tokens(text)
-        return F.size(F.filter(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), lambda w: w.isin(wanted)))
+    def count(text: Column, words: Column) -> Column:
+        heads = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
+        return F.size(F.filter(heads, lambda w: w.isin(wanted)))
 
     return Rule(name, count)
 
@@ -67,19 +64,18 @@ def pairs_rule(name: str, modifiers: Sequence[str]) -> Rule:
 def moderate(df: DataFrame, text_col: str, rules: Sequence[Rule | Callable[[DataFrame], DataFrame]], threshold: int = 0) -> DataFrame:
     """One column per rule and ``flagged``, in one pass over the table.
 
-    A rule is a ``Rule`` or a function that adds columns to the frame (a saved model, an endpoint); its
-    flag column is then named by its ``flag_col`` attribute.
+    The text is cleaned and split into words once for all rules. A rule is a ``Rule`` or a function that
+    adds columns to the frame (a saved model, an endpoint) and names its flag column in ``flag_col``.
     """
-    out = df.withColumn("_clean", clean_text(text_col))
+    out = df.withColumn("_clean", clean_text(text_col)).withColumn("_words", tokens("_clean"))
+    out = out.withColumns({r.name: r.column(F.col("_clean"), F.col("_words")) for r in rules if isinstance(r, Rule)})
     flags: list[str] = []
-    columns = {r.name: r.column(F.col("_clean")) for r in rules if isinstance(r, Rule)}
-    out = out.withColumns(columns)
     for rule in rules:
         if not isinstance(rule, Rule):
             out = rule(out)
         flags.append(rule.name if isinstance(rule, Rule) else rule.flag_col)
     anything = reduce(lambda a, b: a | b, [F.coalesce(F.col(f), F.lit(0)) > threshold for f in flags])
-    return out.withColumn("flagged", anything).drop("_clean")
+    return out.withColumn("flagged", anything).drop("_clean", "_words")
 
 
 def complaints_rule(df: DataFrame, text_col: str, model_name: str, encoder_factory, classifier, out: str = "complaint") -> DataFrame:

@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from reviewloom.plans.bounded import fits_broadcast
 
-RANGES = 256
+MIN_RANGES, MAX_RANGES = 16, 512
+
+
+def range_count(df: DataFrame) -> int:
+    """Twice as many ranges as shuffle partitions, so that a few heavy ones even out."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(MIN_RANGES, min(MAX_RANGES, 2 * partitions))
 
 
 def value_ranks(
@@ -37,7 +43,8 @@ def value_ranks(
         .groupBy(*keys, F.col(value).alias("_x"))
         .agg(F.count(F.lit(1)).alias("n"), *extra)
     )
-    probabilities = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
+    ranges = range_count(df)
+    probabilities = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     small = few_keys or fits_broadcast(df.select(*keys).distinct(), max_rows=2_000)
     hint = F.broadcast if small else (lambda d: d)
     # Both helper tables touch every column of `counted`, so that all branches ask for the same exchange

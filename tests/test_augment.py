@@ -64,8 +64,7 @@ def test_empty_synonyms_change_nothing(spark, df):
 
 
 def test_failing_rows_are_left_out_and_counted(df):
-    def picky(row_id, text, copy):
-        return F.when(~((row_id == 2) & (copy == 2)), F.concat(text, copy.cast("string")))
+    picky = A.Rewriter(lambda i, text, _p, copy: F.when(~((i == 2) & (copy == 2)), F.concat(text, copy.cast("string"))))
 
     seen = Observation("augment")
     out = A.augment_dataset(df, "id", "text", picky, 2, seen).collect()

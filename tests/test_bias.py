@@ -89,7 +89,7 @@ def test_audit_against_single_tests(spark):
 
 @pytest.mark.parametrize("ranges", [2, 16, 256])
 def test_value_ranks(spark, monkeypatch, ranges):
-    monkeypatch.setattr(V, "RANGES", ranges)
+    monkeypatch.setattr(V, "range_count", lambda df: ranges)
     rng = random.Random(1)
     data = [("hot", 7.0)] * 700 + [(rng.choice(["a", "hot"]), round(rng.gauss(0, 3), 1)) for _ in range(1500)] + [("a", None)]
     df = spark.createDataFrame(data, "g string, x double").repartition(5)
