@@ -79,9 +79,17 @@ def wall_clock(text: Column | str) -> Column:
 
 
 def fix_timeline(df: DataFrame, col: str, sort: bool = True) -> DataFrame:
-    """Normalise a date column and put the newest rows first, unreadable dates last."""
+    """Normalise a date column and put the newest rows first, unreadable dates last.
+
+    Rows of one date, or without one, are further ordered by a hash of the row. Their order means nothing,
+    but it lets the sort cut a date that holds a third of the table into many ranges.
+    """
     out = df.withColumn(col, wall_clock(col))
-    return out.orderBy(F.col(col).desc_nulls_last()) if sort else out
+    if not sort:
+        return out
+    rest = [f.name for f in out.schema.fields if f.name != col and "map<" not in f.dataType.simpleString()]
+    spread = [F.xxhash64(*rest)] if rest else []
+    return out.orderBy(F.col(col).desc_nulls_last(), *spread)
 
 
 def map_label(df: DataFrame, col: str, mapping: Mapping, out: str | None = None) -> DataFrame:

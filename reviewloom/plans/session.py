@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Reviews can be long: keep the batches that go to Python small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
