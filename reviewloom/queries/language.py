@@ -17,6 +17,7 @@ POLARITY = {"the": 0.5, "of": -0.25, "with": 1.0, "de": -1.0, "elle": 0.75, "und
 _POLARITY = ", ".join(f"('{w}', {p}::double)" for w, p in POLARITY.items())
 
 TAGS = {"is": "VBZ", "was": "VBD", "are": "VBP", "had": "VBD", "has": "VBZ", "it": "PRP", "elle": "PRP", "that": "DT", "the": "DT", "er": "PRP", "est": "VBZ"}
+_TAGGED = ", ".join(f"'{w}'" for w in TAGS)
 _TAG_CASES = " ".join(f"when '{w}' then '{t}'" for w, t in TAGS.items())
 
 NAMES = {"of the": "ORG", "the": "MISC", "la": "PER", "is on the": "LOC", "de la": "PER", "und er": "PER", "it": "ORG"}
@@ -133,9 +134,8 @@ def lexicon_sentiment(spark, d):
 
 @query(
     "tag_frequencies",
-    f"""with w as (select toxic, unnest({words_sql('text')}) as token from {REVIEWS}),
-      t as (select toxic, case token {_TAG_CASES} end as tag from w)
-    select tag, count(*) filter (toxic = 1) as n1, count(*) filter (toxic = 0) as n0 from t where tag is not null group by tag""",
+    f"""with w as (select toxic, unnest(list_filter({words_sql('text')}, lambda w: w in ({_TAGGED}))) as token from {REVIEWS})
+    select case token {_TAG_CASES} end as tag, count(*) filter (toxic = 1) as n1, count(*) filter (toxic = 0) as n0 from w group by 1""",
 )
 def tag_frequencies(spark, d):
     tags = _lexicon(spark, TAGS.items(), "token string, tag string")
