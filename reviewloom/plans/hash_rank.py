@@ -163,7 +163,7 @@ def _first_ranks(df: DataFrame, group: str, key: str, quota: Mapping | Column, s
     if isinstance(quota, Mapping):
         schema = T.StructType([T.StructField(group, df.schema[group].dataType), T.StructField("_quota", T.LongType())])
         table = df.sparkSession.createDataFrame([(g, int(n)) for g, n in quota.items()], schema)
-        ranked = ranked.join(F.broadcast(table), group)
+        ranked = ranked.join(F.broadcast(table) if len(quota) <= MAX_COUNTS else table, group)
         quota = F.col("_quota")
     else:
         smallest = df.filter(F.col(group).isNotNull() & F.col(key).isNotNull()).groupBy(group).count().agg(F.min("count"))
