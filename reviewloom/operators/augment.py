@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.hashing import DEFAULT_SEED, seed_hash, uniform
@@ -73,26 +73,32 @@ def substituted_words(
     return Rewriter(rewrite, _trimmed_sentences)
 
 
-def copies(df: DataFrame, id_col: str, text_col: str, rewriter: Rewriter, n: int, observation: Observation | None = None) -> DataFrame:
-    """``(id, copy, text)``: n new texts per row. A row for which any copy is null has failed and is left out.
-
-    An ``Observation`` receives ``seen`` and ``succeeded`` row counts when the result is first used.
-    """
+def _made(df: DataFrame, id_col: str, text_col: str, rewriter: Rewriter, n: int) -> DataFrame:
+    """``(id, _made)``: the n new texts of each row, or null when any of them is."""
     rows = df.select(id_col, text_col, rewriter.prepare(F.col(text_col)).alias("_prepared"))
     made = [rewriter.rewrite(F.col(id_col), F.col(text_col), F.col("_prepared"), F.lit(k)) for k in range(1, n + 1)]
     rows = rows.select(id_col, F.array(*made).alias("_made"))
-    whole = F.when(F.forall("_made", lambda t: t.isNotNull()), F.col("_made"))
-    rows = rows.select(id_col, whole.alias("_made"))
-    if observation is not None:
-        rows = rows.observe(observation, F.count(F.lit(1)).alias("seen"), F.count("_made").alias("succeeded"))
+    return rows.select(id_col, F.when(F.forall("_made", lambda t: t.isNotNull()), F.col("_made")).alias("_made"))
+
+
+def copies(df: DataFrame, id_col: str, text_col: str, rewriter: Rewriter, n: int) -> DataFrame:
+    """``(id, copy, text)``: n new texts per row. A row for which any copy is null has failed and is left out."""
     # An outer explode and a filter behind it: a filter in front would be pushed down and make every text twice.
     return (
-        rows.select(id_col, F.posexplode_outer("_made").alias("copy", text_col))
+        _made(df, id_col, text_col, rewriter, n)
+        .select(id_col, F.posexplode_outer("_made").alias("copy", text_col))
         .filter(F.col("copy").isNotNull())
         .withColumn("copy", F.col("copy") + 1)
     )
 
 
+def augment_counts(df: DataFrame, id_col: str, text_col: str, rewriter: Rewriter, n: int) -> DataFrame:
+    """``(seen, succeeded)`` rows of an augmentation."""
+    return _made(df, id_col, text_col, rewriter, n).agg(
+        F.count(F.lit(1)).alias("seen"), F.count("_made").alias("succeeded")
+    )
+
+
 def shuffle_sentences(df: DataFrame, id_col: str, text_col: str, n: int = 1, seed: int = DEFAULT_SEED) -> DataFrame:
     return copies(df, id_col, text_col, shuffled_sentences(seed), n)
 
@@ -160,11 +166,9 @@ def substitute_words(
     return every.join(swaps, [id_col, "copy"], "left").select(id_col, "copy", rebuilt.alias(text_col))
 
 
-def augment_dataset(
-    df: DataFrame, id_col: str, text_col: str, rewriter: Rewriter, n: int, observation: Observation | None = None
-) -> DataFrame:
+def augment_dataset(df: DataFrame, id_col: str, text_col: str, rewriter: Rewriter, n: int) -> DataFrame:
     """An augmented dataset: n new texts per seed row under the seed's id."""
-    return copies(df, id_col, text_col, rewriter, n, observation).drop("copy")
+    return copies(df, id_col, text_col, rewriter, n).drop("copy")
 
 
 def augment_train(

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -113,6 +114,19 @@ def estimator(kind: str, params: Mapping, n_rows: int, n_classes: int = 2):
     raise ValueError(f"unknown classifier: {kind}")
 
 
+def _without_summary(model):
+    """Drop a fitted model's training summary.
+
+    The summary holds the session, and a session in which any query used ``observe`` cannot be sent to
+    executors together with the model.
+    """
+    for part in [model, *getattr(model, "models", [])]:
+        if getattr(part, "hasSummary", False):
+            nothing = SparkContext._active_spark_context._jvm.scala.Option.empty()
+            part._java_obj.setSummary(nothing)
+    return model
+
+
 def train(df: DataFrame, kind: str, params: Mapping | None = None, n_rows: int | None = None, n_classes: int = 2):
     """Fit a classifier by name on ``_features`` and ``_label``."""
     rows = df.select(FEATURES, LABEL)
@@ -121,7 +135,7 @@ def train(df: DataFrame, kind: str, params: Mapping | None = None, n_rows: int |
         rows = rows.persist()  # vectors may come from a costly encoder, and training passes over them often
     try:
         n = rows.count() if n_rows is None else n_rows
-        return estimator(kind, params or {}, n, n_classes).fit(rows)
+        return _without_summary(estimator(kind, params or {}, n, n_classes).fit(rows))
     finally:
         if not held:
             rows.unpersist()
@@ -209,7 +223,7 @@ def grid_cv(
         for m, score_ in zip(maps, fitted.avgMetrics)
     ]
     top = max(table, key=lambda row: row[2])
-    return GridResult(fitted.bestModel, {"penalty": top[0], "C": top[1]}, table)
+    return GridResult(_without_summary(fitted.bestModel), {"penalty": top[0], "C": top[1]}, table)
 
 
 @dataclass

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from reviewloom.operators import moderate as R
@@ -20,7 +21,7 @@ def points(spark):
 
 @pytest.mark.parametrize("kind", ["SVM", "logistic_regression", "random_forest", "xgboost"])
 def test_train_score_save_load(points, spark, kind):
-    params = {"C": 10, "n_estimators": 5, "max_depth": 3, "max_iter": 30}
+    params = {"C": 10, "n_estimators": 5, "max_depth": 3, "max_iter": 8}
     model = train.train(train.with_features(points.filter("train = 1"), "v", "y"), kind, params)
     scored = train.score(points, model, "v")
     assert scored.filter("prediction = y").count() > 370
@@ -33,11 +34,23 @@ def test_train_score_save_load(points, spark, kind):
         train.estimator("tree", {}, 1)
 
 
+@pytest.mark.parametrize("kind,classes", [("logistic_regression", 2), ("random_forest", 2), ("SVM", 3)])
+def test_scoring_works_in_an_observed_session(spark, kind, classes):
+    other = spark.newSession()
+    df = other.range(60).withColumn("y", (F.col("id") % classes).cast("int"))
+    df = df.withColumn("v", F.array(F.col("y") * 4.0, F.col("y") * F.col("y") * 1.0))
+    model = train.train(train.with_features(df, "v", "y"), kind, {"n_estimators": 3, "max_iter": 5}, n_classes=classes)
+    seen = Observation("rows")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).count()
+    assert seen.get == {"n": 60}
+    assert train.score(df, model, "v").filter("prediction is not null").count() == 60
+
+
 @pytest.mark.parametrize("kind", ["SVM", "random_forest"])
 def test_three_classes(spark, kind):
     df = spark.range(150).withColumn("y", (F.col("id") % 3).cast("int"))
     df = df.withColumn("v", F.array((F.col("y") == 1).cast("double") * 4, (F.col("y") == 2).cast("double") * 4, F.rand(1)))
-    model = train.train(train.with_features(df, "v", "y"), kind, {"C": 10, "n_estimators": 5, "max_iter": 15}, n_classes=3)
+    model = train.train(train.with_features(df, "v", "y"), kind, {"C": 10, "n_estimators": 5, "max_iter": 5}, n_classes=3)
     assert train.score(df, model, "v").filter("prediction = y").count() > 140
 
 
