@@ -106,7 +106,7 @@ def word_hashes(text: bytes, up: np.ndarray, down: np.ndarray) -> np.ndarray:
 def shingles(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct hashes of a text's n-word shingles; a shorter text is one shingle, no words are none."""
     raw = (text or "").encode("utf-8", "surrogatepass").lower()
-    up, down = _powers_for(len(raw))
+    up, down = known_powers(len(raw))
     words = word_hashes(raw, up, down)
     if not len(words):
         return words
@@ -121,8 +121,8 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 _POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def _powers_for(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers for texts of n bytes, kept per worker up to a megabyte."""
+def known_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`powers`, kept per worker up to a million."""
     if n > 1 << 20:
         return powers(n)
     if not _POWERS:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.base import free_name, n_words, query, table
+from reviewloom.llm.base import n_words, query, table
 from reviewloom.plans.session import cut_lineage
 
 #: Hash digits of one level of the search for a cut, and rows of the last block, which is filled row by row.
@@ -120,47 +121,51 @@ def _find_cuts(sized: DataFrame, parts: list[dict]) -> list[dict]:
     return parts
 
 
-def mix_sources(
-    docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: int = 2, id_col: str = "doc_id", text_col: str = "text",
-    source_col: str = "source", seed: int = 17, n_shards: int = 8, blocks_per_shard: int = 16, max_sources: int = 100_000,
-) -> DataFrame:
-    """(id, source, size, source_size, target, copies, taken, shards) of every row of ``docs``.
-
-    A source's target over its size gives whole passes, which take every row, and a part of one more. That part
-    is a prefix of the rows in hash order, found by counting blocks of hash values; in the last block rows are
-    taken while they fit, so the sum comes near the target. Each pass is cut into equal ranges of its own
-    permutation of the rows; ``split_quotas`` deals these blocks out among ``n_shards`` shards, and ``shards``
-    names the shard of each copy. Nothing but counts is shuffled, and all of it repeats with the same seed.
-
-    Size is the number of words; a null or empty text has none, and such rows are never taken. Rows without a
-    source are a source of their own, last. Rows that share id and text are drawn together, also when the id is
-    null. Texts are counted whole; other columns are not read. The driver holds one row per source, which is
-    checked against ``max_sources``, and ``n_shards * blocks_per_shard`` block places for each.
-    """
-    spark = docs.sparkSession
-    key = F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.col(text_col)))
-    sized = cut_lineage(
-        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), key.alias("h")), "mix-sizes"
-    )
+@dataclass
+class Plan:
+    """Small tables that turn (source, size, h) of a row into its copies and their shards."""
+
+    numbers: DataFrame
+    state: DataFrame
+    chosen: DataFrame
+    homes: DataFrame
+    n_blocks: int
+    seed: int
+
+    def apply(self, rows: DataFrame) -> DataFrame:
+        """Add source_size, target, copies and shards; nothing but the plan's tables is sent around."""
+        source = rows["source"]
+        coded = rows.join(F.broadcast(self.numbers), source.eqNullSafe(self.numbers["source"])).drop(self.numbers["source"])
+        joined = coded.join(F.broadcast(self.state), "source_no").join(F.broadcast(self.chosen), ["source_no", "h"], "left")
+        digits = _digits(F.col("h"), F.lit(0), F.col("skip"))
+        more = F.coalesce((F.col("whole") | (digits < F.col("prefix")) | F.col("chosen").isNotNull()).cast("int"), F.lit(0))
+        copies = F.when(F.col("size") > 0, F.col("passes") + F.when(F.col("skip").isNotNull(), more).otherwise(0)).otherwise(0)
+        block = lambda t: F.pmod(F.xxhash64(F.lit(self.seed), t["turn"], F.col("h")), F.lit(self.n_blocks)).cast("int")
+        out = joined.withColumn("copies", copies).join(F.broadcast(self.homes), "source_no")
+        shards = F.transform(F.slice("turns", F.lit(1), F.col("copies")), lambda t: F.element_at(t["homes"], block(t) + 1))
+        return out.withColumn("shards", shards).drop("source_no", "passes", "skip", "prefix", "rest", "whole", "chosen", "turns")
+
+
+def plan_mix(
+    sized: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: int = 17, n_shards: int = 8,
+    blocks_per_shard: int = 16, max_sources: int = 100_000,
+) -> Plan:
+    """Work out targets, cuts and block places for a table of (source, size, h); see :func:`mix_sources`."""
+    spark = sized.sparkSession
     parts = plan_sources(sized, weights, share, most, max_sources)
     for p in parts:
         p["passes"] = min(most, int(p["target"] // p["size"])) if p["size"] else 0
-    numbers = spark.createDataFrame([(p["source"], p["no"]) for p in parts], f"source {docs.schema[source_col].dataType.simpleString()}, source_no int")
-    coded = sized.join(F.broadcast(numbers), sized["source"].eqNullSafe(numbers["source"])).select("id", sized["source"], "size", "h", "source_no")
-    _find_cuts(coded.where("size > 0"), [p for p in parts if p["size"] and p["target"] > p["passes"] * p["size"]])
-
+    numbers = spark.createDataFrame([(p["source"], p["no"]) for p in parts], f"source {sized.schema['source'].dataType.simpleString()}, source_no int")
+    coded = sized.join(F.broadcast(numbers), sized["source"].eqNullSafe(numbers["source"])).select("size", "h", "source_no").where("size > 0")
+    _find_cuts(coded, [p for p in parts if p["size"] and p["target"] > p["passes"] * p["size"]])
     fields = "source_no int, source_size bigint, target double, passes int, skip int, prefix bigint, rest double, whole boolean"
     state = spark.createDataFrame(
         [(p["no"], p["size"], p["target"], p["passes"], p.get("skip"), p.get("prefix"), p.get("rest"), p.get("done", False)) for p in parts], fields
     )
-    joined = coded.join(F.broadcast(state), "source_no")
-    digits = _digits(F.col("h"), F.lit(0), F.col("skip"))
-    last = joined.where((F.col("size") > 0) & F.col("skip").isNotNull() & ~F.col("whole") & (digits == F.col("prefix")))
+    last = coded.join(F.broadcast(state), "source_no").where(F.col("skip").isNotNull() & ~F.col("whole"))
+    last = last.where(_digits(F.col("h"), F.lit(0), F.col("skip")) == F.col("prefix"))
     per_hash = last.groupBy("source_no", "h").agg(F.sum("size").alias("size"), F.first("rest").alias("rest"))
     chosen = per_hash.groupBy("source_no").applyInPandas(_fill, "source_no int, h bigint").withColumn("chosen", F.lit(1))
-    drawn = joined.join(F.broadcast(chosen), ["source_no", "h"], "left")
-    more = F.coalesce((F.col("whole") | (digits < F.col("prefix")) | F.col("chosen").isNotNull()).cast("int"), F.lit(0))
-    copies = F.when(F.col("size") > 0, F.col("passes") + F.when(F.col("skip").isNotNull(), more).otherwise(0)).otherwise(0)
 
     n_blocks, rng = n_shards * blocks_per_shard, np.random.default_rng(seed)
     places = []
@@ -172,25 +177,51 @@ def mix_sources(
     wide = spark.createDataFrame(places, "source_no int, turn int, homes array<int>").groupBy("source_no").agg(
         F.sort_array(F.collect_list(F.struct("turn", "homes"))).alias("turns")
     )
-    home = lambda t: F.element_at(t["homes"], F.pmod(F.xxhash64(F.lit(seed), t["turn"], F.col("h")), F.lit(n_blocks)).cast("int") + 1)
-    out = drawn.withColumn("copies", copies).join(F.broadcast(wide), "source_no")
-    return out.select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies",
-        (F.col("copies") * F.col("size")).cast("bigint").alias("taken"),
-        F.transform(F.slice("turns", F.lit(1), F.col("copies")), home).alias("shards"),
+    return Plan(numbers, state, cut_lineage(chosen, "mix-chosen"), wide, n_blocks, seed)
+
+
+def _hash(id_col: str, text_col: str, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.col(text_col)))
+
+
+def mix_sources(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, **options
+) -> DataFrame:
+    """(id, source, size, source_size, target, copies, taken, shards) of every row of ``docs``.
+
+    Sources in code point order weigh ``weights``, repeating, and share ``share`` of all sizes; a target stops at
+    ``most`` times its source's size, and the excess goes to the others. A target over its source's size gives
+    whole passes, which take every row, and a part of one more. That part is a prefix of the rows in hash order,
+    found by counting blocks of hash values; in the last block rows are taken while they fit, so the sum comes
+    near the target. Each pass is cut into blocks by a permutation of its own, and ``split_quotas`` deals these
+    out among ``n_shards`` shards, exactly ``blocks_per_shard`` times the sources to each; ``shards`` names the
+    shard of each copy. Only counts are shuffled, and all of it repeats with the same seed.
+
+    Size is the number of words; a null or empty text has none, and such rows are never taken. Rows without a
+    source are a source of their own, last. Rows that share an id are drawn together, as are rows without an id
+    that share a text. Texts are counted whole; other columns are not read; an empty table gives no rows. The
+    driver holds one row per source, which is checked against ``max_sources``, and its block places.
+    """
+    sized = cut_lineage(
+        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), _hash(id_col, text_col, seed).alias("h")),
+        "mix-sizes",
     )
+    out = plan_mix(sized, seed=seed, **options).apply(sized)
+    taken = (F.col("copies") * F.col("size")).cast("bigint")
+    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", taken.alias("taken"), "shards")
 
 
-def draw(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it is taken, with their columns as they were.
+def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, **options) -> DataFrame:
+    """The rows of ``docs`` that :func:`mix_sources` takes, each as often as it is taken, with their columns as they were.
 
-    A row is matched to its draw by id (null matches null); ids that occur more than once keep their highest draw.
+    The plan is made from a table without texts; the rows themselves meet it where they lie and don't move.
     """
-    copies = free_name(docs.columns, "copies")
-    key = free_name([*docs.columns, copies], "key")
-    taken = mix_sources(docs, id_col=id_col, **options).where("copies > 0").groupBy(F.col(id_col).alias(key)).agg(F.max("copies").alias(copies))
-    joined = docs.join(taken, docs[id_col].eqNullSafe(taken[key]))
-    return joined.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*(docs[c] for c in docs.columns))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), _hash(id_col, text_col, seed).alias("h")
+    )
+    sized = cut_lineage(rows.select("source", "size", "h"), "mix-sizes")
+    taken = plan_mix(sized, seed=seed, **options).apply(rows).where("copies > 0")
+    return taken.withColumn("copy", F.explode("shards")).select("row.*")
 
 
 @query("op4_mix_sources")

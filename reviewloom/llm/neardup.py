@@ -9,9 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from reviewloom.llm.base import free_name, query, shingles, slices, table
 from reviewloom.llm.graph import components
+from reviewloom.plans.bounded import fits_broadcast
 from reviewloom.plans.session import cut_lineage
 
 #: Trees of the forest, hash values per tree, and the shortest common prefix that makes two documents neighbours.
@@ -263,7 +265,7 @@ def confirmed_links(members: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row: documents linked at ``percent`` similarity or more.
+    """(id, n_shingles, component_id, kept, set_key) of every row: documents linked at ``percent`` similarity or more.
 
     Texts are lower-cased in A-Z and cut into words at ASCII white space; a document's set holds its distinct
     shingles of ``words`` words, or its whole sequence if that is shorter. Documents with one and the same set
@@ -297,13 +299,13 @@ def near_duplicates(
     named = nodes.select("key", "id").join(found, "key", "left").select("key", F.coalesce("component", "id").alias("component"))
     out = slim.join(named, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return out.select(
+        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.col("key").alias("set_key")
+    )
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """The members of proposed groups with their hash sets, one row per key, taken from the texts once more."""
-    from reviewloom.plans.bounded import fits_broadcast
-
     wanted = cut_lineage(wanted, "wanted")
     texts = docs.select(F.col(id_col).alias("own_id"), F.col(text_col).alias("text"))
     side = F.broadcast(wanted) if fits_broadcast(wanted, max_rows=200_000, max_bytes=16 << 20) else wanted
@@ -320,13 +322,31 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
     return found.dropDuplicates(["key"])
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns as they were; of rows repeated under one id one stays."""
-    key = free_name(docs.columns, "kept_id")
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias(key)).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept[key]), "left_semi").dropDuplicates([id_col])
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns as they were.
+
+    Where ids are unique, only the ids of dropped rows meet the table, broadcast if measured small. Where an id
+    occurs again, rows are matched by id and shingle set, and of rows that agree in both one stays.
+    """
+    found = cut_lineage(near_duplicates(docs, id_col, text_col, words, percent), "near-duplicates")
+    own, theirs = free_name(docs.columns, "set_key"), free_name(docs.columns, "other_id")
+    if found.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        gone = found.where(~F.col("kept")).select(F.col(id_col).alias(theirs))
+        gone = F.broadcast(gone) if fits_broadcast(gone) else gone
+        return docs.join(gone, docs[id_col].eqNullSafe(gone[theirs]), "left_anti")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col):
+            sets = [shingles(t, words) for t in batch.column(text_col).to_pylist()]
+            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*batch.schema.names, own])
+
+    keyed = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(own, BinaryType())]))
+    kept = found.where("kept").select(F.col(id_col).alias(theirs), F.col("set_key").alias(f"{theirs}_key")).distinct()
+    same = keyed[id_col].eqNullSafe(kept[theirs]) & keyed[own].eqNullSafe(kept[f"{theirs}_key"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, own]).drop(own)
 
 
 @query("op3_near_duplicates")
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents"), words=4)
+    return near_duplicates(table(spark, folder, "documents"), words=4).drop("set_key")
