@@ -29,8 +29,8 @@ COVER = 57
 DIFFERENCES = (0, 1, 3, 13, 32, 36, 43, 52)
 #: Length of a gram by which suffixes are gathered.
 GRAM = 16
-#: Bytes of text that are hashed at once.
-STRIP = 4 << 20
+#: Bytes that are hashed at once, so that the arrays stay in the processor's cache.
+STRIP = 1 << 19
 #: Parts of a gathering that is too large for one task.
 SPLIT = 64
 
@@ -72,21 +72,33 @@ class Texts:
             a = b
 
 
-def sampled_names(texts: Texts, a: int, b: int, name: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, positions in the row, and names of the difference-cover samples of some rows."""
-    rows = np.repeat(np.arange(a, b), np.maximum(texts.size[a:b] - name + 1, 0))
-    if not len(rows):
-        return rows, rows, np.zeros(0, np.uint64)
-    first = np.concatenate(([0], np.cumsum(np.maximum(texts.size[a:b] - name + 1, 0))))[:-1]
-    at = np.arange(len(rows)) - first[rows - a]
-    covered = np.zeros(COVER, bool)
-    covered[list(DIFFERENCES)] = True
-    use = covered[at % COVER]
-    rows, at = rows[use], at[use]
-    data = texts.data[texts.base[a] : texts.base[b]]
-    up, down = known_powers(len(data) + 1)
-    start = texts.base[rows] - texts.base[a] + at
-    return rows, at, span_hash(prefix_hash(data, up), down, start, start + name)
+def sampled_names(texts: Texts, name: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, positions in the row, and names of all difference-cover samples, in order."""
+    longest = int(texts.size.max(initial=0))
+    marks = (np.arange(0, longest + 1, COVER)[:, None] + np.array(DIFFERENCES)).reshape(-1)
+    out = []
+    for a, b in texts.strips():
+        counts = np.searchsorted(marks, texts.size[a:b] - name, "right")
+        at = np.concatenate([marks[:n] for n in counts])
+        rows = np.repeat(np.arange(a, b), counts)
+        data = texts.data[texts.base[a] : texts.base[b]]
+        up, down = known_powers(len(data) + 1)
+        start = texts.base[rows] - texts.base[a] + at
+        out.append((rows, at, span_hash(prefix_hash(data, up), down, start, start + name)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+
+
+def grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions sorted by the leading bits of their hash and by place, and which of them follow an equal one.
+
+    As many leading bits count as the positions leave of 64; sorting numbers that hold both is far cheaper than
+    sorting positions.
+    """
+    low = np.uint64(max(1, int(len(hashes)).bit_length()))
+    both = np.sort((hashes >> low << low) | np.arange(len(hashes), dtype=np.uint64))
+    order = (both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    lead = both >> low
+    return order, np.concatenate(([False], lead[1:] == lead[:-1])) if len(order) else np.zeros(0, bool)
 
 
 def first_round(docs: DataFrame, buckets: int, name: int) -> DataFrame:
@@ -95,39 +107,34 @@ def first_round(docs: DataFrame, buckets: int, name: int) -> DataFrame:
     def names(part: pa.Table) -> pa.Table:
         texts, out = Texts(part), []
         bucket = part["bucket"][0].as_py()
-        for a, b in texts.strips():
-            rows, at, hashes = sampled_names(texts, a, b, name)
-            order = np.argsort(hashes, kind="stable")
-            same = np.concatenate(([False], hashes[order][1:] == hashes[order][:-1]))
-            here = np.zeros(len(rows), bool)  # names that these texts alone repeat; one place of each is sent
-            here[order[same | np.concatenate((same[1:], [False]))]] = True
-            sent = np.ones(len(rows), bool)
-            sent[order[same]] = False
-            known = packed(rows[here]), packed(at[here])
-            to = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            places = np.flatnonzero(sent)[np.argsort(to[sent], kind="stable")]
-            cuts = np.flatnonzero(np.diff(to[places])) + 1
-            for own in np.split(places, cuts):
-                if len(own):
-                    out.append((int(to[own[0]]), bucket, hashes[own].astype(np.uint32).tobytes(), packed(rows[own]), packed(at[own]), *known))
-                    known = b"", b""
+        rows, at, hashes = sampled_names(texts, name)
+        order, same = grouped(hashes)
+        here = np.zeros(len(rows), bool)  # names that these texts alone repeat; one place of each is sent
+        here[order[same | np.concatenate((same[1:], [False]))[: len(same)]]] = True
+        sent = np.ones(len(rows), bool)
+        sent[order[same]] = False
+        known = packed(rows[here]), packed(at[here])
+        to = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+        places = np.flatnonzero(sent)
+        places = places[np.argsort(to[places], kind="stable")]
+        for own in np.split(places, np.flatnonzero(np.diff(to[places])) + 1):
+            if len(own):
+                out.append((int(to[own[0]]), bucket, hashes[own].astype(np.uint32).tobytes(), packed(rows[own]), packed(at[own]), *known))
+                known = b"", b""
         return _table(out, _NAMES)
 
     def repeated(part: pa.Table) -> pa.Table:
-        homes, hashes, rows, at = [], [], [], []
-        for home, h, r, p, kr, kp in zip(*(part[c].to_pylist() for c in ("home", "names", "rows", "at", "known_rows", "known_at")), strict=True):
-            hashes.append(np.frombuffer(h, np.uint32).astype(np.int64))
-            rows += [unpacked(r), unpacked(kr)]
-            at += [unpacked(p), unpacked(kp)]
-            hashes.append(np.full(len(rows[-1]), -1))
-            homes.append(np.full(len(rows[-2]) + len(rows[-1]), home, np.int64))
-        homes, hashes, rows, at = (np.concatenate(x) for x in (homes, hashes, rows, at))
-        order = np.argsort(hashes, kind="stable")
-        same = hashes[order][1:] == hashes[order][:-1]
-        use = np.concatenate((same, [False])) | np.concatenate(([False], same)) | (hashes[order] < 0)
-        again = order[use]
-        again = again[np.lexsort((at[again], rows[again], homes[again]))]
-        return _by_home(homes[again], {"rows": rows[again], "at": at[again]})
+        columns = part.select(["home", "names", "rows", "at", "known_rows", "known_at"]).to_pylist()
+        hashes = np.concatenate([np.frombuffer(r["names"], np.uint32) for r in columns]).astype(np.uint64) << np.uint64(32)
+        fresh, old = ([(r["home"], unpacked(r[x]), unpacked(r[y])) for r in columns] for x, y in (("rows", "at"), ("known_rows", "known_at")))
+        order, same = grouped(hashes)
+        use = np.zeros(len(hashes), bool)
+        use[order[same | np.concatenate((same[1:], [False]))]] = True
+        use = np.concatenate((use, np.ones(sum(len(x[1]) for x in old), bool)))
+        homes = np.concatenate([np.full(len(x[1]), x[0], np.int64) for x in fresh + old])[use]
+        rows, at = (np.concatenate([x[k] for x in fresh + old])[use] for k in (1, 2))
+        order = np.lexsort((at, rows, homes))
+        return _by_home(homes[order], {"rows": rows[order], "at": at[order]})
 
     sent = docs.groupBy("bucket").applyInArrow(names, _NAMES[0])
     return sent.groupBy("name_bucket").applyInArrow(repeated, _PLACES[0])
@@ -274,30 +281,41 @@ def _piece_row(to: int, home: int, own: list[tuple[int, int, int, bytes]]) -> tu
 
 
 def repeated_runs(data: np.ndarray, homes: np.ndarray, ids: np.ndarray, rows: np.ndarray, at: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-    """Sort the gathered suffixes by prefix, id and place; all but the first of an equal prefix are repeats."""
-    base = np.concatenate(([0], np.cumsum(sizes)))
+    """(homes, rows, starts, ends) of runs of repeats: of suffixes with an equal prefix all but the first.
+
+    Pieces are put in order of id, row and place first, so suffixes are numbered in that order.
+    """
+    order = np.lexsort((at, rows, ids))
+    base, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
     windows = sizes - width + 1
-    first = np.concatenate(([0], np.cumsum(windows)))
-    piece = np.repeat(np.arange(len(sizes)), windows)
-    shift = np.arange(len(piece)) - first[piece]
-    up, down = known_powers(len(data) + 1)
-    start = base[piece] + shift
-    hashes = span_hash(prefix_hash(data, up), down, start, start + width)
-    order = np.argsort(hashes, kind="stable")
-    same = hashes[order][1:] == hashes[order][:-1]
-    many = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
-    p = piece[many]
-    many = many[np.lexsort((at[p] + shift[many], rows[p], ids[p], hashes[many]))]
-    later = np.concatenate(([False], hashes[many][1:] == hashes[many][:-1]))
-    many = many[later]
-    p = piece[many]
-    home, row, place = homes[p], rows[p], at[p] + shift[many]
-    order = np.lexsort((place, row, home))
-    home, row, place = home[order], row[order], place[order]
-    breaks = np.flatnonzero((np.diff(home) != 0) | (np.diff(row) != 0) | (np.diff(place) > 1)) + 1 if len(home) else np.zeros(0, int)
-    begin = np.concatenate(([0], breaks)).astype(int)[: len(home)]
-    end = np.concatenate((breaks, [len(home)])).astype(int) - 1 if len(home) else begin
-    return home[begin], row[begin], place[begin], place[end] + width
+    hashes, a = [np.zeros(0, np.uint64)], 0
+    while a < len(order):
+        b = max(a + 1, int(np.searchsorted(np.cumsum(sizes[a : a + 4096]), STRIP, "right")) + a)
+        own = np.concatenate([data[x : x + n] for x, n in zip(base[a:b].tolist(), sizes[a:b].tolist(), strict=True)])
+        first = np.repeat(np.cumsum(sizes[a:b]) - sizes[a:b] - (np.cumsum(windows[a:b]) - windows[a:b]), windows[a:b])
+        start = first + np.arange(len(first))
+        up, down = known_powers(len(own) + 1)
+        hashes.append(span_hash(prefix_hash(own, up), down, start, start + width))
+        a = b
+    hashes = np.concatenate(hashes)
+    place, same = grouped(hashes)
+    begins = np.maximum.accumulate(np.where(same, 0, np.arange(len(same)))) if len(same) else place
+    odd = np.flatnonzero(same & (hashes[place] != hashes[place[begins]]))
+    if len(odd):  # leading bits that are shared by chance: sort those few by their whole hashes
+        inside = np.flatnonzero(np.isin(begins, begins[odd]))
+        inside = inside[np.lexsort((place[inside], hashes[place[inside]]))]
+        whole = hashes[place[inside]]
+        place = np.concatenate((place[~np.isin(begins, begins[odd])], place[inside]))
+        same = np.concatenate((same[~np.isin(begins, begins[odd])], [False], whole[1:] == whole[:-1]))
+    again = np.zeros(len(hashes), bool)
+    again[place[same]] = True
+    piece = np.repeat(np.arange(len(order)), windows)[again]
+    where = (np.flatnonzero(again) - (np.cumsum(windows) - windows)[piece]) + at[order][piece]
+    home, row = homes[order][piece], rows[order][piece]
+    breaks = np.flatnonzero((np.diff(home) != 0) | (np.diff(row) != 0) | (np.diff(where) != 1)) + 1
+    begin = np.concatenate(([0], breaks))[: len(home)].astype(int)
+    end = np.concatenate((breaks, [len(home)]))[: len(begin)].astype(int) - 1
+    return home[begin], row[begin], where[begin], where[end] + width
 
 
 def remove_repeats(
