@@ -34,8 +34,8 @@ CLOSES = {
     "body": {"head"},
 }
 SCOPES = frozenset("html body article main section div table ul ol dl td th blockquote aside nav header footer form".split())
-#: Elements that are not counted: line breaks and the like, what goes anyway, and the page itself.
-NO_TEMPLATE = VOID | DROPPED | {"html", "body"}
+#: Elements that are not counted: parts of a line of text, what goes anyway, and the page itself.
+NO_TEMPLATE = VOID | INLINE | DROPPED | {"html", "body"}
 #: Words in class, id or role that mark menus, notices, adverts and comments.
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscri\w*|"
