@@ -58,11 +58,11 @@ def box_stats(df: DataFrame, group: str, feature: str) -> DataFrame:
 def histogram(df: DataFrame, group: str, feature: str, bins: int = 100) -> DataFrame:
     """Counts in equal-width bins between each group's own minimum and maximum; empty bins are absent.
 
-    Values are counted before they meet the ranges, so a heavy group shuffles one row per distinct value.
+    Values that are null or not finite are left out. Values are counted before they meet the ranges, so a heavy group shuffles one row per distinct value.
     """
     x = F.col("_x")
     counted = (
-        df.filter(F.col(feature).isNotNull() & F.col(group).isNotNull())
+        df.filter((F.abs(F.col(feature).cast("double")) < float("inf")) & F.col(group).isNotNull())
         .groupBy(group, F.col(feature).cast("double").alias("_x"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )

@@ -174,7 +174,7 @@ def score_external(
                     found[i] = result
             yield pd.DataFrame(found, columns=["label", "probability"])
 
-    return df.withColumn("_score", scores(text_col)).select(*df.columns, "_score.label", "_score.probability")
+    return df.withColumn("_score", scores.asNondeterministic()(text_col)).select(*df.columns, "_score.label", "_score.probability")
 
 
 def embedding_column(text_col: str, model: str) -> str:
@@ -203,7 +203,7 @@ def embed(
                 out[i] = [float(x) for x in vector]
             yield pd.Series(out)
 
-    return df.withColumn(name, vectors(prefix_text(text_col, model)))
+    return df.withColumn(name, vectors.asNondeterministic()(prefix_text(text_col, model)))
 
 
 def embed_all(

@@ -29,30 +29,35 @@ class Rule:
     column: Callable[[Column, Column], Column]
 
 
+def _lower(words: Sequence[str]) -> list[str]:
+    """Word lists in the form of the cleaned text."""
+    return [w.strip().lower() for w in words]
+
+
 def keyword_rule(name: str, keywords: Sequence[str]) -> Rule:
     """1 when any of the words or phrases occurs."""
-    return Rule(name, lambda text, words: has_word(text, keywords).cast("int"))
+    return Rule(name, lambda text, words: has_word(text, _lower(keywords)).cast("int"))
 
 
 def severity_rule(name: str, strong: Sequence[str], possible: Sequence[str]) -> Rule:
     """2, 1 or 0 by the strongest group of words that occurs."""
-    return Rule(name, lambda text, words: F.when(has_word(text, strong), 2).when(has_word(text, possible), 1).otherwise(0))
+    return Rule(name, lambda text, words: F.when(has_word(text, _lower(strong)), 2).when(has_word(text, _lower(possible)), 1).otherwise(0))
 
 
 def lacks_rule(name: str, keywords: Sequence[str]) -> Rule:
     """1 when none of the words occurs, e.g. no first-person word in something that is not an experience."""
-    return Rule(name, lambda text, words: (~has_word(text, keywords)).cast("int"))
+    return Rule(name, lambda text, words: (~has_word(text, _lower(keywords))).cast("int"))
 
 
 def mentions_rule(name: str, names: Sequence[str]) -> Rule:
     """Number of words that are one of the names."""
-    wanted = sorted(set(names))
+    wanted = sorted({n.lower() for n in names})
     return Rule(name, lambda text, words: F.size(F.filter(words, lambda w: w.isin(wanted))))
 
 
 def pairs_rule(name: str, modifiers: Sequence[str]) -> Rule:
     """Number of words that directly follow a modifier."""
-    wanted = sorted(set(modifiers))
+    wanted = sorted({m.lower() for m in modifiers})
 
     def count(text: Column, words: Column) -> Column:
         heads = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))

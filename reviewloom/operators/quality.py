@@ -95,7 +95,7 @@ def embedding_drift(
     rtol: float = 1e-5,
     atol: float = 1e-8,
 ) -> DataFrame:
-    """Compare stored with fresh vectors by key: ``(id, is_close)``.
+    """Compare stored with fresh vectors by key: ``(id, is_close)``; a missing vector is not close.
 
     With ``n`` only the first n stored rows in hash order are compared, the check that the quality gate
     runs before a training job.
@@ -104,7 +104,8 @@ def embedding_drift(
     if n is not None:
         stored = sample_n(stored, n, id_col, seed)
     fresh = new.select(id_col, F.col(col).alias("_fresh"))
-    return stored.join(fresh, id_col).select(id_col, all_close("_stored", "_fresh", rtol, atol).alias("is_close"))
+    close = F.coalesce(all_close("_stored", "_fresh", rtol, atol), F.lit(False))
+    return stored.join(fresh, id_col, "left").select(id_col, close.alias("is_close"))
 
 
 def filter_close_matches(df: DataFrame, col: str, refs: Sequence[str], cutoff: float = 0.8) -> DataFrame:
@@ -195,6 +196,6 @@ class QualityGateError(RuntimeError):
 
 def quality_gate(report: DataFrame) -> None:
     """Stop the job when a report has any finding. The report has a few lines per dataset."""
-    bad = report.filter("n_bad > 0").orderBy("dataset", "check_name").limit(1000).collect()
+    bad = report.filter("n_bad > 0").orderBy("dataset", "check_name").collect()
     if bad:
         raise QualityGateError([(r["dataset"], r["check_name"], r["n_bad"]) for r in bad])

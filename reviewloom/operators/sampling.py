@@ -15,9 +15,6 @@ from reviewloom.plans.hash_rank import TooManyGroups, hash_segments, rank_by_has
 # Default shares of train, test and validation rows.
 SPLIT_FRACTIONS = {"train": 0.5, "test": 0.25, "val": 0.25}
 
-# Up to this many rows a sample is the top of a sort, merged on one task; above it is a filter.
-TOP_N_LIMIT = 10_000
-
 
 def assign_splits(df: DataFrame, id_col: str, fractions: Mapping[str, float] | None = None, seed: int = DEFAULT_SEED) -> DataFrame:
     """One-hot split columns; a row's split depends on its id alone, so it survives new data."""
@@ -50,9 +47,10 @@ def shuffle(df: DataFrame, id_col: str, seed: int = DEFAULT_SEED) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, id_col: str, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Exactly n rows (all of them when there are fewer)."""
-    if n <= TOP_N_LIMIT:
-        return df.filter(F.col(id_col).isNotNull()).orderBy(seed_hash(seed, id_col), id_col).limit(n)
+    """The first n rows in hash order (all of them when there are fewer), and rows that share the last one's key.
+
+    Rows without a key are left out.
+    """
     return take_by_hash(df, None, id_col, n, seed)
 
 

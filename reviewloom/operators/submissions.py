@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +21,8 @@ RATINGS_TYPE = "array<struct<Question:string,Rating:string>>"
 def infer_payload_schema(df: DataFrame, col: str) -> str:
     """DDL of a JSON column, merged over all payloads by one aggregate. Pass a schema to save this pass."""
     shape = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col)))).first()[0]
-    return shape.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+    shape = re.sub(r"(^|: |ARRAY<)OBJECT<", r"\1STRUCT<", shape)
+    return re.sub(r"(: |ARRAY<)VOID(?=[,>])", r"\1STRING", shape)
 
 
 def unpack_json(df: DataFrame, col: str, schema: T.StructType | str | None = None, keep: Sequence[str] = ()) -> DataFrame:

@@ -77,7 +77,7 @@ def misspellings(df: DataFrame, id_col: str, text: str, dictionary: DataFrame) -
     back to the texts.
     """
     words = df.select(id_col, F.explode_outer(F.array_distinct(tokens(text))).alias("token"))
-    known = dictionary.select("token").distinct().withColumn("_known", F.lit(True))
+    known = dictionary.select(F.explode(tokens("token")).alias("token")).distinct().withColumn("_known", F.lit(True))
     marked = lookup_join(words, known, "token", "left", spread_by=[id_col])
     unknown = F.col("token").isNotNull() & F.col("_known").isNull()
     return marked.groupBy(id_col).agg(F.count_if(unknown).alias("misspellings"))
@@ -86,7 +86,7 @@ def misspellings(df: DataFrame, id_col: str, text: str, dictionary: DataFrame) -
 def lexicon_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Mean polarity of the words that a lexicon (``token``, ``polarity``) knows; 0 without any."""
     words = df.select(id_col, F.explode_outer(tokens(text)).alias("token"))
-    scored = lookup_join(words, lexicon.select("token", "polarity"), "token", "left", spread_by=[id_col])
+    scored = lookup_join(words, lexicon.select(F.lower("token").alias("token"), "polarity"), "token", "left", spread_by=[id_col])
     return scored.groupBy(id_col).agg(F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("sentiment"))
 
 
@@ -96,15 +96,18 @@ def tag_terms(df: DataFrame, y: str, text: str, tags: DataFrame) -> DataFrame:
     Words are counted per class first, so the lexicon meets the vocabulary and not the running text.
     """
     vocabulary = class_term_counts(df, y, tokens(text), "token")
-    tagged = lookup_join(vocabulary, tags.select("token", "tag"), "token", "inner", spread_by=["n1", "n0"])
+    tagged = lookup_join(vocabulary, tags.select(F.lower("token").alias("token"), "tag"), "token", "inner", spread_by=["n1", "n0"])
     return tagged.groupBy("tag").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def tag_names(df: DataFrame, id_col: str, text: str, gazetteer: DataFrame, max_words: int = 3) -> DataFrame:
-    """Mentions of gazetteer phrases (``phrase``, ``entity``) of up to ``max_words`` words.
+def tag_names(df: DataFrame, id_col: str, text: str, gazetteer: DataFrame) -> DataFrame:
+    """Mentions of gazetteer phrases (``phrase``, ``entity``), matched as words in lower case.
 
-    One row per mention: ``(id, start, entity, phrase)``; ``start`` is the index of the first word.
+    One row per mention: ``(id, start, entity, phrase)``; ``start`` is the index of the first word. The longest
+    phrase is measured first.
     """
+    gazetteer = gazetteer.select(F.concat_ws(" ", tokens("phrase")).alias("phrase"), "entity").filter("phrase <> ''").distinct()
+    max_words = gazetteer.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
     words = df.select(id_col, tokens(text).alias("_w"))
     parts = [f"_{i}" for i in range(max_words)]
     places = words.select(id_col, F.posexplode(neighbours("_w", max_words, parts, whole=False)).alias("start", "_g")).select(
@@ -128,7 +131,7 @@ def modifier_pairs(df: DataFrame, id_col: str, text: str, modifiers: DataFrame)
     words = df.select(id_col, tokens(text).alias("_w"))
     pairs = neighbours("_w", 2, ["token", "head"])
     rows = words.select(id_col, F.posexplode(pairs).alias("pos", "_p")).select(id_col, "pos", "_p.*")
-    found = lookup_join(rows, modifiers.select("token").distinct(), "token", "inner", spread_by=[id_col, "pos"])
+    found = lookup_join(rows, modifiers.select(F.lower("token").alias("token")).distinct(), "token", "inner", spread_by=[id_col, "pos"])
     return found.select(id_col, "pos", F.col("token").alias("modifier"), "head")
 
 

@@ -46,11 +46,22 @@ TERM_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
 def with_features(df: DataFrame, vector_col: str, y: str | None = None) -> DataFrame:
-    """Vectors stay arrays everywhere else; this is the one place where they become ML vectors."""
+    """Vectors stay arrays everywhere else; this is the one place where they become ML vectors.
+
+    For training (with ``y``) rows without a vector or a label are left out.
+    """
+    if y:
+        df = df.filter(F.col(vector_col).isNotNull() & F.col(y).isNotNull())
     out = df.withColumn(FEATURES, array_to_vector(F.col(vector_col)))
     return out.withColumn(LABEL, F.col(y).cast("double")) if y else out
 
 
+def _n_features(model) -> int:
+    """Length of the vectors that a fitted classifier takes."""
+    last = model.stages[-1] if isinstance(model, PipelineModel) else model
+    return getattr(last, "models", [last])[0].numFeatures
+
+
 def bow(df: DataFrame, text_col: str, size: int = VOCABULARY_SIZE) -> PipelineModel:
     """Bag of words over the most frequent terms of two or more word characters, stop-words kept.
 
@@ -143,6 +154,7 @@ def train(df: DataFrame, kind: str, params: Mapping | None = None, n_rows: int |
 
 def train_text(df: DataFrame, text_col: str, y: str, kind: str = "logistic_regression", params: Mapping | None = None, size: int = VOCABULARY_SIZE) -> PipelineModel:
     """Bag of words plus classifier as one saved-and-loaded-together pipeline."""
+    df = df.filter(F.col(text_col).isNotNull() & F.col(y).isNotNull())
     words = bow(df, text_col, size)
     rows = words.transform(df.withColumn(LABEL, F.col(y).cast("double")))
     return PipelineModel(stages=[*words.stages, train(rows, kind, params)])
@@ -150,15 +162,26 @@ def train_text(df: DataFrame, text_col: str, y: str, kind: str = "logistic_regre
 
 def score(df: DataFrame, model, vector_col: str | None = None) -> DataFrame:
     """Add ``prediction`` (int) and, where the model has them, ``probability`` of the predicted class and
-    ``decision`` (raw score of class 1)."""
-    rows = with_features(df, vector_col) if vector_col else df
-    out = model.transform(rows)
-    added = [F.col("prediction").cast("int").alias("prediction")]
+    ``decision`` (raw score of class 1). A row whose text or vector is null gets nulls."""
+    if not vector_col and FEATURES in df.columns:  # made by ``with_features``, without nulls
+        return _scored(df, model.transform(df), F.lit(True), None)
+    if vector_col:
+        given, missing = vector_col, F.array_repeat(F.lit(0.0), _n_features(model)).cast(df.schema[vector_col].dataType)
+    else:
+        given, missing = model.stages[0].getInputCol(), F.lit("")
+    filled = df.withColumn("_given", F.col(given)).withColumn(given, F.coalesce(F.col(given), missing))
+    out = model.transform(with_features(filled, vector_col) if vector_col else filled)
+    return _scored(df, out, F.col("_given").isNotNull(), given)
+
+
+def _scored(df: DataFrame, out: DataFrame, present, given: str | None) -> DataFrame:
+    """The columns of ``df`` and what the model added, null where its input is not present."""
+    added = [F.when(present, F.col("prediction").cast("int")).alias("prediction")]
     if "probability" in out.columns:
-        added.append(F.array_max(vector_to_array("probability")).alias("probability"))
+        added.append(F.when(present, F.array_max(vector_to_array("probability"))).alias("probability"))
     if "rawPrediction" in out.columns:
-        added.append(F.get(vector_to_array("rawPrediction"), F.lit(1)).alias("decision"))
-    return out.select(*df.columns, *added)
+        added.append(F.when(present, F.get(vector_to_array("rawPrediction"), F.lit(1))).alias("decision"))
+    return out.select(*(F.col("_given").alias(c) if c == given else c for c in df.columns), *added)
 
 
 def save_model(model, path: str) -> None:
@@ -259,7 +282,7 @@ def search_mix(
     """
     spark = next(iter(datasets.values())).sparkSession
     scorer = scorer or M.default_scorer(multiclass)
-    pool = concat_datasets(datasets, source_col="_source")
+    pool = concat_datasets(datasets, source_col="_source").filter(F.col(vector_col).isNotNull())
     hash_col = seed_hash(seed, id_col)
     narrow = pool.filter((F.col("train") == 1) & F.col(y).isNotNull()).select("_source", id_col)
     training = (

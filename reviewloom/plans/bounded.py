@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 MAX_ROWS = 500_000
 MAX_BYTES = 64 * 1024 * 1024
 SALTS = 32
+SMALL_SPLITS, SPREAD_TASKS = 8, 64
 
 
 def bounded_rows(df: DataFrame, limit: int) -> list[Row] | None:
@@ -47,10 +48,10 @@ def lookup_join(
 
 
 def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table with fewer splits than the cluster has cores over all of them, by key.
+    """Spread a table of a few splits over the cores, by key.
 
-    For a table read as it is and about to meet CPU-heavy expressions. One of real size has more splits
-    than there are cores and does not move.
+    For a table read as it is and about to meet CPU-heavy expressions. One of more than ``SMALL_SPLITS`` splits,
+    about 1 GB, does not move on any cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_TASKS)
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < min(cores, SMALL_SPLITS) else df

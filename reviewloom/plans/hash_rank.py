@@ -137,7 +137,8 @@ def hash_segments(
 def rank_by_hash(df: DataFrame, group: str, key: str, seed: int = DEFAULT_SEED, name: str = "hash_rank") -> DataFrame:
     """Every row with its position (from 1) in its group's hash order and the group's size ``_n``.
 
-    Rows shuffle once, on (group, leading hash digits).
+    Rows shuffle once, on (group, leading hash digits). Rows that share a key share the first one's position, and
+    rows without a key or group are left out, as when cuts are looked up.
     """
     counts = _keyed(df, group, key, seed).groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_rows"))
     upto = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -149,11 +150,12 @@ def rank_by_hash(df: DataFrame, group: str, key: str, seed: int = DEFAULT_SEED,
     )
     within = Window.partitionBy("_g", "_p").orderBy("_h", key)
     return (
-        df.withColumn("_g", F.col(group))
+        df.filter(F.col(group).isNotNull() & F.col(key).isNotNull())
+        .withColumn("_g", F.col(group))
         .withColumn("_h", seed_hash(seed, key))
         .withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
         .join(starts, ["_g", "_p"])
-        .withColumn(name, F.col("_before") + F.row_number().over(within))
+        .withColumn(name, F.col("_before") + F.rank().over(within))
         .drop("_g", "_p", "_h", "_before")
     )
 

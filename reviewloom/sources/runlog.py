@@ -70,7 +70,7 @@ class RunLog:
     def attributes(self, run_id: str) -> dict[str, str]:
         """Attributes of one run."""
         rows = self.read().filter((F.col("run_id") == run_id) & F.col("text").isNotNull()).select("name", "text")
-        return {r["name"]: r["text"] for r in rows.limit(10_000).collect()}
+        return {r["name"]: r["text"] for r in rows.collect()}
 
 
 def leaderboard(runs: DataFrame, metric: str) -> DataFrame:

@@ -46,7 +46,7 @@ def test_partitioning_does_not_matter(pool, parts):
     assert {r["id"] for r in sampling.balance(shuffled, "y", "id").collect()} == {
         r["id"] for r in sampling.balance(pool, "y", "id").collect()
     }
-    assert sampling.sample_n(shuffled, 37, "id").collect() == sampling.sample_n(pool, 37, "id").collect()
+    assert sorted(sampling.sample_n(shuffled, 37, "id").collect()) == sorted(sampling.sample_n(pool, 37, "id").collect())
 
 
 def test_many_groups_take_the_shuffle_path(pool, monkeypatch):
@@ -66,14 +66,30 @@ def test_many_groups_take_the_shuffle_path(pool, monkeypatch):
     assert usual == [sorted(map(str, df.collect())) for df in other]
 
 
-def test_large_sample_equals_sorted_sample(pool, monkeypatch):
-    small = {r["id"] for r in sampling.sample_n(pool, 500, "id").collect()}
-    monkeypatch.setattr(sampling, "TOP_N_LIMIT", 10)
-    assert {r["id"] for r in sampling.sample_n(pool, 500, "id").collect()} == small
+def test_sample_is_the_first_rows_in_hash_order(pool):
+    ids = sorted((r["id"] for r in pool.select("id").collect()), key=order)
+    assert {r["id"] for r in sampling.sample_n(pool, 500, "id").collect()} == set(ids[:500])
     assert sampling.sample_n(pool, 10**6, "id").count() == pool.count()
     assert sampling.sample_n(pool, 0, "id").count() == 0
 
 
+def test_null_and_repeated_keys_on_both_paths(spark, monkeypatch):
+    rows = [(i % 700, "ab"[i % 2]) for i in range(3000)] + [(None, "a")] * 40 + [(5000 + i, "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, y string")
+
+    def results():
+        frames = (
+            sampling.balance(df, "y", "id"),
+            sampling.mix(df, "y", {"a": 77, "b": "all"}, "id"),
+            sampling.stratified_split(df, "y", "id", 0.3),
+        )
+        return [sorted(map(str, f.collect())) for f in frames]
+
+    usual = results()
+    monkeypatch.setattr(hash_rank, "MAX_COUNTS", 3)
+    assert usual == results()
+
+
 def test_repeated_keys_stay_together(spark):
     df = spark.createDataFrame([(1, "a")] * 500 + [(i, "a") for i in range(2, 12)], "id int, y string")
     ranked = sorted({1, *range(2, 12)}, key=order)
