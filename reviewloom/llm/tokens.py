@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -18,6 +19,8 @@ _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u30
 UNIT = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 #: Longer units are encoded each time and not remembered.
 LONGEST_KEPT = 64
+#: Units that are encoded in one call.
+AT_ONCE = 1024
 
 
 class TokenLengths:
@@ -28,6 +31,7 @@ class TokenLengths:
     """
 
     def __init__(self, path: str, frequent: dict[str, int], room: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; further threads only hold memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -35,7 +39,9 @@ class TokenLengths:
         self.frequent, self.known, self.room = frequent, dict(frequent), room
 
     def encode(self, texts: list[str]) -> list[int]:
-        return [len(e) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        """Token lengths; encodings are large, so only ``AT_ONCE`` of them are held."""
+        parts = (texts[a : a + AT_ONCE] for a in range(0, len(texts), AT_ONCE))
+        return [len(e) for part in parts for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
 
     def count(self, texts: list[str]) -> list[int]:
         whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
@@ -72,7 +78,7 @@ def frequent_lengths(docs: DataFrame, text: str, path: str, sample_docs: int, ta
 
 def count_tokens(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512,
-    sample_docs: int = 500, table_size: int = 20_000, cache_size: int = 300_000,
+    sample_docs: int = 500, table_size: int = 20_000, cache_size: int = 200_000,
 ) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row, in one pass without a shuffle.
 
@@ -88,7 +94,7 @@ def count_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TokenLengths(path, shared.value, cache_size)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             text = batch.column("text")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.compute.binary_length(text).cast(pa.int64()), pa.array(counter.count(text.to_pylist()), pa.int64())],
