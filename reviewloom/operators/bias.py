@@ -22,8 +22,9 @@ MIN_ROWS = 3
 def text_features(df: DataFrame, id_col: str, text: str, dictionary: DataFrame, lexicon: DataFrame) -> DataFrame:
     """``text_length`` in words, ``sentiment``, distinct ``spelling_mistakes`` and their rate per text.
 
-    The text is tokenised once and its distinct words, with their counts, are looked up once in the
-    union of both word lists.
+    The text is tokenised once. All its words (for the sentiment) and its distinct words (for the mistakes) are
+    looked up once in the union of both word lists, and become sums per text where they lie: no word is shuffled
+    while the lists are small enough to broadcast.
     """
     known = (
         dictionary.select("token", F.lit(1).alias("_known"), F.lit(None).cast("double").alias("_polarity"))
@@ -32,14 +33,14 @@ def text_features(df: DataFrame, id_col: str, text: str, dictionary: DataFrame,
         .agg(F.max("_known").alias("_known"), F.max("_polarity").alias("_polarity"))
     )
     counted = df.select(id_col, word_count(text).alias("text_length"), tokens(text).alias("_w"))
-    words = counted.select(id_col, "text_length", F.explode_outer("_w").alias("token"))
-    uses = words.groupBy(id_col, "text_length", "token").agg(F.count(F.lit(1)).alias("_n"))
-    marked = lookup_join(uses, known, "token", "left", spread_by=[id_col])
-    scored = F.when(F.col("_polarity").isNotNull(), F.col("_n"))
-    mistakes = F.count_if(F.col("token").isNotNull() & F.col("_known").isNull())
+    every = F.transform("_w", lambda w: F.struct(w.alias("token"), F.lit(False).alias("_distinct")))
+    distinct = F.transform(F.array_distinct("_w"), lambda w: F.struct(w.alias("token"), F.lit(True).alias("_distinct")))
+    words = counted.select(id_col, "text_length", F.inline_outer(F.concat(every, distinct)))
+    marked = lookup_join(words, known, "token", "left", spread_by=[id_col])
+    scored = F.when(~F.col("_distinct"), F.col("_polarity"))
     out = marked.groupBy(id_col, "text_length").agg(
-        F.coalesce(F.try_divide(F.sum(F.col("_polarity") * F.col("_n")), F.sum(scored)), F.lit(0.0)).alias("sentiment"),
-        mistakes.alias("spelling_mistakes"),
+        F.coalesce(F.avg(scored), F.lit(0.0)).alias("sentiment"),
+        F.count_if(F.col("_distinct") & F.col("_known").isNull()).alias("spelling_mistakes"),
     )
     rate = F.coalesce(F.try_divide(F.col("spelling_mistakes").cast("double"), F.col("text_length")), F.lit(0.0))
     return out.withColumn("spelling_mistakes_rate", rate)

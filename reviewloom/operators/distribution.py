@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.plans.bounded import fits_broadcast
+from reviewloom.plans.bounded import fits_broadcast, lookup_join
 from reviewloom.plans.value_ranks import value_ranks
 
 # Quartiles and the reach of the whiskers.
@@ -58,22 +58,16 @@ def box_stats(df: DataFrame, group: str, feature: str) -> DataFrame:
 def histogram(df: DataFrame, group: str, feature: str, bins: int = 100) -> DataFrame:
     """Counts in equal-width bins between each group's own minimum and maximum; empty bins are absent.
 
-    Values that are null or not finite are left out. Values are counted before they meet the ranges, so a heavy group shuffles one row per distinct value.
+    Values that are null or not finite are left out. The ranges, one row per group, go to the rows; these are binned
+    where they lie and combine there, so no more than ``bins`` counts per group leave a task.
     """
     x = F.col("_x")
-    counted = (
-        df.filter((F.abs(F.col(feature).cast("double")) < float("inf")) & F.col(group).isNotNull())
-        .groupBy(group, F.col(feature).cast("double").alias("_x"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ends = counted.groupBy(group).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    finite = (F.abs(F.col(feature).cast("double")) < float("inf")) & F.col(group).isNotNull()
+    rows = df.filter(finite).select(group, F.col(feature).cast("double").alias("_x"))
+    ends = rows.groupBy(group).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     slot = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((x - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
     )
-    return (
-        counted.join(F.broadcast(ends) if few_groups_in(df, group) else ends, group)
-        .withColumn("bin", slot)
-        .groupBy(group, "bin")
-        .agg(F.sum("_n").alias("n"))
-    )
+    binned = lookup_join(rows, ends, group, spread_by=["_x"])
+    return binned.groupBy(group, slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

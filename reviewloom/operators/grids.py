@@ -13,8 +13,6 @@ from reviewloom.operators.sampling import sample_n
 
 # Value lists for review prompts.
 SENTIMENTS = ["very negative", "slightly negative", "neutral", "slightly positive", "very positive"]
-LOCATIONS = ["GP Practice", "hospital", "dentist", "care centre"]
-WORD_COUNTS = ["50", "200", "400"]
 
 # The complaints grid (7 x 6 x 4 x 5 values, repeats weight the draw).
 COMPLAINTS_GRID = {

@@ -15,6 +15,7 @@ from reviewloom.functions.text import clean_text
 from reviewloom.functions.vectors import all_close
 from reviewloom.operators.sampling import sample_n
 from reviewloom.operators.tables import SPLITS, drop_null_text
+from reviewloom.plans.bounded import fits_broadcast, lookup_join
 
 
 def add_cleaned(df: DataFrame, col: str) -> DataFrame:
@@ -33,22 +34,30 @@ def find_duplicates(df: DataFrame, cols: Sequence[str], count_col: str = "n_copi
     """Every member of every duplicate group, with the size of its group. Nulls count as equal.
 
     Group sizes come from a map-side combined count on a 32-byte key, so a text copied a billion times
-    costs one counter per task. The join back keeps the copies on the probe side, where adaptive
-    execution splits a skewed partition.
+    costs one counter per task. Only the keys of repeated rows go back: broadcast where they were measured small,
+    else by a salted join, which spreads a hot text.
     """
-    key = _group_key(df, cols)
-    groups = df.select(key.alias("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias(count_col)).filter(F.col(count_col) > 1)
-    return df.withColumn("_key", key).join(groups, "_key").drop("_key")
+    keyed = df.withColumn("_key", _group_key(df, cols))
+    groups = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias(count_col)).filter(F.col(count_col) > 1)
+    return lookup_join(keyed, groups, "_key").select(*df.columns, count_col)
 
 
 def drop_duplicates(df: DataFrame, cols: Sequence[str], order: str) -> DataFrame:
-    """First row per combination of ``cols`` in the order of a unique column.
+    """First row per combination of ``cols`` in the order of a column.
 
-    ``min_by`` combines on the map side, so a hot group reaches its reducer as one row per task instead
-    of being ranked whole in a window.
+    A null order comes last; of rows that tie in it, the one with the smallest hash over all columns stays.
+    Rows are counted on a 32-byte key, and only keys that occur again are looked up: rows whose combination is
+    unique are a filtered scan. What is left of the others (first in order) meets by key, combined on the map side.
     """
-    first = F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.col(order)).alias("_row")
-    return df.groupBy(_group_key(df, cols).alias("_key")).agg(first).select("_row.*")
+    keyed = df.withColumn("_key", _group_key(df, cols))
+    counted = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first"))
+    again = counted.filter("_n > 1").drop("_n")
+    fits = fits_broadcast(again)
+    alone = lookup_join(keyed, again.select("_key"), "_key", "left_anti", fits=fits).select(*df.columns)
+    ahead = lookup_join(keyed, again, "_key", fits=fits).filter(F.col(order).eqNullSafe(F.col("_first")))
+    hashable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    first = F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.xxhash64(*hashable)).alias("_row")
+    return alone.unionByName(ahead.groupBy("_key").agg(first).select("_row.*"))
 
 
 def clean_dataset(df: DataFrame, id_col: str, text_col: str, order: str | None = None) -> DataFrame:
@@ -57,18 +66,15 @@ def clean_dataset(df: DataFrame, id_col: str, text_col: str, order: str | None =
 
 
 def cross_dataset_duplicates(df: DataFrame, col: str, source: str) -> DataFrame:
-    """Texts that occur more than once in a union of datasets, with the datasets that hold them."""
-    return (
-        df.filter(F.col(col).isNotNull())
-        .groupBy(text_key(col).alias("_key"))
-        .agg(
-            F.min(col).alias(col),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_distinct(source).alias("n_sources"),
-            F.array_join(F.array_sort(F.collect_set(source)), ",").alias("sources"),
-        )
-        .filter("n_rows > 1")
-        .drop("_key")
+    """Texts that occur more than once in a union of datasets, with the datasets that hold them.
+
+    Rows are counted on a 32-byte key; the texts are fetched for the keys that occur again only.
+    """
+    keyed = df.filter(F.col(col).isNotNull()).select(text_key(col).alias("_key"), col, source)
+    again = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("n_rows"), F.collect_set(source).alias("_in")).filter("n_rows > 1")
+    texts = lookup_join(keyed.select("_key", col), again.select("_key"), "_key").groupBy("_key").agg(F.any_value(col).alias(col))
+    return texts.join(again, "_key").select(
+        col, "n_rows", F.size("_in").cast("bigint").alias("n_sources"), F.array_join(F.array_sort("_in"), ",").alias("sources")
     )
 
 
@@ -143,21 +149,29 @@ def filter_close_matches(df: DataFrame, col: str, refs: Sequence[str], cutoff: f
 
 
 def quality_report(
-    datasets: Mapping[str, DataFrame],
+    datasets: Mapping[str, DataFrame] | DataFrame,
     text_col: str,
     split_cols: Sequence[str] = SPLITS,
     drift: Mapping[str, DataFrame] | None = None,
+    dataset_col: str = "dataset",
 ) -> DataFrame:
-    """``(dataset, check_name, n_bad)`` for every dataset and one line for the union of all.
+    """``(dataset, check_name, n_bad)`` for every dataset and one line (``*``) for the union of all.
 
-    Duplicates within and across datasets come from one count per (text, dataset) over the union; split
-    flags from one conditional aggregate. ``drift`` maps dataset names to ``embedding_drift`` results.
+    ``datasets`` is one frame per name, or a single frame in which ``dataset_col`` names the dataset, null being
+    one of its own. All checks come from one count per (text, dataset): a text's counts meet by key, one entry
+    per dataset that holds it, and give the lines within and across datasets together. ``drift`` maps dataset
+    names to ``embedding_drift`` results.
     """
+    if isinstance(datasets, DataFrame):
+        datasets = {"": datasets}
+        names = {"": F.col(dataset_col).cast("string")}
+    else:
+        names = {name: F.lit(name) for name in datasets}
     rows = reduce(
         DataFrame.unionByName,
         [
             df.select(
-                F.lit(name).alias("dataset"),
+                names[name].alias("dataset"),
                 _group_key(df, [text_col]).alias("_key"),
                 bad_split(split_cols).cast("long").alias("_bad"),
             )
@@ -165,18 +179,20 @@ def quality_report(
         ],
     )
     per_text = rows.groupBy("_key", "dataset").agg(F.count(F.lit(1)).alias("n"), F.sum("_bad").alias("bad"))
-    within = per_text.groupBy("dataset").agg(
-        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("duplicate_texts"),
-        F.sum("bad").alias("invalid_splits"),
-    )
-    lines = within.unpivot(["dataset"], ["duplicate_texts", "invalid_splits"], "check_name", "n_bad")
-    across = (
-        per_text.groupBy("_key")
-        .agg(F.sum("n").alias("n"))
-        .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)), F.lit(0)).alias("n_bad"))
-        .select(F.lit("*").alias("dataset"), F.lit("cross_dataset_duplicates").alias("check_name"), "n_bad")
-    )
-    out = lines.unionByName(across)
+    per_key = per_text.groupBy("_key").agg(F.collect_list(F.struct("dataset", "n", "bad")).alias("parts"), F.sum("n").alias("all"))
+
+    def line(dataset: Column, check: str, n: Column) -> Column:
+        return F.struct(dataset.cast("string").alias("dataset"), F.lit(check).alias("check_name"), n.cast("long").alias("n_bad"))
+
+    def repeated(n: Column) -> Column:
+        return F.when(n > 1, n).otherwise(0)
+
+    across = F.array(line(F.lit("*"), "cross_dataset_duplicates", repeated(F.col("all"))))
+    texts = F.transform("parts", lambda p: line(p["dataset"], "duplicate_texts", repeated(p["n"])))
+    splits = F.transform("parts", lambda p: line(p["dataset"], "invalid_splits", p["bad"]))
+    lines = per_key.select(F.inline(F.concat(texts, splits, across)))
+    none = rows.sparkSession.range(1).select(F.inline(F.array(line(F.lit("*"), "cross_dataset_duplicates", F.lit(0)))))
+    out = lines.unionByName(none).groupBy("dataset", "check_name").agg(F.sum("n_bad").alias("n_bad"))
     for name, checked in (drift or {}).items():
         out = out.unionByName(
             checked.agg(F.count_if(~F.col("is_close")).alias("n_bad")).select(

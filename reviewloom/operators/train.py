@@ -195,8 +195,8 @@ def load_model(path: str) -> PipelineModel:
 
 
 def describe(attributes: Mapping) -> str:
-    """Attributes of a run as text lines for a model's description."""
-    return "".join(f"Attribute Name: {k}, Attribute Value: {v}\n" for k, v in attributes.items())
+    """Attributes of a run for a model's description: ``name = value``, a line each, by name."""
+    return "\n".join(f"{name} = {attributes[name]}" for name in sorted(attributes))
 
 
 @dataclass

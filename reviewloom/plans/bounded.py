@@ -33,14 +33,16 @@ def lookup_join(
     how: str = "inner",
     spread_by: Sequence[str] = (),
     max_rows: int = MAX_ROWS,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join a large frame to a dictionary on one key, whatever the key's skew.
 
     A dictionary that passes the size check is broadcast, so the large side does not move. A larger one
     is repeated once per salt and joined on (key, salt), so a key holding a third of all rows is spread
-    over ``SALTS`` tasks. ``spread_by`` names columns that vary within a hot key.
+    over ``SALTS`` tasks. ``spread_by`` names columns that vary within a hot key. ``fits`` tells the result of a
+    size check that was made before.
     """
-    if fits_broadcast(small, max_rows=max_rows):
+    if fits_broadcast(small, max_rows=max_rows) if fits is None else fits:
         return big.join(F.broadcast(small), on, how)
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*(spread_by or big.columns)), F.lit(SALTS)))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))

@@ -96,7 +96,7 @@ def embedding_drift(spark, d):
     return Q.embedding_drift(stored, fresh, "vec_id", "embedding")
 
 
-REFUSALS = ["I'm sorry but I can't help with that", "I'm really sorry but I can't help with that"]
+REFUSALS = ["No review can be written on this topic", "This request has to be turned down"]
 
 
 @query("fuzzy_filter")
@@ -106,7 +106,7 @@ def fuzzy_filter(spark, d):
     plants = rows.select(
         "conv_id",
         (F.col("turn") + 1000).alias("turn"),
-        F.concat(F.lit("I am sorry, but I cannot help with "), F.col("conv_id").cast("string")).alias("text"),
+        F.concat(F.lit("A review cannot be written on topic "), F.col("conv_id").cast("string")).alias("text"),
     )
     return Q.filter_close_matches(rows.unionByName(plants), "text", REFUSALS, cutoff=0.5)
 
@@ -122,9 +122,8 @@ def fuzzy_filter(spark, d):
 )
 def quality_report(spark, d):
     rows = _with_broken_splits(spark, d)
-    datasets = {lang: rows.filter(F.col("lang") == lang) for lang in ("en", "fr", "de", "es")}
     stored = table(spark, d, "embeddings")
     fresh = stored.withColumn(
         "embedding", F.when(F.col("label") == 0, F.transform("embedding", lambda x: x + F.lit(0.5).cast("float"))).otherwise(F.col("embedding"))
     )
-    return Q.quality_report(datasets, "text", drift={"embeddings": Q.embedding_drift(stored, fresh, "vec_id", "embedding")})
+    return Q.quality_report(rows, "text", drift={"embeddings": Q.embedding_drift(stored, fresh, "vec_id", "embedding")}, dataset_col="lang")
