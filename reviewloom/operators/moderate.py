@@ -127,7 +127,7 @@ def assess_run(run_log, registry, run_id: str, models_root: str, id_col: str, se
     """Score and assess a recorded run again, on the validation rows of the datasets it names.
 
     Reads the run's attributes (dataset lists, label and vector columns, model name, ``balance_val``),
-    predicts, optionally balances afterwards, and returns the binary metrics.
+    leaves out rows without a vector, predicts, optionally balances afterwards, and returns the binary metrics.
     """
     run = run_log.attributes(run_id)
 
@@ -141,7 +141,7 @@ def assess_run(run_log, registry, run_id: str, models_root: str, id_col: str, se
     ]
     y = run["name_of_y_column"]
     vector_col = embedding_column(run["name_of_column_to_embed"], run["model_for_embeddings_name"])
-    data = concat_datasets([registry.read_dataset(n) for n in names]).filter(F.col("val") == 1)
+    data = concat_datasets([registry.read_dataset(n) for n in names]).filter((F.col("val") == 1) & F.col(vector_col).isNotNull())
     model = load_model(f"{models_root.rstrip('/')}/{run['model name']}")
     scored = score(data, model, vector_col)
     if run.get("balance_val", "False") == "True":

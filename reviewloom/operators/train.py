@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark import SparkContext
 from pyspark.ml import PipelineModel
@@ -138,10 +139,10 @@ def _without_summary(model):
     return model
 
 
-def train(df: DataFrame, kind: str, params: Mapping | None = None, n_rows: int | None = None, n_classes: int = 2):
-    """Fit a classifier by name on ``_features`` and ``_label``."""
+def train(df: DataFrame, kind: str, params: Mapping | None = None, n_rows: int | None = None, n_classes: int = 2, cached: bool = False):
+    """Fit a classifier by name on ``_features`` and ``_label``; ``cached`` says that ``df`` reads a cached frame."""
     rows = df.select(FEATURES, LABEL)
-    held = rows.storageLevel.useMemory or df.storageLevel.useMemory
+    held = cached or rows.storageLevel.useMemory or df.storageLevel.useMemory
     if not held:
         rows = rows.persist()  # vectors may come from a costly encoder, and training passes over them often
     try:
@@ -296,8 +297,7 @@ def search_mix(
         counts = HashCounts(narrow, "_source", id_col, seed)
         sizes = counts.sizes
         sampled = {s: n for s, n in sizes.items() if s not in positives}
-        always = sum(n for s, n in sizes.items() if s in positives)
-        n_classes = test.select(LABEL).distinct().count() if multiclass else 2
+        n_classes = pool.filter(F.col(y).isNotNull()).select(y).distinct().count() if multiclass else 2
         drawn: dict[int, dict[str, int]] = {t: {} for t in range(trials)}
         if sampled:
             table = spark.createDataFrame(list(sampled.items()), "source string, size bigint")
@@ -315,22 +315,29 @@ def search_mix(
                 upto = F.struct(F.lit(h).alias("h"), F.lit(k).cast(pool.schema[id_col].dataType).alias("k"))
                 taken = taken | ((F.col("_source") == source) & (F.col("_rank") <= upto))
             params = {k: v for k, v in settings[t].items() if k != "trial"}
-            model = train(training.filter(taken), kind, params, always + sum(drawn[t].values()), n_classes)
+            mixed = training.filter(taken)
+            n_rows = mixed.count()
+            model = train(mixed, kind, params, n_rows, n_classes, cached=True)
             value = scorer(score(test, model), y, "prediction")
-            return {"trial": t, "score": value, "params": params, "rows": drawn[t], "model": model}
+            place = (value if value is not None else float("-inf"), -t)
+            with lock:  # only the best model so far is kept
+                if not best or place > best[0]:
+                    best[:] = [place, model]
+            return {"trial": t, "score": value, "params": params, "rows": drawn[t], "n_rows": n_rows}
+
+        best: list = []
+        lock = Lock()
 
         with ThreadPoolExecutor(parallelism) as threads:
             results = list(threads.map(run, range(trials)))
     finally:
         training.unpersist()
         test.unpersist()
-    best = max(results, key=lambda r: (r["score"] if r["score"] is not None else float("-inf"), -r["trial"]))
-    return SearchResult(
-        best["model"], best["score"], {**best["params"], **best["rows"]}, [{k: v for k, v in r.items() if k != "model"} for r in results]
-    )
+    won = results[-best[0][1]]
+    return SearchResult(best[1], won["score"], {**won["params"], **won["rows"]}, results)
 
 
 def trials_frame(spark, result: SearchResult) -> DataFrame:
-    """Trials of a search as ``(trial, score, n_rows)`` rows for the run log."""
-    rows = [(r["trial"], r["score"], sum(r["rows"].values())) for r in result.trials]
+    """Trials of a search as ``(trial, score, n_rows)`` for the run log; ``n_rows`` counts all rows a trial was fitted on."""
+    rows = [(r["trial"], r["score"], r["n_rows"]) for r in result.trials]
     return spark.createDataFrame(rows, "trial int, score double, n_rows bigint")

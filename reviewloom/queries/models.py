@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reviewloom.functions.hashing import DEFAULT_SEED, uniform
 from reviewloom.operators import external, metrics as M, train
 from reviewloom.operators.grids import expand_grid
 from reviewloom.operators.moderate import assess_run as reassess
@@ -95,67 +96,107 @@ def llm_classify_stub(spark, d):
     )
 
 
+#: Where a share of the rows loses its text or vector: a draw by hash below this.
+GAP = 0.05
+
+
+def without(df, key, col):
+    """``df`` with ``col`` set to null in the rows of the gap."""
+    return df.withColumn(col, F.when(uniform(DEFAULT_SEED, F.lit("gap"), key) >= GAP, F.col(col)))
+
+
+def gap_sql(key):
+    return f"""{unit("'gap'", key)} < {GAP}"""
+
+
 def _vectors(spark, d):
-    """Vectors with a binary label and split flags."""
-    rows = table(spark, d, "embeddings").withColumn("y", (F.col("label") < 5).cast("int"))
+    """Vectors, some of them missing, with a binary label and split flags."""
+    rows = without(table(spark, d, "embeddings"), "vec_id", "embedding").withColumn("y", (F.col("label") < 5).cast("int"))
     return assign_splits(rows, "vec_id")
 
 
-def _rounded(df):
-    return df.select(*[F.round(c, 4).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+_VECTORS = f"(select *, {gap_sql('vec_id')} as gap, (label < 5)::int as y, {unit('vec_id')} as u from embeddings)"
 
 
-@query("train_lr")
+@query(
+    "train_lr",
+    """select dim::int as dim, 0.0::double as gradient from (select unnest(range(-1, max(len(embedding)))) as dim from embeddings)""",
+)
 def train_lr(spark, d):
-    rows = _vectors(spark, d)
-    fit = train.with_features(rows.filter("train = 1"), "embedding", "y")
-    model = train.train(fit, "logistic_regression", {"C": 1.0})
-    scored = train.score(rows.filter("test = 1"), model, "embedding")
-    return _rounded(M.binary_metrics(scored, "y", "prediction"))
-
-
-@query("score_lr")
+    """Gradient of the regularised loss at the fitted model, by dimension (-1: intercept): zero at the optimum."""
+    rows = _vectors(spark, d).filter("train = 1 and embedding is not null")
+    n = rows.count()
+    model = train.train(train.with_features(rows, "embedding", "y"), "logistic_regression", {"C": 1.0}, n)
+    residual = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("decision"))) - F.col("y")
+    spread = F.posexplode(F.concat(F.array(F.lit(1.0)), F.col("embedding").cast("array<double>")))
+    slopes = train.score(rows, model, "embedding").select(residual.alias("r"), spread).groupBy("pos").agg(F.avg(F.col("r") * F.col("col")).alias("slope"))
+    pull = F.element_at(F.array(*[F.lit(float(x) / n) for x in (0.0, *model.coefficients)]), F.col("pos") + 1)
+    return slopes.select((F.col("pos") - 1).alias("dim"), (F.round(F.col("slope") + pull, 2) + F.lit(0.0)).alias("gradient"))
+
+
+@query("score_lr", f"select vec_id, y, not gap as scored, case when not gap then true end as consistent, true as same_when_loaded from {_VECTORS}")
 def score_lr(spark, d):
+    """A support vector machine before and after it was saved: predictions follow decisions, missing vectors get none."""
     rows = _vectors(spark, d)
     path = shared_dir(spark, "model")
-    train.save_model(train.train(train.with_features(rows.filter("train = 1"), "embedding", "y"), "SVM", {"C": 1.0, "max_iter": 30}), path)
-    out = train.score(rows, train.load_model(path), "embedding")
-    return _rounded(out.select("vec_id", "y", "prediction", "decision"))
+    model = train.train(train.with_features(rows.filter("train = 1"), "embedding", "y"), "SVM", {"C": 1.0})
+    train.save_model(model, path)
+    first = train.score(rows, model, "embedding").withColumnsRenamed({"prediction": "p", "decision": "s"})
+    out = train.score(first, train.load_model(path), "embedding")
+    same = F.col("prediction").eqNullSafe(F.col("p")) & F.col("decision").eqNullSafe(F.col("s"))
+    consistent = F.col("prediction") == (F.col("decision") > 0).cast("int")
+    return out.select("vec_id", "y", F.col("prediction").isNotNull().alias("scored"), consistent.alias("consistent"), same.alias("same_when_loaded"))
 
 
-@query("train_multiclass")
+@query(
+    "train_multiclass",
+    f"select label as actual, count(*) as n, true as known from {_VECTORS} where not gap and u >= 0.5 and u < 0.75 group by label",
+)
 def train_multiclass(spark, d):
+    """A forest over all classes: the margins of its confusion matrix on the test rows."""
     rows = _vectors(spark, d)
-    fit = train.with_features(rows.filter("train = 1"), "embedding", "label")
-    model = train.train(fit, "random_forest", {"n_estimators": 20, "max_depth": 5}, n_classes=10)
-    scored = train.score(rows.filter("test = 1"), model, "embedding")
-    return _rounded(M.multiclass_metrics(scored, "label", "prediction"))
+    model = train.train(train.with_features(rows.filter("train = 1"), "embedding", "label"), "random_forest", n_classes=10)
+    scored = train.score(rows.filter("test = 1"), model, "embedding").filter("prediction is not null")
+    return M.confusion(scored, "label", "prediction").groupBy("actual").agg(
+        F.sum("n").alias("n"), F.bool_and(F.col("predicted").between(0, model.numClasses - 1)).alias("known")
+    )
 
 
-@query("grid_cv")
+@query(
+    "grid_cv",
+    f"""with v as (select *, floor({unit("'fold'", 'vec_id')} * 5.0::double)::int as fold from {_VECTORS} where not gap),
+      f as (select fold, count(*) as n, sum(y) as k from v group by fold), t as (select sum(n) as n, sum(k) as k from f),
+      a as (select round(avg(case when 2 * (t.k - f.k) > t.n - f.n then f.k else f.n - f.k end::double / f.n), 6) as accuracy from f, t)
+    select penalty, c::double as c, true as valid, case when penalty = 'l1' and c = 0.001 then accuracy end as accuracy_of_none
+    from (values ('l1'), ('l2')) p(penalty), (values (0.001), (0.01), (0.1), (1), (10), (100)) s(c), a""",
+)
 def grid_cv(spark, d):
+    """The whole grid. With the strongest l1 penalty no coefficient is left, so accuracy is the majority's share."""
     rows = train.with_features(_vectors(spark, d), "embedding", "y")
-    result = train.grid_cv(rows, "vec_id", strengths=(0.1, 10), folds=3, max_iter=50)
-    return _rounded(spark.createDataFrame(result.table, "penalty string, c double, accuracy double"))
+    result = train.grid_cv(rows, "vec_id")
+    out = spark.createDataFrame(result.table, "penalty string, c double, accuracy double").withColumn("c", F.round("c", 6))
+    bare = (F.col("penalty") == "l1") & (F.col("c") == 0.001)
+    return out.select(
+        "penalty", "c", F.col("accuracy").between(0, 1).alias("valid"), F.when(bare, F.round("accuracy", 6)).alias("accuracy_of_none")
+    )
 
 
-@query("search_mix")
+@query(
+    "search_mix",
+    f"""with r as (select *, 'class ' || label as source from {_VECTORS} where not gap and u < 0.5),
+      s as (select source, count(*) as size from r where label >= 5 group by source), t as (select unnest(range(20))::int as trial),
+      x as (select trial, sum(1 + floor({unit("'rows'", 'source', 'trial')} * size)::bigint) as n from s, t group by trial)
+    select trial, cast(n + (select count(*) from r where label < 5) as bigint) as n_rows, true as valid from x""",
+)
 def search_mix(spark, d):
+    """Rows that each trial trains on: all of the first five classes, as many as drawn of each other."""
     rows = cut_lineage(_vectors(spark, d), "vectors")
-    classes = [r[0] for r in rows.select("label").distinct().orderBy("label").limit(50).collect()]
+    classes = sorted(r[0] for r in rows.select("label").distinct().collect())  # a dataset each
     datasets = {f"class {k}": rows.filter(F.col("label") == k) for k in classes}
     result = train.search_mix(
-        datasets,
-        [f"class {k}" for k in classes if k < 5],
-        "logistic_regression",
-        "y",
-        "vec_id",
-        "embedding",
-        trials=4,
-        scorer=M.scorer("fbeta", beta=0.75),
-        fixed={"max_iter": 30},
+        datasets, [f"class {k}" for k in classes if k < 5], "logistic_regression", "y", "vec_id", "embedding", scorer=M.scorer("fbeta", beta=0.75)
     )
-    return _rounded(train.trials_frame(spark, result))
+    return train.trials_frame(spark, result).select("trial", "n_rows", F.col("score").between(0, 1).alias("valid"))
 
 
 _RUNS = """(select source as experiment, doc_id::varchar as run_id, lang as name, n_chars::double as value from documents)"""
@@ -192,7 +233,11 @@ def runs_lookup(spark, d):
     return runlog.list_models(runs).withColumn("created", F.date_format("created", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
-@query("assess_run")
+@query(
+    "assess_run",
+    f"""with n as (select min(c) as c from (select count(*) as c from {_VECTORS} where not gap and u >= 0.75 group by y))
+    select c as n_negative, c as n_positive, true as valid from n""",
+)
 def assess_run(spark, d):
     """Register, train, log; then assess the recorded run from its log lines alone."""
     home = shared_dir(spark, "runs")
@@ -215,4 +260,5 @@ def assess_run(spark, d):
     }
     log.log_attributes(settings, "run-1")
     log.log_dataset_versions(registry, ["flagged", "published"], "run-1")
-    return _rounded(reassess(log, registry, "run-1", f"{home}/models", "vec_id"))
+    out = reassess(log, registry, "run-1", f"{home}/models", "vec_id")
+    return out.select((F.col("tn") + F.col("fp")).alias("n_negative"), (F.col("fn") + F.col("tp")).alias("n_positive"), F.col("f1").between(0, 1).alias("valid"))

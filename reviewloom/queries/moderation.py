@@ -11,6 +11,7 @@ from reviewloom.operators import train
 from reviewloom.operators.quality import drop_duplicates
 from reviewloom.operators.sampling import assign_splits
 from reviewloom.plans.session import shared_dir
+from reviewloom.queries.models import gap_sql, without
 from reviewloom.queries.base import clean_sql, documents, query, reviews, table, unit, words_sql
 from reviewloom.queries.stubs import VowelEncoder
 from reviewloom.streaming import moderation as S
@@ -106,30 +107,41 @@ def safeguarding_rule(spark, d):
     return out.withColumn("safeguarding_probability", F.round("safeguarding_probability", 6))
 
 
-@query("complaints_rule")
+@query("complaints_rule", f"select doc_id, text is null or {gap_sql('doc_id')} as missing, true as valid from documents")
 def complaints_rule(spark, d):
-    """Clean, embed with the stand-in encoder and classify every document; trained on the labelled ones."""
+    """Clean, embed with the stand-in encoder and classify every document; trained on the labelled ones.
+
+    A share of the documents has lost its text and gets no class.
+    """
     from reviewloom.operators.external import embed, embedding_column
     from reviewloom.operators.quality import add_cleaned
 
     column = embedding_column("text_cleaned", "vowels")
     known = embed(add_cleaned(reviews(spark, d), "text"), "text_cleaned", "vowels", VowelEncoder)
-    model = train.train(train.with_features(known, column, "toxic").select("_features", "_label"), "logistic_regression", {"max_iter": 10})
-    rows = documents(spark, d).select("doc_id", "text")
-    return R.complaints_rule(rows, "text", "vowels", VowelEncoder, model).drop("text")
+    model = train.train(train.with_features(known, column, "toxic").select("_features", "_label"), "logistic_regression")
+    rows = without(documents(spark, d).select("doc_id", "text"), "doc_id", "text")
+    out = R.complaints_rule(rows, "text", "vowels", VowelEncoder, model)
+    missing = F.col("complaint").isNull()
+    return out.select("doc_id", missing.alias("missing"), (missing | F.col("complaint").isin(0, 1)).alias("valid"))
+
+
+def _judged(out, key, name):
+    """Is a prediction missing, and if not, is it the class whose probability is given?"""
+    p = F.col(f"{name}_probability")
+    missing = F.col(name).isNull()
+    return out.select(key, missing.alias("missing"), ((missing & p.isNull()) | (F.col(name).isin(0, 1) & p.between(0.5, 1))).alias("valid"))
 
 
-@query("nae_rule")
+@query("nae_rule", f"select doc_id, text is null or {gap_sql('doc_id')} as missing, true as valid from documents")
 def nae_rule(spark, d):
-    """Bag of words plus logistic regression, trained on labelled documents, applied to all."""
-    model = train.train_text(reviews(spark, d).select("text", "toxic"), "text", "toxic", params={"C": 0.01, "max_iter": 20})
-    out = R.nae_rule(documents(spark, d).select("doc_id", "text"), model).drop("text")
-    return out.withColumn("not_an_experience_probability", F.round("not_an_experience_probability", 4))
+    """Bag of words plus logistic regression, trained on labelled documents, applied to all; some have lost their text."""
+    model = train.train_text(reviews(spark, d).select("text", "toxic"), "text", "toxic", params={"C": 0.01})
+    rows = without(documents(spark, d).select("doc_id", "text"), "doc_id", "text")
+    return _judged(R.nae_rule(rows, model), "doc_id", "not_an_experience")
 
 
-@query("uninformative_rule")
+@query("uninformative_rule", f"select vec_id, embedding is null or {gap_sql('vec_id')} as missing, true as valid from embeddings")
 def uninformative_rule(spark, d):
-    rows = table(spark, d, "embeddings").withColumn("y", (F.col("label") < 5).cast("int"))
+    rows = without(table(spark, d, "embeddings"), "vec_id", "embedding").withColumn("y", (F.col("label") < 5).cast("int"))
     model = train.train(train.with_features(rows, "embedding", "y"), "logistic_regression", {"C": 1.0})
-    out = R.uninformative_rule(rows.select("vec_id", "embedding"), "embedding", model).drop("embedding")
-    return out.withColumn("uninformative_probability", F.round("uninformative_probability", 4))
+    return _judged(R.uninformative_rule(rows.select("vec_id", "embedding"), "embedding", model), "vec_id", "uninformative")
