@@ -12,8 +12,8 @@ from reviewloom.operators.moderate import mistakes as find_mistakes
 from reviewloom.queries.base import REVIEWS, query, reviews, sentences_sql, table, unit
 
 
-def rounded(df, *cols):
-    return df.withColumns({c: F.round(c, 6) for c in cols})
+def rounded(df, *cols, digits=6):
+    return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
 def _ten_classes(spark, d):
@@ -160,6 +160,13 @@ def histogram(spark, d):
 _MOMENTS = """count(*) filter (g = 1) as n1, count(*) filter (g = 2) as n2, avg(x) filter (g = 1) as mean1, avg(x) filter (g = 2) as mean2,
   var_samp(x) filter (g = 1) as var1, var_samp(x) filter (g = 2) as var2"""
 _POOLED = "((n1 - 1) * var1 + (n2 - 1) * var2) / (n1 + n2 - 2)"
+_Z = "(greatest(u, n1 * n2 - u) - n1 * n2 / 2.0::double - 0.5) / sqrt(n1 * n2 / 12.0::double * ((n + 1) - ties / (n * (n - 1))))"
+
+# A published approximation of the error function (Abramowitz and Stegun, 7.1.26; error below 1.5e-7).
+_ERF_SCALE, _ERF = 0.3275911, (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+_ERF_SUM = " + ".join(f"{a}::double * power(1 / (1 + {_ERF_SCALE}::double * z / sqrt(2)), {k})" for k, a in enumerate(_ERF, start=1))
+_P_OF_Z = f"case when z <= 0 then 1.0::double else round(({_ERF_SUM}) * exp(-z * z / 2), 4) end"
+
 _BY_TOXIC = f"(select case when toxic = 1 then 1 else 2 end as g, length(text)::double as x from {REVIEWS})"
 
 
@@ -180,23 +187,36 @@ def cohens_d(spark, d):
     "mann_whitney_u",
     f"""with v as (select x, count(*) filter (g = 1) as k, count(*) as n from {_BY_TOXIC} group by x),
       c as (select *, sum(n) over (order by x rows unbounded preceding) as upto from v),
-      s as (select sum(k) as n1, sum(n - k) as n2, sum(k * (upto - n + (n + 1) / 2.0::double)) as r1 from c)
-    select cast(n1 as bigint) as n1, cast(n2 as bigint) as n2, r1 - n1 * (n1 + 1) / 2.0::double as u from s""",
+      s as (select sum(k) as n1, sum(n - k) as n2, sum(k * (upto - n + (n + 1) / 2.0::double)) as r1, sum(n::double * n * n - n) as ties from c),
+      w as (select cast(n1 as bigint) as n1, cast(n2 as bigint) as n2, r1 - n1 * (n1 + 1) / 2.0::double as u, ties, (n1 + n2)::double as n from s),
+      z as (select *, {_Z} as z from w)
+    select n1, n2, u, {_P_OF_Z} as p_value, z > 1.959963984540054 as significant from z""",
 )
 def mann_whitney_u(spark, d):
-    return bias.mann_whitney(_toxic_lengths(spark, d), "toxic", "x").select("n1", "n2", "u")
+    return rounded(bias.mann_whitney(_toxic_lengths(spark, d), "toxic", "x"), "p_value", digits=4)
+
+
+_SHAPE = """avg(power((x - m) / s, 3)) as skew, avg(power((x - m) / s, 4)) - 3 as kurt"""
+
+
+def _both_normal(rows: str, *keys: str) -> str:
+    """SQL of the gate of the t test: a table ``normal`` that tells by key whether both sides look normal."""
+    by = "".join(f"{k}, " for k in keys)
+    same = "".join(f" and p.{k} = a.{k}" for k in keys)
+    return f"""a as (select {by}g, avg(x) as m, stddev_pop(x) as s, count(*) as n from {rows} group by {by}g),
+      b as (select {"".join(f"p.{k}, " for k in keys)}p.g, max(n) as n, {_SHAPE} from {rows} p join a on p.g = a.g{same} group by {"".join(f"p.{k}, " for k in keys)}p.g),
+      normal as (select {by}count(*) = 2 and bool_and(coalesce(n >= 3 and exp(-n / 12.0::double * (skew * skew + kurt * kurt / 4)) > 0.05, false)) as both_normal
+        from b {"group by " + ", ".join(keys) if keys else ""})"""
 
 
 @query(
     "t_statistic",
-    f"""select n1, n2, round((mean1 - mean2) / sqrt({_POOLED} * (1.0::double / n1 + 1.0::double / n2)), 6) as t
-    from (select {_MOMENTS} from {_BY_TOXIC})""",
+    f"""with r as (select * from {_BY_TOXIC}), {_both_normal('r')},
+      m as (select n1, n2, (mean1 - mean2) / sqrt({_POOLED} * (1.0::double / n1 + 1.0::double / n2)) as t from (select {_MOMENTS} from r))
+    select n1, n2, both_normal, round(t, 6) as t, case when both_normal then round(t, 6) end as t_if_normal from m, normal""",
 )
 def t_statistic(spark, d):
-    return rounded(bias.t_test(_toxic_lengths(spark, d), "toxic", "x").select("n1", "n2", "t"), "t")
-
-
-_SHAPE = """avg(power((x - m) / s, 3)) as skew, avg(power((x - m) / s, 4)) - 3 as kurt"""
+    return rounded(bias.t_test(_toxic_lengths(spark, d), "toxic", "x").drop("p_value"), "t", "t_if_normal")
 
 
 @query(
@@ -226,9 +246,12 @@ with r as (select {_OUTCOME} as o, n_chars::double as n_chars, len(regexp_extrac
   c as (select *, sum(n) over (partition by feature, comparison order by x rows unbounded preceding) as upto from v),
   s as (select feature, comparison, sum(k * (upto - n + (n + 1) / 2.0::double)) as r1, sum(n::double * n * n - n) as ties from c group by feature, comparison),
   w as (select m.*, r1 - n1 * (n1 + 1) / 2.0::double as u, ties, (n1 + n2)::double as n from m join s on m.feature = s.feature and m.comparison = s.comparison),
-  z as (select *, (greatest(u, n1 * n2 - u) - n1 * n2 / 2.0::double - 0.5) / sqrt(n1 * n2 / 12.0::double * ((n + 1) - ties / (n * (n - 1)))) as z from w)
-select feature, comparison, n1, n2, round((mean1 - mean2) / sqrt({_POOLED}), 6) as cohens_d, u, round(z, 6) as z,
-  case when z > 1.959963984540054 then 'significant difference' else 'no significant difference' end as verdict from z"""
+  z as (select *, {_Z} as z from w), {_both_normal('t', 'feature', 'comparison')}
+select z.feature, z.comparison, n1, n2, round((mean1 - mean2) / sqrt({_POOLED}), 6) as cohens_d, u, round(z, 6) as z, {_P_OF_Z} as mann_whitney_p,
+  coalesce(both_normal, false) as both_normal,
+  case when both_normal then round((mean1 - mean2) / sqrt({_POOLED} * (1.0::double / n1 + 1.0::double / n2)), 6) end as t,
+  case when z > 1.959963984540054 then 'significant difference' else 'no significant difference' end as verdict
+from z left join normal o on z.feature = o.feature and z.comparison = o.comparison"""
 
 
 @query("bias_audit", _AUDIT_SQL)
@@ -237,4 +260,4 @@ def bias_audit(spark, d):
         "toxic", "flagged_p", "n_chars", word_count("text").alias("n_words"), F.size(sentences("text")).alias("n_sentences")
     )
     out = bias.bias_audit(rows, ["n_chars", "n_words", "n_sentences"], "toxic", "flagged_p")
-    return rounded(out.select("feature", "comparison", "n1", "n2", "cohens_d", "u", "z", "verdict"), "cohens_d", "z")
+    return rounded(out.drop("t_p").withColumn("mann_whitney_p", F.round("mann_whitney_p", 4)), "cohens_d", "z", "t")
