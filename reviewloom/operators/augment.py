@@ -117,7 +117,8 @@ def substitute_words(
     """``(id, copy, text)`` with words swapped by a ``(token, synonym)`` table of any size.
 
     A short table becomes a literal, and rows never move. Beyond that only the drawn words, ``rate`` of
-    all, are exploded, looked up and handed back to their text by position.
+    all, are exploded, looked up and handed back to their text by position and word, so rows that share an id
+    get the same words as on the short path.
     """
     pairs = synonyms.groupBy("token").agg(F.min("synonym").alias("synonym"))
     rows = bounded_rows(pairs, max_literal)
@@ -145,8 +146,8 @@ def substitute_words(
     drawn = F.filter(marked, lambda m: m["hit"] & ~m["token"].isin(stop) if stop else m["hit"])
     words = every.select(id_col, "copy", F.explode(drawn).alias("_m")).select(id_col, "copy", "_m.i", "_m.j", "_m.token")
     found = lookup_join(words, pairs, "token", "inner", spread_by=[id_col, "copy", "i", "j"])
-    swaps = found.groupBy(id_col, "copy").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.struct("i", "j"), "synonym"))).alias("_swaps")
+    swaps = found.groupBy(F.col(id_col).alias("_of"), F.col("copy").alias("_nth")).agg(
+        F.map_from_entries(F.collect_set(F.struct(F.struct("i", "j", "token"), "synonym"))).alias("_swaps")
     )
     rebuilt = F.array_join(
         F.transform(
@@ -155,7 +156,7 @@ def substitute_words(
                 F.transform(
                     s,
                     lambda w, j: F.coalesce(
-                        F.try_element_at(F.col("_swaps"), F.struct(i.alias("i"), j.alias("j"))), w
+                        F.try_element_at(F.col("_swaps"), F.struct(i.alias("i"), j.alias("j"), F.lower(w).alias("token"))), w
                     ),
                 ),
                 " ",
@@ -163,7 +164,8 @@ def substitute_words(
         ),
         ". ",
     )
-    return every.join(swaps, [id_col, "copy"], "left").select(id_col, "copy", rebuilt.alias(text_col))
+    own = F.col(id_col).eqNullSafe(F.col("_of")) & (F.col("copy") == F.col("_nth"))
+    return every.join(swaps, own, "left").select(id_col, "copy", rebuilt.alias(text_col))
 
 
 def augment_dataset(df: DataFrame, id_col: str, text_col: str, rewriter: Rewriter, n: int) -> DataFrame:

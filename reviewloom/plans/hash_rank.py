@@ -9,8 +9,9 @@ through one task. Instead the n-th smallest hash itself is located:
 2. only the rows with those leading digits, one in 4,096 of a class, are put in order to read off the hash.
 
 The sample is then a filter ``(hash, key) <= cut`` on the full rows: a scan with a broadcast lookup that has
-one row per class. Beyond ``MAX_COUNTS`` results of step 1 rows are ranked by a shuffle on (class, leading
-digits) instead, which spreads any class over 4,096 windows.
+one row per class. With more than ``MAX_COUNTS`` results of step 1 the rows are counted by fewer digits, which
+gives the same cuts from larger edges; with that many classes by a single digit, rows are ranked by a shuffle on
+(class, leading digits) instead, which spreads any class over 4,096 windows.
 
 Keys should be unique within a class; rows that share a key are kept or left together.
 """
@@ -36,12 +37,12 @@ class TooManyGroups(ValueError):
     """There are more groups than a lookup table should hold."""
 
 
-def _keyed(df: DataFrame, group: str | None, key: str, seed: int) -> DataFrame:
+def _keyed(df: DataFrame, group: str | None, key: str, seed: int, digits: int = PREFIX_DIGITS) -> DataFrame:
     group_col = F.lit(0) if group is None else F.col(group)
     return (
         df.select(group_col.alias("_g"), F.col(key).alias("_k"), seed_hash(seed, key).alias("_h"))
         .filter(F.col("_g").isNotNull() & F.col("_k").isNotNull())
-        .withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
+        .withColumn("_p", F.substring("_h", 1, digits))
     )
 
 
@@ -54,9 +55,12 @@ class HashCounts:
 
     def __init__(self, df: DataFrame, group: str | None, key: str, seed: int = DEFAULT_SEED):
         self.df, self.group, self.key, self.seed = df, group, key, seed
-        counted = _keyed(df, group, key, seed).groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_n"))
-        rows = bounded_rows(counted, MAX_COUNTS)
-        if rows is None:
+        for self.digits in range(PREFIX_DIGITS, 0, -1):
+            counted = _keyed(df, group, key, seed, self.digits).groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_n"))
+            rows = bounded_rows(counted, MAX_COUNTS)
+            if rows is not None:
+                break
+        else:
             raise TooManyGroups(f"{group} has too many values")
         self.counts: dict[object, list[tuple[str, int]]] = {}
         for r in sorted(rows, key=lambda r: r["_p"]):
@@ -85,7 +89,7 @@ class HashCounts:
         upto = Window.partitionBy("_g", "_p").orderBy("_h", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         # Keys are counted first, so a key that repeats a billion times is one row of the window.
         edge = (
-            _keyed(self.df, self.group, self.key, self.seed)
+            _keyed(self.df, self.group, self.key, self.seed, self.digits)
             .join(F.broadcast(lookup.select("_g", "_p").distinct()), ["_g", "_p"], "left_semi")
             .groupBy("_g", "_p", "_h", "_k")
             .agg(F.count(F.lit(1)).alias("_n"))

@@ -16,15 +16,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reviewloom.operators.moderate import Rule, moderate
 
+MAX_FILES = 1_000
+
 
 def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files_per_trigger: int = MAX_FILES
 ) -> DataFrame:
-    """Files of a folder as a stream; the schema is given, never guessed."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    """Files of a folder as a stream; the schema is given, never guessed.
+
+    A batch takes at most ``max_files_per_trigger`` files, so a backlog is worked off in batches of bounded size.
+    """
+    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files_per_trigger).load(path)
 
 
 def requests_to_texts(stream: DataFrame, col: str = "value", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:

@@ -74,3 +74,11 @@ def test_train_only(spark):
     rows = spark.createDataFrame([(1, "a. b", 1, 0, 0), (2, "c. d", 0, 1, 0)], "id int, text string, train int, test int, val int")
     out = A.augment_train(rows, "id", "text", A.shuffled_sentences(), 2, "label", 1).collect()
     assert [(r["id"], r["label"], r["train"], r["test"], r["val"]) for r in out] == [(1, 1, 1, 0, 0)] * 2
+
+
+def test_long_and_short_lexicon_agree_on_repeated_ids(spark):
+    rows = [(1, "one two three. two one"), (1, "three two one. one three two"), (1, "one two three. two one"), (None, "two two two"), (2, None)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    synonyms = spark.createDataFrame([("one", "1"), ("two", "2"), ("three", "3")], "token string, synonym string")
+    short, long = (A.substitute_words(df, "id", "text", synonyms, n=2, rate=0.6, max_literal=k).collect() for k in (10, 1))
+    assert sorted(map(str, short)) == sorted(map(str, long)) and len(short) == 8

@@ -169,3 +169,10 @@ def test_search_spaces_stay_in_range(spark, kind):
             assert low <= r[0] <= r[1] <= high
     with pytest.raises(ValueError):
         grids.search_space(trials, "trial", "unknown")
+
+
+def test_fewer_digits_give_the_same_rows(pool, monkeypatch):
+    expected = sorted(map(str, sampling.stratified_split(pool, "y", "id", 0.3).collect()))
+    for most in (60, 1):
+        monkeypatch.setattr("reviewloom.plans.hash_rank.MAX_COUNTS", most)
+        assert sorted(map(str, sampling.stratified_split(pool, "y", "id", 0.3).collect())) == expected
