@@ -13,7 +13,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from reviewloom.llm.base import free_name, query, shingles, slices, table
 from reviewloom.llm.graph import components
-from reviewloom.plans.bounded import fits_broadcast
+from reviewloom.plans.bounded import fits_broadcast, lookup_join
 from reviewloom.plans.session import cut_lineage
 
 #: Trees of the forest, hash values per tree, and the shortest common prefix that makes two documents neighbours.
@@ -22,8 +22,8 @@ TREES, DEPTH, LEAST_PREFIX = 16, 8, 3
 REGION = 2048
 #: Most members, and shingles, that one verifying task holds at once.
 BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
-#: Members of a block's largest component that are shown to the other blocks of their group.
-DELEGATES = 64
+#: Members of a block's largest component that visit the first blocks of their group, and how many blocks those are.
+DELEGATES, HUBS = 64, 2
 
 _RNG = np.random.default_rng(97)
 _XOR = _RNG.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
@@ -220,8 +220,9 @@ def confirmed_links(members: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that hold on full sets, each member tied to the first of its local component.
 
     ``members`` has (cluster, n_blocks, block, key, hashes). A proposed group that fits one block is compared
-    within one task, all pairs by matrix products. Of a larger group every block is compared within; then what
-    a block did not join to its largest component, and some delegates of that, visit all other blocks.
+    within one task, all pairs by matrix products. Of a larger group every block is compared within. Then what a
+    block did not join to its largest component, and some delegates of that, visit the group's first blocks. What
+    is still outside the group's largest component visits all blocks: a link that is missing by then has an end there.
     """
 
     def within(part: pa.Table) -> pa.Table:
@@ -247,19 +248,38 @@ def confirmed_links(members: DataFrame, percent: int) -> DataFrame:
         home = np.asarray(part["home"])
         keys, sets = part["key"].to_pylist(), _sets(part["hashes"])
         mine, guests = np.flatnonzero(home), np.flatnonzero(~home)
-        roots, found = part["root"].to_pylist(), set()
-        for a in range(0, len(guests), BLOCK):
-            some = guests[a : a + BLOCK]
-            hits = _linked([sets[i] for i in some], [sets[i] for i in mine], percent) if len(mine) else np.zeros((0, 0), bool)
-            found.update((keys[some[x]], roots[mine[y]]) for x, y in np.argwhere(hits).tolist())
+        roots = part["root"].to_pylist()
+        hits = _linked([sets[i] for i in guests], [sets[i] for i in mine], percent) if len(mine) and len(guests) else np.zeros((0, 0), bool)
+        found = {(keys[guests[x]], roots[mine[y]]) for x, y in np.argwhere(hits).tolist()}
         return pa.table({c: pa.array([p[k] for p in found], pa.binary()) for k, c in enumerate(("a", "b"))})
 
     wide = members.where("n_blocks > 1").join(inner.select(F.col("b").alias("key"), F.col("a").alias("root"), "visits"), "key")
-    home = wide.select("cluster", "block", "key", "hashes", "root", F.lit(True).alias("home"))
-    other = F.filter(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda x: x != F.col("block"))
-    guests = wide.where("visits").select("cluster", F.explode(other).alias("block"), "key", "hashes", "root", F.lit(False).alias("home"))
-    more = home.unionByName(guests).groupBy("cluster", "block").applyInArrow(across, "a binary, b binary")
-    return links.unionByName(more)
+
+    def met(visitors: DataFrame, hubs: int | None) -> DataFrame:
+        """Links of the visitors with other blocks of their group, the first ``hubs`` or all; in parties of a bounded size."""
+        load = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("hashes")) / 8 / BLOCK_SHINGLES)
+        parties = cut_lineage(visitors.groupBy("cluster").agg(F.ceil(load).cast("int").alias("parties")), "parties")
+        last = F.col("n_blocks") if hubs is None else F.least(F.col("n_blocks"), F.lit(hubs))
+        hosts = lookup_join(wide.where(F.col("block") < last), parties, "cluster", spread_by=("key",))
+        home = hosts.withColumn("party", F.explode(F.sequence(F.lit(0), F.col("parties") - 1)))
+        others = F.filter(F.sequence(F.lit(0), last - 1), lambda x: x != F.col("block"))
+        own = F.pmod(F.xxhash64("key"), F.col("parties")).cast("int").alias("party")
+        guests = lookup_join(visitors, parties, "cluster", spread_by=("key",))
+        guests = guests.select("cluster", F.explode(others).alias("block"), own, "key", "hashes", "root", F.lit(False).alias("home"))
+        both = home.select("cluster", "block", "party", "key", "hashes", "root", F.lit(True).alias("home")).unionByName(guests)
+        return cut_lineage(both.groupBy("cluster", "block", "party").applyInArrow(across, "a binary, b binary"), "links")
+
+    first = met(wide.where("visits"), HUBS)
+    labels = components(inner.where("n_blocks > 1 and a <> b").select("a", "b").unionByName(first))
+    rooted = inner.where("n_blocks > 1").select("cluster", F.col("b").alias("node")).join(labels, "node", "left")
+    rooted = rooted.select("cluster", "node", F.coalesce("root", "node").alias("root"))
+    sizes = rooted.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
+    outside = lookup_join(rooted, largest, "cluster", spread_by=("node",)).where("root <> largest").select(F.col("node").alias("key"))
+    outside = cut_lineage(outside, "outside")
+    if outside.isEmpty():
+        return links.unionByName(first)
+    return links.unionByName(first).unionByName(met(wide.join(outside, "key", "left_semi"), None))
 
 
 def near_duplicates(

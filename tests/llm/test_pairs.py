@@ -64,6 +64,17 @@ def test_large_groups_in_small_blocks(frame, monkeypatch):
     assert {r.doc_id: r.component_id for r in out} == brute_components(rows, 5)
 
 
+def test_no_link_between_blocks_is_lost(frame, monkeypatch):
+    """A chain, where each document links to its neighbours alone, over blocks that show next to nothing of themselves."""
+    words = [f"w{i}" for i in range(2000)]
+    rows = [(d, " ".join(words[8 * d : 8 * d + 100])) for d in range(200)]
+    monkeypatch.setattr(neardup, "BLOCK", 30)
+    monkeypatch.setattr(neardup, "DELEGATES", 1)
+    monkeypatch.setattr(neardup, "HUBS", 1)
+    out = neardup.near_duplicates(frame(rows)).collect()
+    assert {r.component_id for r in out} == set(brute_components(rows, 5).values()) == {0}
+
+
 def test_regions_cover_common_prefixes():
     prefix = np.sort(np.random.default_rng(0).integers(0, 3, (5000, 6)).view([("", np.int64)] * 6).reshape(-1)).view(np.int64).reshape(-1, 6)
     for a, b in neardup._regions(prefix):
