@@ -25,6 +25,9 @@ BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
 #: Members of a block's largest component that visit the first blocks of their group, and how many blocks those are.
 DELEGATES, HUBS = 64, 2
 
+#: Copies of one set from which its rows meet their component by a lookup.
+HOT_COPIES = 256
+
 _RNG = np.random.default_rng(97)
 _XOR = _RNG.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
 _ODD = _RNG.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
@@ -301,10 +304,12 @@ def near_duplicates(
     """
     spread = cut_lineage(shingle_table(docs, id_col, text_col, words), "shingles")
     slim = spread.select("id", "key", "n_shingles")
-    nodes = spread.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    nodes = spread.where(F.col("key").isNotNull()).groupBy("key").agg(
+        F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies")
+    )
     nodes = cut_lineage(nodes, "nodes")
     groups = components(proposed_links(forest(nodes), least_agreement(percent / 100)))
-    joined = groups.withColumnRenamed("node", "key").join(nodes.drop("sig"), "key")
+    joined = groups.withColumnRenamed("node", "key").join(nodes.drop("sig", "copies"), "key")
     sizes = joined.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
     blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     wanted = joined.join(sizes.select("root", blocks.alias("n_blocks")), "root")
@@ -316,14 +321,24 @@ def near_duplicates(
     smallest = linked.withColumnRenamed("node", "key").join(nodes.select("key", "id"), "key")
     smallest = smallest.groupBy("root").agg(F.min("id").alias("component"))
     found = linked.join(smallest, "root").select(F.col("node").alias("key"), "component")
-    named = nodes.select("key", "id").join(found, "key", "left").select("key", F.coalesce("component", "id").alias("component"))
-    out = slim.join(named, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component"))
+    named = nodes.select("key", "id", "copies").join(found, "key", "left").select("key", "copies", F.coalesce("component", "id").alias("component_id"))
+    out = _rows_of_nodes(slim, cut_lineage(named, "named"))
     return out.select(
-        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.col("key").alias("set_key")
+        F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), F.col("key").alias("set_key")
     )
 
 
+def _rows_of_nodes(slim: DataFrame, named: DataFrame) -> DataFrame:
+    """Every row with its node's component. Rows without a set are their own, and those of nodes with many copies
+    meet a lookup, so neither lands in one task of the join by key."""
+    alone = slim.where(F.col("key").isNull()).withColumn("component_id", F.col("id"))
+    hot = named.where(F.col("copies") > HOT_COPIES).select("key", F.col("component_id").alias("hot"), F.lit(True).alias("is_hot"))
+    tagged = lookup_join(slim.where(F.col("key").isNotNull()), hot, "key", "left", spread_by=("id",))
+    many = tagged.where("is_hot").select("id", "key", "n_shingles", F.col("hot").alias("component_id"))
+    few = tagged.where("is_hot is null").join(named.where(F.col("copies") <= HOT_COPIES), "key").select("id", "key", "n_shingles", "component_id")
+    return alone.select("id", "key", "n_shingles", "component_id").unionByName(many).unionByName(few)
+
+
 def _with_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """The members of proposed groups with their hash sets, one row per key, taken from the texts once more."""
     wanted = cut_lineage(wanted, "wanted")

@@ -64,6 +64,14 @@ def test_large_groups_in_small_blocks(frame, monkeypatch):
     assert {r.doc_id: r.component_id for r in out} == brute_components(rows, 5)
 
 
+def test_nodes_with_many_copies(frame, monkeypatch):
+    monkeypatch.setattr(neardup, "HOT_COPIES", 2)
+    rows = near_copies(random.Random(7), 20)
+    rows += [(1000 + i, rows[i % 3][1]) for i in range(30)] + [(2000 + i, None) for i in range(5)]
+    out = neardup.near_duplicates(frame(rows)).collect()
+    assert len(out) == len(rows) and {r.doc_id: r.component_id for r in out} == brute_components(rows, 5)
+
+
 def test_no_link_between_blocks_is_lost(frame, monkeypatch):
     """A chain, where each document links to its neighbours alone, over blocks that show next to nothing of themselves."""
     words = [f"w{i}" for i in range(2000)]
