@@ -15,6 +15,10 @@ from reviewloom.plans.session import cut_lineage
 
 #: Hash digits of one level of the search for a cut, and rows of the last block, which is filled row by row.
 LEVEL_BITS, LAST_ROWS = 12, 64
+#: Texts longer than this part of their source are chosen first and by themselves; a source has fewer than 1 / LONG.
+LONG = 1 / 256
+#: Part of what a source has yet to take by which its long texts may miss before other choices of them are tried.
+NEAR = 0.001
 
 
 def water_fill(sizes: Sequence[int], weights: Sequence[float], share: float, most: float) -> list[float]:
@@ -77,6 +81,62 @@ def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.loc[taken, ["source_no", "h"]]
 
 
+def choose_long(sizes: Sequence[int], rest: float, short: float) -> list[int]:
+    """Which of a source's long texts, in hash order, are taken, so that its short ones can make up the ``rest``.
+
+    They get their share of the rest, each in turn if it still fits. If the ``short`` words can't fill what is left,
+    or it is overdrawn, every length passed over is tried as the first, and the longest first; the nearest is taken.
+    """
+    low = max(0.0, rest - short)
+    miss = lambda taken: max(low - (n := sum(sizes[k] for k in taken)), n - rest, 0.0)
+
+    def greedy(order: Sequence[int], aim: float, first: Sequence[int] = ()) -> list[int]:
+        taken = list(first)
+        left = aim - sum(sizes[k] for k in taken)
+        for k in order:
+            if sizes[k] <= left and k not in first:
+                taken.append(k)
+                left -= sizes[k]
+        others = set(order).difference(taken)
+        if not others:
+            return taken
+        nearest = [*taken, min(others, key=lambda k: (sizes[k], k))]
+        return nearest if (miss(nearest), abs(left - sizes[nearest[-1]])) < (miss(taken), abs(left)) else taken
+
+    order = range(len(sizes))
+    best = greedy(order, rest * sum(sizes) / max(1, sum(sizes) + short))
+    if miss(best) > NEAR * rest:
+        firsts = {sizes[k]: (k,) for k in reversed(order) if k not in best}
+        tries = [greedy(order, rest, f) for f in [(), *firsts.values()]]
+        best = min([best, *tries, greedy(sorted(order, key=lambda k: -sizes[k]), rest)], key=miss)
+    return best
+
+
+def _long_texts(coded: DataFrame, parts: list[dict]) -> DataFrame:
+    """(source_no, h, chosen) of the long texts, chosen 1 or 0; takes them out of each source's size, rows and rest."""
+    spark = coded.sparkSession
+    state = spark.createDataFrame(
+        [(p["no"], p["size"], float(p["target"] - p["size"] * p["passes"])) for p in parts], "source_no int, source_size bigint, rest double"
+    )
+    groups = coded.groupBy("source_no", "h").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
+    longs = cut_lineage(groups.join(F.broadcast(state), "source_no").where(F.col("size") > F.col("source_size") * LONG), "mix-long")
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("h", ignore_index=True)
+        taken = choose_long(pdf["size"].tolist(), pdf["rest"].iloc[0], float(pdf["source_size"].iloc[0] - pdf["size"].sum()))
+        return pdf.assign(chosen=pdf.index.isin(taken).astype("int32"))[["source_no", "h", "chosen", "size", "rows"]]
+
+    chosen = cut_lineage(longs.groupBy("source_no").applyInPandas(choose, "source_no int, h bigint, chosen int, size bigint, rows bigint"), "mix-long")
+    sums = chosen.groupBy("source_no").agg(F.sum("size").alias("size"), F.sum("rows").alias("rows"), F.sum(F.col("size") * F.col("chosen")).alias("taken"))
+    found = {r.source_no: r for r in sums.collect()}
+    for p in parts:
+        r = found.get(p["no"])
+        p["rest"] = p["target"] - p["size"] * p["passes"] - (r.taken if r else 0)
+        p["short_rows"] = p["rows"] - (r.rows if r else 0)
+        p["short_size"] = p["size"] - (r.size if r else 0)
+    return chosen.select("source_no", "h", "chosen")
+
+
 def plan_sources(sized: DataFrame, weights: Sequence[float], share: float, most: float, max_sources: int) -> list[dict]:
     """One entry per source in code point order, null last, with its size, weight and target."""
     rows = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).limit(max_sources + 1).collect()
@@ -95,8 +155,8 @@ def _find_cuts(sized: DataFrame, parts: list[dict]) -> list[dict]:
     """
     spark = sized.sparkSession
     for p in parts:
-        p |= {"skip": 0, "prefix": 0, "rest": p["target"] - p["size"] * p["passes"], "bits": int(np.clip(np.log2(max(1, p["rows"] / LAST_ROWS)), 0, LEVEL_BITS))}
-    todo = parts
+        p |= {"skip": 0, "prefix": 0, "bits": int(np.clip(np.log2(max(1, p["short_rows"] / LAST_ROWS)), 0, LEVEL_BITS))}
+    todo = [p for p in parts if p["rest"] > 0 and p["short_size"] > 0]
     while todo:
         state = spark.createDataFrame(
             [(p["no"], p["skip"], p["bits"], p["prefix"], float(p["rest"])) for p in todo], "source_no int, skip int, bits int, prefix bigint, rest double"
@@ -138,7 +198,7 @@ class Plan:
         coded = rows.join(F.broadcast(self.numbers), source.eqNullSafe(self.numbers["source"])).drop(self.numbers["source"])
         joined = coded.join(F.broadcast(self.state), "source_no").join(F.broadcast(self.chosen), ["source_no", "h"], "left")
         digits = _digits(F.col("h"), F.lit(0), F.col("skip"))
-        more = F.coalesce((F.col("whole") | (digits < F.col("prefix")) | F.col("chosen").isNotNull()).cast("int"), F.lit(0))
+        more = F.coalesce(F.col("chosen"), (F.col("whole") | (digits < F.col("prefix"))).cast("int"), F.lit(0))
         copies = F.when(F.col("size") > 0, F.col("passes") + F.when(F.col("skip").isNotNull(), more).otherwise(0)).otherwise(0)
         block = lambda t: F.pmod(F.xxhash64(F.lit(self.seed), t["turn"], F.col("h")), F.lit(self.n_blocks)).cast("int")
         out = joined.withColumn("copies", copies).join(F.broadcast(self.homes), "source_no")
@@ -157,15 +217,18 @@ def plan_mix(
         p["passes"] = min(most, int(p["target"] // p["size"])) if p["size"] else 0
     numbers = spark.createDataFrame([(p["source"], p["no"]) for p in parts], f"source {sized.schema['source'].dataType.simpleString()}, source_no int")
     coded = sized.join(F.broadcast(numbers), sized["source"].eqNullSafe(numbers["source"])).select("size", "h", "source_no").where("size > 0")
-    _find_cuts(coded, [p for p in parts if p["size"] and p["target"] > p["passes"] * p["size"]])
+    partial = [p for p in parts if p["size"] and p["target"] > p["passes"] * p["size"]]
+    longs = _long_texts(coded, partial)
+    short = coded.join(longs, ["source_no", "h"], "left_anti")
+    _find_cuts(short, partial)
     fields = "source_no int, source_size bigint, target double, passes int, skip int, prefix bigint, rest double, whole boolean"
     state = spark.createDataFrame(
         [(p["no"], p["size"], p["target"], p["passes"], p.get("skip"), p.get("prefix"), p.get("rest"), p.get("done", False)) for p in parts], fields
     )
-    last = coded.join(F.broadcast(state), "source_no").where(F.col("skip").isNotNull() & ~F.col("whole"))
+    last = short.join(F.broadcast(state), "source_no").where(F.col("skip").isNotNull() & ~F.col("whole") & (F.col("rest") > 0))
     last = last.where(_digits(F.col("h"), F.lit(0), F.col("skip")) == F.col("prefix"))
     per_hash = last.groupBy("source_no", "h").agg(F.sum("size").alias("size"), F.first("rest").alias("rest"))
-    chosen = per_hash.groupBy("source_no").applyInPandas(_fill, "source_no int, h bigint").withColumn("chosen", F.lit(1))
+    chosen = per_hash.groupBy("source_no").applyInPandas(_fill, "source_no int, h bigint").withColumn("chosen", F.lit(1)).unionByName(longs)
 
     n_blocks, rng = n_shards * blocks_per_shard, np.random.default_rng(seed)
     places = []
@@ -191,11 +254,13 @@ def mix_sources(
 
     Sources in code point order weigh ``weights``, repeating, and share ``share`` of all sizes; a target stops at
     ``most`` times its source's size, and the excess goes to the others. A target over its source's size gives
-    whole passes, which take every row, and a part of one more. That part is a prefix of the rows in hash order,
-    found by counting blocks of hash values; in the last block rows are taken while they fit, so the sum comes
-    near the target. Each pass is cut into blocks by a permutation of its own, and ``split_quotas`` deals these
+    whole passes, which take every row, and a part of one more. Of that part, texts longer than ``LONG`` of their
+    source are chosen first, so that the others can make up what is left; these are a prefix in hash order, found
+    by counting blocks of hash values, and in the last block rows are taken while they fit. So the sum comes within
+    half of ``LONG`` of the source's size of the target, unless its long texts are most of it and no choice tried
+    by :func:`choose_long` comes near. Each pass is cut into blocks by a permutation of its own, and ``split_quotas`` deals these
     out among ``n_shards`` shards, exactly ``blocks_per_shard`` times the sources to each; ``shards`` names the
-    shard of each copy. Only counts are shuffled, and all of it repeats with the same seed.
+    shard of each copy. Only sizes, hashes and counts are shuffled, and all of it repeats with the same seed.
 
     Size is the number of words; a null or empty text has none, and such rows are never taken. Rows without a
     source are a source of their own, last. Rows that share an id are drawn together, as are rows without an id

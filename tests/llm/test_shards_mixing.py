@@ -56,6 +56,24 @@ def test_mix_comes_near_its_targets(frame):
     assert first["shards"].map(len).eq(first.copies).all()
 
 
+def test_mix_with_a_text_of_half_its_source(frame):
+    for long in range(6):
+        rows = [(i, "w " * 100, "even") for i in range(400)] + [(1000 + long, "w " * 40_000, "even")]
+        rows += [(2000 + i, "w " * 20, "fine") for i in range(2000)] + [(5000 + long, "w " * 60_000, "fine")]
+        out = mixing.mix_sources(frame(rows), weights=(1,)).toPandas()
+        for _, g in out.groupby("source"):
+            assert abs(g.taken.sum() - g.target.iloc[0]) <= 0.002 * g.source_size.iloc[0]
+
+
+def test_long_texts_leave_what_short_ones_can_fill():
+    for at in range(0, 201, 20):
+        sizes = [200] * at + [60_000] + [200] * (200 - at)
+        for rest, short, near in ((65_000, 0, 0), (60_000, 0, 0), (50_000, 0, 10_000), (30_000, 0, 0), (45_000, 5_000, 0), (62_500, 0, 100)):
+            got = sum(sizes[k] for k in mixing.choose_long(sizes, rest, short))
+            assert rest - short - near <= got <= rest + near
+    assert mixing.choose_long([], 10, 10) == []
+
+
 def test_mix_and_draw_of_odd_rows(frame):
     out = mixing.mix_sources(frame(ODD)).toPandas()
     assert len(out) == len(ODD) and out[out["size"] == 0].taken.sum() == 0
