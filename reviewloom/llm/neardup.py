@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from reviewloom.plans.session import cut_lineage
 
 #: Trees of the forest, hash values per tree, and the shortest common prefix that makes two documents neighbours.
 TREES, DEPTH, LEAST_PREFIX = 16, 8, 3
-#: Most members of a region that are compared with each other; a larger one is split by longer prefixes.
+#: Most members of a region that the task which reads it compares; a larger one is dealt out in blocks.
 REGION = 2048
 #: Most members, and shingles, that one verifying task holds at once.
 BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
@@ -119,67 +119,87 @@ def forest(nodes: DataFrame) -> DataFrame:
 
 
 def _regions(prefix: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of sorted rows to compare: equal prefixes, as short as REGION allows; the largest in halved steps."""
-    todo = [(0, len(prefix), LEAST_PREFIX)]
-    while todo:
-        a, b, depth = todo.pop()
-        if depth == LEAST_PREFIX or b - a > REGION:
-            if depth > prefix.shape[1]:
-                yield from ((s, min(s + REGION, b)) for s in range(a, max(a + 1, b - REGION // 2), REGION // 2))
-                continue
-            own = prefix[a:b, :depth]
-            cuts = np.flatnonzero((own[1:] != own[:-1]).any(axis=1)) + 1
-            edges = [0, *cuts.tolist(), b - a]
-            todo += [(a + x, a + y, depth + 1) for x, y in zip(edges, edges[1:], strict=False) if y - x > 1]
-        else:
-            yield a, b
+    """Ranges of more than one sorted row with an equal prefix of LEAST_PREFIX values."""
+    own = prefix[:, :LEAST_PREFIX]
+    cuts = np.flatnonzero((own[1:] != own[:-1]).any(axis=1)) + 1
+    edges = np.concatenate(([0], cuts, [len(own)]))
+    for k in np.flatnonzero(np.diff(edges) > 1).tolist():
+        yield int(edges[k]), int(edges[k + 1])
+
+
+def _agree(own: np.ndarray, others: np.ndarray, least: int) -> np.ndarray:
+    return np.concatenate([agreements(own[x : x + 256], others) >= least for x in range(0, len(own), 256)])
 
 
 def proposed_links(trees: DataFrame, least: int) -> DataFrame:
-    """(a, b): members of a region whose sketches agree, each tied to the first of its local component.
+    """(a, b): links that tie together all members of a region whose sketches agree.
 
     The sorted orders are dealt by range, so a prefix that very many nodes share is spread over tasks, and a
-    task reads its sorted rows as a stream.
+    task reads its sorted rows as a stream. It compares the regions that it holds whole, up to REGION members.
+    A larger region, and one that may go on in the next task, is gathered by its prefix and compared in blocks.
     """
 
-    def compare(keys: list[bytes], words: np.ndarray, prefix: np.ndarray, out: set) -> None:
-        for a, b in _regions(prefix):
-            own = words[a:b]
-            adjacent = np.concatenate([agreements(own[x : x + 256], own) >= least for x in range(0, b - a, 256)])
-            roots = local_roots(adjacent)
-            for x in np.flatnonzero(roots != np.arange(b - a)).tolist():
-                out.add((keys[a + roots[x]], keys[a + x]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: tuple | None = None
+        loose = None  # the region whose rows go out to be compared in blocks
         for batch in batches:
-            numbers = [np.asarray(batch.column(c), np.int64) for c in ("p1", "p2", "p3")]
-            prefix = np.stack([np.asarray(batch.column("tree"), np.int64)] + [x for n in numbers for x in (n >> 32, n & 0xFFFFFFFF)], axis=1)
-            rows = (prefix, batch.column("key").to_pylist(), np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, 8))
-            held.append(rows)
-            prefix = np.concatenate([h[0] for h in held])
-            keys = [k for h in held for k in h[1]]
-            words = np.concatenate([h[2] for h in held])
-            short = prefix[:, : LEAST_PREFIX + 1]
-            done = int(np.flatnonzero((short != short[-1]).any(axis=1)).max(initial=-1)) + 1 if len(short) else 0
-            if not done and len(keys) > 16 * REGION:  # a very common prefix: go on in overlapping pieces
-                done = len(keys) - REGION
-            out: set = set()
-            compare(keys[:done], words[:done], prefix[:done, 1:], out) if done else None
-            held = [(prefix[done:], keys[done:], words[done:])]
-            yield _links(out)
-        out = set()
-        if held and len(held[0][1]):
-            compare(held[0][1], held[0][2], held[0][0][:, 1:], out)
-        yield _links(out)
+            if not batch.num_rows:
+                continue
+            numbers = [np.asarray(batch.column(c), np.int64) for c in ("p1", "p2")]
+            tree = np.asarray(batch.column("tree"), np.int64) << 32
+            short = np.stack([tree | numbers[0] >> 32 & 0xFFFFFFFF, numbers[0] & 0xFFFFFFFF, numbers[1] >> 32], axis=1)
+            keys = np.array([*batch.column("key").to_pylist(), None], object)[:-1]
+            words = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, 8)
+            if loose is None:  # the first region may have begun in the task before
+                loose = short[0]
+            if held is not None:
+                short, keys, words = (np.concatenate(x) for x in zip(held, (short, keys, words), strict=True))
+            cuts = np.flatnonzero((short[1:] != short[:-1]).any(axis=1)) + 1
+            starts = np.concatenate(([0], cuts))
+            sizes = np.diff(np.concatenate((starts, [len(short)])))
+            out = sizes > REGION
+            out[0] |= (short[0] == loose).all()
+            if out[-1]:
+                loose = short[-1]
+            rows = np.repeat(out, sizes)
+            held = None
+            inside = ~rows
+            if not out[-1]:
+                inside[starts[-1] :] = False
+                held = (short[starts[-1] :], keys[starts[-1] :], words[starts[-1] :])
+            pairs: set = set()
+            own, own_keys = words[inside], keys[inside]
+            for a, b in _regions(short[inside]):
+                roots = local_roots(_agree(own[a:b], own[a:b], least))
+                for x in np.flatnonzero(roots != np.arange(b - a)).tolist():
+                    pairs.add((own_keys[a + roots[x]], own_keys[a + x]))
+            yield proposals(pairs, short[rows], keys[rows], words[rows])
+        if held is not None:  # the last region may go on in the next task
+            yield proposals(set(), *held)
+
+    def proposals(pairs: set, short: np.ndarray, keys: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
+        n, m = len(pairs), len(keys)
+        columns = [
+            [p[0] for p in pairs] + [None] * m, [p[1] for p in pairs] + keys.tolist(),
+            [None] * n + [r.tobytes() for r in short], [None] * n + [w.tobytes() for w in words],
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["a", "b", "cluster", "sketch"])
 
     order = ["tree", "p1", "p2", "p3", "key"]
     dealt = trees.repartitionByRange(*order).sortWithinPartitions(*order)
-    return dealt.mapInArrow(run, "a binary, b binary")
+    found = cut_lineage(dealt.mapInArrow(run, "a binary, b binary, cluster binary, sketch binary"), "proposed")
+    links = found.where("cluster is null").select("a", "b")
+    gathered = found.where("cluster is not null").select("cluster", F.col("b").alias("key"), F.col("sketch").alias("hashes"))
+    sizes = gathered.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sizes = cut_lineage(sizes.select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("n_blocks")), "regions")
+    block = F.pmod(F.xxhash64("key"), F.col("n_blocks")).cast("int")
+    members = lookup_join(gathered, sizes, "cluster", spread_by=("key",)).select("cluster", "n_blocks", block.alias("block"), "key", "hashes")
 
+    def linked(a: list[bytes], b: list[bytes]) -> np.ndarray:
+        own, others = (np.frombuffer(b"".join(x), np.uint64).reshape(-1, 8) for x in (a, b))
+        return _agree(own, others, least)
 
-def _links(pairs: set) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+    return links.unionByName(group_links(cut_lineage(members, "regions"), linked))
 
 
 def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -215,14 +235,21 @@ def _linked(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> np.ndarra
     return 100 * common >= percent * union
 
 
-def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+def confirmed_links(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that hold on full sets."""
 
+    def linked(a: list[bytes], b: list[bytes]) -> np.ndarray:
+        own = [np.frombuffer(x, np.uint64) for x in a]
+        return _linked(own, own if b is a else [np.frombuffer(x, np.uint64) for x in b], percent)
 
-def confirmed_links(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that hold on full sets, each member tied to the first of its local component.
+    return group_links(members, linked)
+
+
+def group_links(members: DataFrame, linked: Callable[[list[bytes], list[bytes]], np.ndarray]) -> DataFrame:
+    """(a, b): links between members of a group, each member tied to the first of its local component.
 
-    ``members`` has (cluster, n_blocks, block, key, hashes). A proposed group that fits one block is compared
+    ``members`` has (cluster, n_blocks, block, key, hashes), and ``linked`` compares two lists of hashes; a key may
+    be in several groups. A group that fits one block is compared
     within one task, all pairs by matrix products. Of a larger group every block is compared within. Then what a
     block did not join to its largest component, and some delegates of that, visit the group's first blocks. What
     is still outside the group's largest component visits all blocks: a link that is missing by then has an end there.
@@ -230,8 +257,8 @@ def confirmed_links(members: DataFrame, percent: int) -> DataFrame:
 
     def within(part: pa.Table) -> pa.Table:
         part = part.sort_by("key")
-        keys, sets = part["key"].to_pylist(), _sets(part["hashes"])
-        roots = local_roots(_linked(sets, sets, percent))
+        keys, sets = part["key"].to_pylist(), part["hashes"].to_pylist()
+        roots = local_roots(linked(sets, sets))
         names, counts = np.unique(roots, return_counts=True)
         inner = np.flatnonzero(roots == names[np.argmax(counts)])
         visits = np.ones(len(keys), bool)
@@ -249,14 +276,17 @@ def confirmed_links(members: DataFrame, percent: int) -> DataFrame:
 
     def across(part: pa.Table) -> pa.Table:
         home = np.asarray(part["home"])
-        keys, sets = part["key"].to_pylist(), _sets(part["hashes"])
+        keys, sets = part["key"].to_pylist(), part["hashes"].to_pylist()
         mine, guests = np.flatnonzero(home), np.flatnonzero(~home)
         roots = part["root"].to_pylist()
-        hits = _linked([sets[i] for i in guests], [sets[i] for i in mine], percent) if len(mine) and len(guests) else np.zeros((0, 0), bool)
-        found = {(keys[guests[x]], roots[mine[y]]) for x, y in np.argwhere(hits).tolist()}
+        mine = np.array(sorted(mine.tolist(), key=lambda i: roots[i]), int)
+        first = [y for y, i in enumerate(mine) if not y or roots[i] != roots[mine[y - 1]]]
+        hits = linked([sets[i] for i in guests], [sets[i] for i in mine]) if len(mine) and len(guests) else np.zeros((0, 0), bool)
+        hits = np.logical_or.reduceat(hits, first, axis=1) if hits.size else hits
+        found = [(keys[guests[x]], roots[mine[first[y]]]) for x, y in np.argwhere(hits).tolist()]
         return pa.table({c: pa.array([p[k] for p in found], pa.binary()) for k, c in enumerate(("a", "b"))})
 
-    wide = members.where("n_blocks > 1").join(inner.select(F.col("b").alias("key"), F.col("a").alias("root"), "visits"), "key")
+    wide = members.where("n_blocks > 1").join(inner.select("cluster", F.col("b").alias("key"), F.col("a").alias("root"), "visits"), ["cluster", "key"])
 
     def met(visitors: DataFrame, hubs: int | None) -> DataFrame:
         """Links of the visitors with other blocks of their group, the first ``hubs`` or all; in parties of a bounded size."""
@@ -278,11 +308,11 @@ def confirmed_links(members: DataFrame, percent: int) -> DataFrame:
     rooted = rooted.select("cluster", "node", F.coalesce("root", "node").alias("root"))
     sizes = rooted.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
-    outside = lookup_join(rooted, largest, "cluster", spread_by=("node",)).where("root <> largest").select(F.col("node").alias("key"))
+    outside = lookup_join(rooted, largest, "cluster", spread_by=("node",)).where("root <> largest").select("cluster", F.col("node").alias("key"))
     outside = cut_lineage(outside, "outside")
     if outside.isEmpty():
         return links.unionByName(first)
-    return links.unionByName(first).unionByName(met(wide.join(outside, "key", "left_semi"), None))
+    return links.unionByName(first).unionByName(met(wide.join(outside, ["cluster", "key"], "left_semi"), None))
 
 
 def near_duplicates(
@@ -293,9 +323,10 @@ def near_duplicates(
     Texts are lower-cased in A-Z and cut into words at ASCII white space; a document's set holds its distinct
     shingles of ``words`` words, or its whole sequence if that is shorter. Documents with one and the same set
     are one node. Each tree of the forest sorts the nodes by its own MinHash values. Regions of a common prefix
-    of three values, or longer where a region holds more than REGION nodes, propose groups by sketch; groups
-    are confirmed on full sets. A pair at the threshold is missed with a chance of about 1 in 20,000 where no
-    other link joins it, and less above.
+    of three values, of any size, propose groups by sketch; groups are confirmed on full sets. A pair at the
+    threshold is missed with a chance of about 1 in 20,000 where no other link joins it, and less above. Regions
+    of more than REGION nodes are compared in blocks, whose work grows with the square of a region if most of its
+    nodes are unlinked.
 
     ``component_id`` is the smallest id reachable over links; ``kept`` marks the row that has it, so of rows
     repeated under one id all are marked. Null and empty texts and texts without words have no set and stay

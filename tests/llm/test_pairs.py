@@ -89,6 +89,34 @@ def test_regions_cover_common_prefixes():
         assert 1 < b - a <= neardup.REGION and (prefix[a, :3] == prefix[b - 1, :3]).all()
 
 
+def test_large_regions_lose_no_pair(spark):
+    """Pairs of one sketch, apart in a region beyond REGION and over several tasks, where longer prefixes differ."""
+    rng = np.random.default_rng(5)
+    looks = [rng.bytes(64) for _ in range(1500)]
+    order = rng.permutation(3000).tolist()
+    rows = [(0, 7, (7 << 32) + at, at, i.to_bytes(16, "big"), looks[i // 2]) for i, at in enumerate(order)]
+    rows += [(1, 7, 7 << 32, 0, (5000 + i).to_bytes(16, "big"), looks[i]) for i in range(2)]
+    trees = spark.createDataFrame(rows, "tree int, p1 long, p2 long, p3 long, key binary, sketch binary")
+    out = {tuple(sorted(int.from_bytes(x, "big") for x in r)) for r in neardup.proposed_links(trees, 100).collect()}
+    assert out == {(i, i + 1) for i in range(0, 3000, 2)}
+
+
+def test_pairs_among_texts_that_share_boilerplate(frame, monkeypatch):
+    rnd = random.Random(8)
+    rows = []
+    for pair in range(60):
+        base = [f"b{i}" for i in range(90)] + [f"p{pair}x{i}" for i in range(40)]
+        for copy in range(2):
+            own = list(base)
+            for _ in range(2):
+                own[90 + rnd.randrange(40)] = f"c{pair}x{copy}x{rnd.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    monkeypatch.setattr(neardup, "REGION", 4)
+    monkeypatch.setattr(neardup, "BLOCK", 20)
+    out = neardup.near_duplicates(frame(rows)).collect()
+    assert {r.doc_id: r.component_id for r in out} == brute_components(rows, 5)
+
+
 def test_odd_documents(frame):
     out = neardup.near_duplicates(frame(ODD)).toPandas()
     assert len(out) == len(ODD) and out[out.doc_id.isin([1, 2, 3])].n_shingles.sum() == 0
