@@ -118,3 +118,19 @@ def test_pieces_and_sequences(frame, tokenizer):
 
 def test_empty_table(frame):
     assert packing.pack_sequences(frame([]), PATH).collect() == []
+
+
+def test_every_token_is_what_its_bytes_merge_to(tokenizer):
+    """What makes merging by ids the same as merging by the list (see ``byte_ranks``)."""
+    words = [t for t in tokenizer.get_vocab() if t not in tokenizer.get_added_tokens_decoder().values() and t != "<|endoftext|>"]
+    assert all([x.value for x in tokenizer.model.tokenize(t)] == [t] for t in words)
+    assert UnitIds(PATH, 10).merger is not None
+
+
+def test_ascii_units_equal_the_library(tokenizer):
+    rnd = random.Random(6)
+    chars = [chr(c) for c in range(128)]
+    texts = ["".join(rnd.choice(chars) if rnd.random() < 0.3 else rnd.choice("etaoin srhld'") for _ in range(rnd.randint(1, 40))) for _ in range(20_000)]
+    ids = UnitIds(PATH, 10**6)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids.encode(texts)] == want
