@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -12,81 +10,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm.base import query, slices, table
+from reviewloom.llm.units import LONGEST_KEPT, UNIT, unit_ids
 
-# White space as the pre-tokeniser sees it (Unicode White_Space; Python's \s also has 1C to 1F).
-_WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: A word with the blank before it, or a run of white space without the blank that goes with the next word.
-UNIT = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
-#: Longer units are encoded each time and not remembered.
-LONGEST_KEPT = 64
-#: Units that are encoded in one call.
-AT_ONCE = 1024
 
-
-class TokenLengths:
-    """Token lengths of units: a table of frequent ones, then this worker's cache, then the tokenizer.
-
-    Units are cut where the byte-level pre-tokeniser always cuts, so lengths add up. A text that holds the
-    string of a special token goes to the tokenizer as a whole.
-    """
+class TokenLengths(dict):
+    """Token lengths of units: the table of frequent ones, then this worker's cache, then the tokenizer."""
 
     def __init__(self, path: str, frequent: dict[str, int], room: int):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; further threads only hold memory
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
-        self.frequent, self.known, self.room = frequent, dict(frequent), room
+        super().__init__(frequent)
+        self.worker = unit_ids(path, room)
 
-    def encode(self, texts: list[str]) -> list[int]:
-        """Token lengths; encodings are large, so only ``AT_ONCE`` of them are held."""
-        parts = (texts[a : a + AT_ONCE] for a in range(0, len(texts), AT_ONCE))
-        return [len(e) for part in parts for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
+    def __missing__(self, unit: str) -> int:
+        return len(self.worker[unit]) // 4
 
     def count(self, texts: list[str]) -> list[int]:
-        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        out = dict(zip(whole, self.encode([texts[i] for i in whole]), strict=True))
-        units = {i: UNIT.findall(t) for i, t in enumerate(texts) if i not in out}
-        if len(self.known) > len(self.frequent) + self.room:
-            self.known = dict(self.frequent)
-        missing = list({u for row in units.values() for u in row}.difference(self.known))
-        self.known.update(zip(missing, self.encode(missing), strict=True))
-        known = self.known.__getitem__
-        out.update((i, sum(map(known, row))) for i, row in units.items())
-        for u in missing:
-            if len(u) > LONGEST_KEPT:
-                del self.known[u]
-        return [out[i] for i in range(len(texts))]
+        self.worker.make_room()
+        length, special = self.__getitem__, self.worker.special
+        return [len(self.worker.whole(t)) // 4 if any(s in t for s in special) else sum(map(length, UNIT.findall(t))) for t in texts]
 
 
 def frequent_lengths(docs: DataFrame, text: str, path: str, sample_docs: int, table_size: int) -> dict[str, int]:
-    """Token lengths of the units most frequent in a bounded sample; they only speed up the count."""
+    """Token lengths of the units most frequent in a random sample of the whole table; they only speed up the count."""
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = Counter(u for t in batch.column(0).to_pylist() for u in UNIT.findall(t or "") if len(u) <= LONGEST_KEPT)
             yield pa.RecordBatch.from_pydict({"unit": pa.array(seen, pa.string()), "n": pa.array(seen.values(), pa.int64())})
 
-    sample = docs.select(F.col(text).alias("t")).limit(sample_docs)
+    share = min(1.0, sample_docs / max(1, docs.count()))
+    sample = docs.select(F.col(text).alias("t")).sample(fraction=share, seed=9)
     top = (
         sample.mapInArrow(units, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "unit").limit(table_size)
     )
-    names = [r["unit"] for r in top.collect()]
-    return dict(zip(names, TokenLengths(path, {}, 0).encode(names), strict=True))
+    encoder = unit_ids(path)
+    return {r["unit"]: len(encoder[r["unit"]]) // 4 for r in top.collect()}
 
 
 def count_tokens(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512,
-    sample_docs: int = 500, table_size: int = 20_000, cache_size: int = 200_000,
+    sample_docs: int = 2_000, table_size: int = 20_000, cache_size: int = 1_000_000,
 ) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row, in one pass without a shuffle.
 
     ``path`` names a byte-level BPE file of the tokenizers library. The broadcast table holds at most
-    ``table_size`` units of ``LONGEST_KEPT`` characters, taken from ``sample_docs`` rows; what it lacks is
-    encoded once per worker and kept among at most ``cache_size`` units. Null and empty texts have no bytes
-    and no tokens; texts of any length are counted whole; repeated rows and null ids are kept as they are.
-    Other columns are not read, so their names can't clash.
+    ``table_size`` units of ``LONGEST_KEPT`` characters, taken from a random sample of about ``sample_docs`` rows of
+    the whole table; what it lacks is encoded once per worker process and kept for its later tasks, ``cache_size``
+    units before it starts anew. Null and empty texts have no bytes and no tokens; texts of any length are counted
+    whole; repeated rows and null ids are kept as they are. Other columns are not read, so their names can't clash.
     """
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
