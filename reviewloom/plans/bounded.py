@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from reviewloom.plans.session import cut_lineage
+
 MAX_ROWS = 500_000
 MAX_BYTES = 64 * 1024 * 1024
 SALTS = 32
@@ -40,9 +42,13 @@ def lookup_join(
     A dictionary that passes the size check is broadcast, so the large side does not move. A larger one
     is repeated once per salt and joined on (key, salt), so a key holding a third of all rows is spread
     over ``SALTS`` tasks. ``spread_by`` names columns that vary within a hot key. ``fits`` tells the result of a
-    size check that was made before.
+    size check that was made before; otherwise the dictionary is written to the shared folder, measured there and
+    read from there, so whatever made it runs once.
     """
-    if fits_broadcast(small, max_rows=max_rows) if fits is None else fits:
+    if fits is None:
+        small = cut_lineage(small, "dictionary")
+        fits = fits_broadcast(small, max_rows=max_rows)
+    if fits:
         return big.join(F.broadcast(small), on, how)
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*(spread_by or big.columns)), F.lit(SALTS)))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
