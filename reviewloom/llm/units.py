@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 from array import array
+from types import ModuleType
 
 # White space as the pre-tokeniser sees it (Unicode White_Space; Python's \s also has 1C to 1F).
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -76,13 +78,13 @@ class UnitIds(dict):
         return [self.whole(t) if any(s in t for s in self.special) else b"".join(map(known, UNIT.findall(t))) for t in texts]
 
 
-_UNIT_IDS: dict[str, UnitIds] = {}
-
-
 def unit_ids(path: str, room: int = 1_000_000) -> UnitIds:
-    """The :class:`UnitIds` of a file in this worker process; later tasks find what earlier ones remembered."""
-    if path not in _UNIT_IDS:
-        _UNIT_IDS.clear()
-        _UNIT_IDS[path] = UnitIds(path, room)
-    _UNIT_IDS[path].room = room
-    return _UNIT_IDS[path]
+    """The :class:`UnitIds` of a file in this worker process; later tasks find what earlier ones remembered.
+
+    This package travels to the workers by value, anew for each task, so its own globals would not last.
+    """
+    kept = sys.modules.setdefault("_kept_unit_ids", ModuleType("_kept_unit_ids")).__dict__
+    if kept.get("path") != path:
+        kept.update(path=path, ids=UnitIds(path, room))
+    kept["ids"].room = room
+    return kept["ids"]
