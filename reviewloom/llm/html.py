@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.llm.base import query, slices, table
 from reviewloom.plans.bounded import lookup_join
+from reviewloom.plans.session import cut_lineage
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
@@ -237,7 +238,7 @@ def host_templates(pages: DataFrame, min_pages: int, share: float, inside_share:
 
     A list can't outgrow a page: each entry stands on at least ``share`` of the host's pages.
     """
-    counts = subtree_counts(pages)
+    counts = cut_lineage(subtree_counts(pages), "subtree-counts")
     total = F.max(F.when(F.col("hash") == 0, F.col("n")))
     wide = counts.groupBy("host").agg(total.alias("pages"))
     often = F.when(F.col("inside"), F.col("pages") * inside_share).otherwise(F.col("pages") * share)

@@ -19,9 +19,14 @@ DENSE = 0.2
 
 
 def quantized(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component, or null if the vector or a component is null or not finite."""
+    """floor(scale * x) of each component, or null if the vector or a component is null or not finite.
+
+    A finite component so large that a product of two such vectors could leave 64 bits fails the job.
+    """
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    return F.when(finite, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("bigint")))
+    wide = F.exists(vector, lambda x: F.abs(x.cast("double") * scale) * F.sqrt(F.size(vector)) >= F.lit(2.0**31))
+    fail = F.raise_error(F.lit("a vector component is too large for exact 64-bit products")).cast("array<bigint>")
+    return F.when(finite & wide, fail).when(finite, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("bigint")))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
@@ -119,7 +124,7 @@ def top_products(
     the longest ``probes`` give every query a first bound, and with it the last block that can matter. Query
     blocks of ``query_rows`` meet only those blocks, and there the partial sums of the rotated vectors prune what
     can't reach the bound. The rotation comes from ``sample_rows`` vectors in hash order; any rotation gives the
-    same rows. Scores are exact integers while components stay below 2**31 / sqrt(dimensions).
+    same rows. Scores are exact integers; a component of 2**31 / sqrt(dimensions) or more after scaling fails the job.
 
     Rows without id, null vectors and vectors with null or non-finite components take no part. A shorter vector
     counts as padded with zeros. A repeated query id is asked once, with its smallest vector; repeated
@@ -146,20 +151,21 @@ def top_products(
 
     def bounds(batches):
         known = shared.value
-        heads_ = np.array(known["heads"])
+        heads_ = np.maximum.accumulate(np.array(known["heads"])[::-1])[::-1]  # an empty block reaches as far as the next
         for batch in batches:
             q, ids = matrix(batch.column("v"), dims), np.asarray(batch.column("id"))
             scores = exact_products(q, known["v"]).astype(float)
             scores[ids[:, None] == known["ids"][None, :]] = -np.inf
             short = np.full((len(ids), max(0, k - scores.shape[1])), -np.inf)
             least = np.sort(np.concatenate((scores, short), axis=1), axis=1)[:, -k] if len(ids) else np.zeros(0)
-            reach = np.sqrt(np.asarray(batch.column("norm2")))[:, None] * heads_ * (1 + SLACK) + SLACK >= least[:, None]
-            last = [int(x) for x in reach.shape[1] - 1 - np.argmax(reach[:, ::-1], axis=1)]
+            length = np.sqrt(np.asarray(batch.column("norm2"))) * (1 + SLACK)
+            need = np.where(length > 0, (least - SLACK) / np.maximum(length, 1e-300), np.where(least <= SLACK, -np.inf, np.inf))
+            last = np.maximum(np.searchsorted(-heads_, -need * (1 - SLACK * np.sign(need)), side="right") - 1, 0).tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("v"), pa.array(least), pa.array(last, pa.int32())], names=["id", "v", "least", "last"]
             )
 
-    asked = sorted_.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"), F.min("norm2").alias("norm2"))
+    asked = sorted_.where(F.col("id") % every == 0).groupBy("id").agg(F.min(F.struct("v", "norm2")).alias("q")).select("id", "q.v", "q.norm2")
     asked = cut_lineage(asked.mapInArrow(bounds, "id bigint, v array<bigint>, least double, last int"), "queries")
     n_query_blocks = max(1, math.ceil(asked.count() / query_rows))
     asked = asked.withColumn("qblock", F.pmod(F.xxhash64("id"), F.lit(n_query_blocks)).cast("int"))

@@ -184,3 +184,25 @@ def test_top_products(spark):
     few = topk.top_products(spark.createDataFrame(rows[:3], "vec_id long, embedding array<double>"))
     assert few.count() == 2
     assert topk.top_products(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_words_that_a_polynomial_cannot_tell_apart(frame):
+    """The Thue-Morse word of 1,024 letters and its complement have equal polynomials modulo 2**64 for any odd base."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    out = neardup.near_duplicates(frame([(1, one), (2, other), (3, one)])).collect()
+    assert {r.doc_id: r.component_id for r in out} == {1: 1, 2: 2, 3: 1}
+
+
+def test_products_for_repeated_query_ids(spark):
+    """Rows of one id in several blocks: the smallest vector asks, with its own length."""
+    rnd = random.Random(8)
+    rows = [(0, [9.0, -30.0]), (0, [-40.0, 1.0])] + [(2000 + i, [float(rnd.randint(-9, 9)), float(rnd.randint(-9, 9))]) for i in range(147)] + [(50, [0.0, 0.0])]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "vec_id long, embedding array<float>, v string, block string")
+    got = [tuple(r) for r in topk.top_products(df, scale=1, block_rows=20, query_rows=1, probes=7).orderBy("query_id", "rank").collect()]
+    want = []
+    for q in sorted({i for i, _ in rows if i % 50 == 0}):
+        v = min(x for i, x in rows if i == q)
+        scored = sorted((-int(v[0] * x[0] + v[1] * x[1]), i) for i, x in rows if i != q)[:5]
+        want += [(q, k, i, -s) for k, (s, i) in enumerate(scored, 1)]
+    assert got == want
