@@ -4,7 +4,7 @@ from importlib import import_module
 
 from reviewloom.queries.base import ORACLES, QUERIES
 
-for _area in ("prepare", "quality", "sampling", "measures", "language", "models", "moderation"):
+for _area in ("prepare", "quality", "sampling", "measures", "exact_tests", "language", "models", "moderation"):
     import_module(f"reviewloom.queries.{_area}")
 
 __all__ = ["ORACLES", "QUERIES"]
