@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from threading import Lock
 
 from pyspark import SparkContext
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.hashing import DEFAULT_SEED, seed_hash, uniform
 from reviewloom.operators import metrics as M
 from reviewloom.operators.grids import search_space, trial_samples
+from reviewloom.operators.kernel import FourierFeatures
 from reviewloom.operators.sampling import evaluation_sets
 from reviewloom.operators.tables import concat_datasets
 from reviewloom.operators.terms import vocabulary
@@ -33,6 +34,10 @@ from reviewloom.plans.hash_rank import HashCounts
 
 FEATURES = "_features"
 LABEL = "_label"
+WAVES = "_waves"
+
+#: Random features of a Gaussian kernel.
+KERNEL_FEATURES = 512
 
 # Size of the bag of words, number of folds, grid of the regularisation strengths.
 VOCABULARY_SIZE = 10_000
@@ -59,8 +64,9 @@ def with_features(df: DataFrame, vector_col: str, y: str | None = None) -> DataF
 
 def _n_features(model) -> int:
     """Length of the vectors that a fitted classifier takes."""
-    last = model.stages[-1] if isinstance(model, PipelineModel) else model
-    return getattr(last, "models", [last])[0].numFeatures
+    stages = model.stages if isinstance(model, PipelineModel) else [model]
+    taker = next((s for s in stages if isinstance(s, FourierFeatures)), stages[-1])
+    return getattr(taker, "models", [taker])[0].numFeatures
 
 
 def bow(df: DataFrame, text_col: str, size: int = VOCABULARY_SIZE) -> PipelineModel:
@@ -82,18 +88,38 @@ def _per_row_strength(params: Mapping, n: int) -> float:
     return 1.0 / (float(params.get("C", 1.0)) * max(n, 1))
 
 
-def estimator(kind: str, params: Mapping, n_rows: int, n_classes: int = 2):
-    """An unfitted classifier by name. Parameters without a counterpart in Spark ML are ignored."""
+def _within(params: Mapping, name: str, default, low, high):
+    """A parameter that must lie where Spark can fit it; nothing is clipped in silence."""
+    value = params.get(name, default)
+    if not low <= value <= high:
+        raise ValueError(f"{name} must be between {low} and {high}, got {value}")
+    return value
+
+
+def estimator(kind: str, params: Mapping, n_rows: int, n_classes: int = 2, dims: int | None = None):
+    """An unfitted classifier by name. Parameters without a counterpart in Spark ML are ignored.
+
+    A support vector machine with ``gamma`` has a Gaussian kernel of that width, by ``n_features`` random Fourier
+    features of the ``dims`` components; without it is linear.
+    """
     common = {"featuresCol": FEATURES, "labelCol": LABEL}
     if kind == "SVM":
+        kernel = params.get("gamma") is not None
+        columns = {**common, "featuresCol": WAVES} if kernel else common
         base = LinearSVC(
             regParam=_per_row_strength(params, n_rows),
             standardization=False,
             maxIter=int(params.get("max_iter", 100)),
             tol=TOLERANCE["SVM"],
-            **common,
+            **columns,
         )
-        return base if n_classes <= 2 else OneVsRest(classifier=base, **common)
+        last = base if n_classes <= 2 else OneVsRest(classifier=base, **columns)
+        if not kernel:
+            return last
+        waves = FourierFeatures(
+            inputCol=FEATURES, outputCol=WAVES, gamma=float(params["gamma"]), size=int(params.get("n_features", KERNEL_FEATURES)), dims=dims, seed=DEFAULT_SEED
+        )
+        return Pipeline(stages=[waves, last])
     if kind == "logistic_regression":
         return LogisticRegression(
             regParam=_per_row_strength(params, n_rows),
@@ -106,15 +132,15 @@ def estimator(kind: str, params: Mapping, n_rows: int, n_classes: int = 2):
     if kind == "random_forest":
         return RandomForestClassifier(
             numTrees=int(params.get("n_estimators", 100)),
-            maxDepth=min(int(params.get("max_depth", 10)), 30),
-            minWeightFractionPerNode=min(float(params.get("min_samples_leaf", 0.0)), 0.49),
+            maxDepth=int(_within(params, "max_depth", 10, 0, 30)),
+            minWeightFractionPerNode=float(_within(params, "min_samples_leaf", 0.0, 0.0, 0.4999)),
             seed=DEFAULT_SEED,
             **common,
         )
     if kind == "xgboost":
         base = GBTClassifier(
             maxIter=int(params.get("n_estimators", 100)),
-            maxDepth=min(int(params.get("max_depth", 6)), 30),
+            maxDepth=int(_within(params, "max_depth", 6, 0, 30)),
             stepSize=float(params.get("learning_rate", 0.1)),
             minInstancesPerNode=int(params.get("min_child_weight", 1)),
             subsamplingRate=float(params.get("subsample", 1.0)),
@@ -132,7 +158,7 @@ def _without_summary(model):
     The summary holds the session, and a session in which any query used ``observe`` cannot be sent to
     executors together with the model.
     """
-    for part in [model, *getattr(model, "models", [])]:
+    for part in [model, *getattr(model, "models", []), *(p for stage in getattr(model, "stages", []) for p in [stage, *getattr(stage, "models", [])])]:
         if getattr(part, "hasSummary", False):
             nothing = SparkContext._active_spark_context._jvm.scala.Option.empty()
             part._java_obj.setSummary(nothing)
@@ -147,7 +173,9 @@ def train(df: DataFrame, kind: str, params: Mapping | None = None, n_rows: int |
         rows = rows.persist()  # vectors may come from a costly encoder, and training passes over them often
     try:
         n = rows.count() if n_rows is None else n_rows
-        return _without_summary(estimator(kind, params or {}, n, n_classes).fit(rows))
+        # Only a kernel needs to know the length of a vector beforehand.
+        first = rows.first() if kind == "SVM" and (params or {}).get("gamma") is not None else None
+        return _without_summary(estimator(kind, params or {}, n, n_classes, first and first[FEATURES].size).fit(rows))
     finally:
         if not held:
             rows.unpersist()

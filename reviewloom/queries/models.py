@@ -148,6 +148,31 @@ def score_lr(spark, d):
     return out.select("vec_id", "y", F.col("prediction").isNotNull().alias("scored"), consistent.alias("consistent"), same.alias("same_when_loaded"))
 
 
+# Points of a square, by hash, away from its axes; opposite quarters are one class, so no line parts the classes.
+_XOR = f"""(select vec_id, case when y > 0.5 then 0.3 + 1.4 * (y - 0.5) else -0.3 + 1.4 * (y - 0.5) end as b,
+  case when x > 0.5 then 0.3 + 1.4 * (x - 0.5) else -0.3 + 1.4 * (x - 0.5) end as a
+  from (select vec_id, {unit("'a'", 'vec_id')} as x, {unit("'b'", 'vec_id')} as y from embeddings))"""
+
+
+@query("kernel_svm", f"select vec_id, (a * b > 0)::int as y, (a * b > 0)::int as prediction, (a * b > 0)::int as when_loaded, true as line_fails from {_XOR}")
+def kernel_svm(spark, d):
+    """A Gaussian kernel parts classes that no line parts; the saved model predicts the same."""
+    side = lambda name: uniform(DEFAULT_SEED, F.lit(name), "vec_id") - 0.5
+    away = lambda u: F.when(u > 0, F.lit(0.3) + u * 1.4).otherwise(F.lit(-0.3) + u * 1.4)
+    rows = table(spark, d, "embeddings").select("vec_id", F.array(away(side("a")), away(side("b"))).alias("v"))
+    rows = cut_lineage(rows.withColumn("y", (F.get("v", F.lit(0)) * F.get("v", F.lit(1)) > 0).cast("int")), "square")
+    given = train.with_features(rows, "v", "y")
+    n = rows.count()
+    model = train.train(given, "SVM", {"C": 100.0, "gamma": 2.0}, n)
+    line = train.train(given, "SVM", {"C": 100.0}, n)
+    right = train.score(rows, line, "v").agg(F.avg((F.col("prediction") == F.col("y")).cast("double")).alias("share"))
+    path = shared_dir(spark, "model")
+    train.save_model(model, path)
+    out = train.score(rows, model, "v").drop("decision")
+    again = train.score(out.withColumnRenamed("prediction", "first"), train.load_model(path), "v")
+    return again.select("vec_id", "y", F.col("first").alias("prediction"), F.col("prediction").alias("when_loaded"), (right.scalar() < 0.85).alias("line_fails"))
+
+
 @query(
     "train_multiclass",
     f"select label as actual, count(*) as n, true as known from {_VECTORS} where not gap and u >= 0.5 and u < 0.75 group by label",

@@ -184,6 +184,40 @@ def search_space(spark, d):
     )
 
 
+# A twin of every drawn number: what a parameter becomes from its draw u.
+_DRAWN = {
+    "SVM": {"C": "0.0001 * pow(1.0::double / 0.0001, u)", "gamma": "1e-5 * pow(1e-1::double / 1e-5, u)"},
+    "random_forest": {"n_estimators": "100 + floor(u * 901)", "max_depth": "1 + floor(u * 30)", "min_samples_leaf": "0.1 + u * 0.399::double"},
+    "logistic_regression": {"C": "0.0001 * pow(1e3::double / 0.0001, u)", "max_iter": "least(floor(100 * pow(10.01::double, u)), 1000)"},
+    "xgboost": {
+        "n_estimators": "100 + floor(u * 901)", "max_depth": "1 + floor(u * 20)", "learning_rate": "0.001 + u * 0.299::double",
+        "min_child_weight": "1 + floor(u * 10)", "subsample": "0.5 + u * 0.5::double", "colsample_bytree": "0.5 + u * 0.5::double",
+    },
+}
+
+
+@query(
+    "search_spaces",
+    " union all ".join(
+        f"""select source, '{kind}' as classifier, '{name}' as parameter, round({value}, 9)::double as value
+        from (select source, {unit(f"'{name}'", 'source')} as u from documents group by source)"""
+        for kind, drawn in _DRAWN.items()
+        for name, value in drawn.items()
+    ),
+)
+def search_spaces(spark, d):
+    """Every number that every classifier's search draws, a trial per source."""
+    trials = table(spark, d, "documents").select("source").distinct()
+    out = None
+    for kind in grids.SEARCH_SPACES:
+        drawn = grids.search_space(trials, "source", kind)
+        numbers = [c for c in drawn.columns if c not in ("source", "solver")]
+        value = F.explode(F.create_map(*(x for c in numbers for x in (F.lit(c), F.round(F.col(c).cast("double"), 9))))).alias("parameter", "value")
+        part = drawn.select("source", F.lit(kind).alias("classifier"), value)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query(
     "trial_samples",
     f"""select source, size, trial, 1 + floor({unit("'rows'", 'source', 'trial')} * size)::bigint as n_rows

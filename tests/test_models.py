@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -137,3 +139,35 @@ def test_stream_equals_batch(spark):
 def test_requests(spark):
     df = spark.createDataFrame([('{"data": ["a", "b"]}',), ('{"data": "c"}',), ('{"data": "[d]"}',)], "value string")
     assert sorted(r["text"] for r in S.requests_to_texts(df).collect()) == ["[d]", "a", "b", "c"]
+
+
+def test_fourier_features_approach_the_kernel(spark):
+    """Inner products of features against exp(-gamma * squared distance)."""
+    from reviewloom.operators.kernel import FourierFeatures
+
+    points = [[0.0, 0.0, 1.0], [0.5, -0.2, 0.8], [2.0, 1.0, -1.0], [0.1, 0.1, 1.1]]
+    df = train.with_features(spark.createDataFrame([(p,) for p in points], "v array<double>"), "v")
+    made = FourierFeatures(inputCol=train.FEATURES, outputCol="w", gamma=0.7, size=20_000, dims=3).transform(df)
+    w = [r["w"].toArray() for r in made.collect()]
+    for i, p in enumerate(points):
+        for j, q in enumerate(points):
+            want = math.exp(-0.7 * sum((a - b) ** 2 for a, b in zip(p, q)))
+            assert abs(w[i] @ w[j] - want) < 0.03
+    with pytest.raises(ValueError):
+        FourierFeatures(inputCol=train.FEATURES, outputCol="w", gamma=0.0, size=2, dims=3).transform(df)
+
+
+def test_kernel_with_three_classes_and_missing_vectors(spark):
+    """Rings around the origin: a kernel machine parts them, and rows without a vector get no prediction."""
+    rows = [(i, [(1 + 2 * (i % 3)) * math.cos(i), (1 + 2 * (i % 3)) * math.sin(i)], i % 3) for i in range(300)] + [(999, None, 1)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, y int")
+    model = train.train(train.with_features(df, "v", "y"), "SVM", {"C": 100, "gamma": 0.5, "n_features": 300}, n_classes=3)
+    out = {r.id: r for r in train.score(df, model, "v").collect()}
+    assert out[999].prediction is None
+    assert sum(out[i].prediction == i % 3 for i in range(300)) >= 285
+
+
+def test_parameters_that_spark_cannot_fit_are_refused():
+    for kind, params in (("random_forest", {"max_depth": 31}), ("random_forest", {"min_samples_leaf": 0.5}), ("xgboost", {"max_depth": 100})):
+        with pytest.raises(ValueError, match="must be between"):
+            train.estimator(kind, params, 10)
