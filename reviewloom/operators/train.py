@@ -286,6 +286,83 @@ class SearchResult:
     trials: list[dict]
 
 
+class MixSearch:
+    """The trials of a joint search over classifier parameters and training mixes, as a context manager.
+
+    Everything a trial draws comes from the seed and its number, so a trial gives the same result whenever and
+    wherever it runs. Training and test rows are cached once; a mix is a plain filter of the training rows.
+    """
+
+    def __init__(
+        self,
+        datasets: Mapping[str, DataFrame],
+        positives: Sequence[str],
+        kind: str,
+        y: str,
+        id_col: str,
+        vector_col: str,
+        trials: int = 20,
+        scorer: Callable[[DataFrame, str, str], float | None] | None = None,
+        balance_test: bool = True,
+        multiclass: bool = False,
+        seed: int = DEFAULT_SEED,
+        fixed: Mapping | None = None,
+    ):
+        self.datasets, self.positives, self.kind, self.y, self.id_col, self.vector_col = datasets, positives, kind, y, id_col, vector_col
+        self.trials, self.balance_test, self.multiclass, self.seed, self.fixed = trials, balance_test, multiclass, seed, fixed
+        self.scorer = scorer or M.default_scorer(multiclass)
+
+    def __enter__(self) -> MixSearch:
+        y, id_col, seed, trials = self.y, self.id_col, self.seed, self.trials
+        spark = next(iter(self.datasets.values())).sparkSession
+        pool = concat_datasets(self.datasets, source_col="_source").filter(F.col(self.vector_col).isNotNull())
+        hash_col = seed_hash(seed, id_col)
+        narrow = pool.filter((F.col("train") == 1) & F.col(y).isNotNull()).select("_source", id_col)
+        self.training = (
+            with_features(pool.filter((F.col("train") == 1) & F.col(y).isNotNull()), self.vector_col, y)
+            .select("_source", F.struct(hash_col.alias("h"), F.col(id_col).alias("k")).alias("_rank"), FEATURES, LABEL)
+            .persist()
+        )
+        test = evaluation_sets([pool], y, id_col, self.balance_test, False, seed)["test"]
+        self.test = with_features(test, self.vector_col, y).select(FEATURES, LABEL, y).persist()
+        try:
+            counts = HashCounts(narrow, "_source", id_col, seed)
+            sampled = {s: n for s, n in counts.sizes.items() if s not in self.positives}
+            self.n_classes = pool.filter(F.col(y).isNotNull()).select(y).distinct().count() if self.multiclass else 2
+            self.drawn: dict[int, dict[str, int]] = {t: {} for t in range(trials)}
+            if sampled:
+                table = spark.createDataFrame(list(sampled.items()), "source string, size bigint")
+                for r in trial_samples(table, "source", "size", trials, seed).limit(trials * len(sampled)).collect():
+                    self.drawn[r["trial"]][r["source"]] = r["n_rows"]
+            wanted = {s: sorted({self.drawn[t][s] for t in self.drawn}) for s in sampled}
+            self.cuts = counts.cuts(wanted)
+            settings = search_space(spark.range(trials).withColumnRenamed("id", "trial"), "trial", self.kind, seed)
+            self.settings = {r["trial"]: {**r.asDict(), **(self.fixed or {})} for r in settings.limit(trials).collect()}
+            self.key_type = pool.schema[id_col].dataType
+        except BaseException:
+            self.__exit__()
+            raise
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.training.unpersist()
+        self.test.unpersist()
+
+    def run(self, t: int) -> tuple[dict, object]:
+        """What a trial gave, and its model."""
+        taken = F.col("_source").isin(list(self.positives))
+        for source, n in self.drawn[t].items():
+            h, k = self.cuts[(source, n)]
+            upto = F.struct(F.lit(h).alias("h"), F.lit(k).cast(self.key_type).alias("k"))
+            taken = taken | ((F.col("_source") == source) & (F.col("_rank") <= upto))
+        params = {k: v for k, v in self.settings[t].items() if k != "trial"}
+        mixed = self.training.filter(taken)
+        n_rows = mixed.count()
+        model = train(mixed, self.kind, params, n_rows, self.n_classes, cached=True)
+        value = self.scorer(score(self.test, model), self.y, "prediction")
+        return {"trial": t, "score": value, "params": params, "rows": self.drawn[t], "n_rows": n_rows}, model
+
+
 def search_mix(
     datasets: Mapping[str, DataFrame],
     positives: Sequence[str],
@@ -306,61 +383,22 @@ def search_mix(
     Training rows of the ``positives`` datasets always take part in full. From every other dataset a trial
     takes its first n training rows in hash order, n being drawn between 1 and the dataset's size. A trial
     is fitted on that mix and scored on the test rows; the best one wins. Trials run from a bounded pool of
-    driver threads over one cached training frame, in which a mix is a plain filter. ``fixed`` overrides
-    drawn parameters.
+    driver threads over one cached training frame. ``fixed`` overrides drawn parameters.
     """
-    spark = next(iter(datasets.values())).sparkSession
-    scorer = scorer or M.default_scorer(multiclass)
-    pool = concat_datasets(datasets, source_col="_source").filter(F.col(vector_col).isNotNull())
-    hash_col = seed_hash(seed, id_col)
-    narrow = pool.filter((F.col("train") == 1) & F.col(y).isNotNull()).select("_source", id_col)
-    training = (
-        with_features(pool.filter((F.col("train") == 1) & F.col(y).isNotNull()), vector_col, y)
-        .select("_source", F.struct(hash_col.alias("h"), F.col(id_col).alias("k")).alias("_rank"), FEATURES, LABEL)
-        .persist()
-    )
-    test = evaluation_sets([pool], y, id_col, balance_test, False, seed)["test"]
-    test = with_features(test, vector_col, y).select(FEATURES, LABEL, y).persist()
-    try:
-        counts = HashCounts(narrow, "_source", id_col, seed)
-        sizes = counts.sizes
-        sampled = {s: n for s, n in sizes.items() if s not in positives}
-        n_classes = pool.filter(F.col(y).isNotNull()).select(y).distinct().count() if multiclass else 2
-        drawn: dict[int, dict[str, int]] = {t: {} for t in range(trials)}
-        if sampled:
-            table = spark.createDataFrame(list(sampled.items()), "source string, size bigint")
-            for r in trial_samples(table, "source", "size", trials, seed).limit(trials * len(sampled)).collect():
-                drawn[r["trial"]][r["source"]] = r["n_rows"]
-        wanted = {s: sorted({drawn[t][s] for t in drawn}) for s in sampled}
-        cuts = counts.cuts(wanted)
-        settings = search_space(spark.range(trials).withColumnRenamed("id", "trial"), "trial", kind, seed)
-        settings = {r["trial"]: {**r.asDict(), **(fixed or {})} for r in settings.limit(trials).collect()}
-
-        def run(t: int) -> dict:
-            taken = F.col("_source").isin(list(positives))
-            for source, n in drawn[t].items():
-                h, k = cuts[(source, n)]
-                upto = F.struct(F.lit(h).alias("h"), F.lit(k).cast(pool.schema[id_col].dataType).alias("k"))
-                taken = taken | ((F.col("_source") == source) & (F.col("_rank") <= upto))
-            params = {k: v for k, v in settings[t].items() if k != "trial"}
-            mixed = training.filter(taken)
-            n_rows = mixed.count()
-            model = train(mixed, kind, params, n_rows, n_classes, cached=True)
-            value = scorer(score(test, model), y, "prediction")
-            place = (value if value is not None else float("-inf"), -t)
-            with lock:  # only the best model so far is kept
-                if not best or place > best[0]:
-                    best[:] = [place, model]
-            return {"trial": t, "score": value, "params": params, "rows": drawn[t], "n_rows": n_rows}
-
-        best: list = []
-        lock = Lock()
-
+    best: list = []
+    lock = Lock()
+
+    def run(t: int) -> dict:
+        row, model = search.run(t)
+        place = (row["score"] if row["score"] is not None else float("-inf"), -t)
+        with lock:  # only the best model so far is kept
+            if not best or place > best[0]:
+                best[:] = [place, model]
+        return row
+
+    with MixSearch(datasets, positives, kind, y, id_col, vector_col, trials, scorer, balance_test, multiclass, seed, fixed) as search:
         with ThreadPoolExecutor(parallelism) as threads:
             results = list(threads.map(run, range(trials)))
-    finally:
-        training.unpersist()
-        test.unpersist()
     won = results[-best[0][1]]
     return SearchResult(best[1], won["score"], {**won["params"], **won["rows"]}, results)
 

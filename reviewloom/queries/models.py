@@ -9,6 +9,7 @@ from reviewloom.operators import external, metrics as M, train
 from reviewloom.operators.grids import expand_grid
 from reviewloom.operators.moderate import assess_run as reassess
 from reviewloom.operators.sampling import assign_splits
+from reviewloom.operators.search import Ledger, search_and_record
 from reviewloom.plans.session import cut_lineage, shared_dir
 from reviewloom.queries.base import REVIEWS, by_hash, documents, query, reviews, table, unit
 from reviewloom.queries.stubs import EchoWriter, FlakyWriter, Labeller, LengthScorer, SpaceEncoder, VowelEncoder
@@ -224,6 +225,66 @@ def search_mix(spark, d):
     return train.trials_frame(spark, result).select("trial", "n_rows", F.col("score").between(0, 1).alias("valid"))
 
 
+# Vectors whose first component tells the class beyond doubt, so that SQL can foresee every prediction.
+_LEDGER_TRIALS, _LEDGER_STOP = 6, 3
+
+
+@query(
+    "search_ledger",
+    f"""with r as (select *, 'class ' || label as source from {_VECTORS} where not gap),
+      s as (select source, count(*) as size from r where label >= 5 and u < 0.5 group by source), t as (select unnest(range({_LEDGER_TRIALS}))::int as trial),
+      x as (select trial, sum(1 + floor({unit("'rows'", 'source', 'trial')} * size)::bigint) as n from s, t group by trial),
+      v as (select min(c) as c from (select count(*) as c from r where u >= 0.75 group by y)),
+      o as (select trial, n + (select count(*) from r where label < 5 and u < 0.5) as n_rows from x)
+    select 'vectors/' || trial as run_id, 'n_rows' as name, n_rows::double as value, null as text from o
+    union all select 'vectors/' || trial, 'score', 1.0::double, null from o
+    union all select 'session', trial::varchar, (1 + (trial >= {_LEDGER_STOP})::int)::double, null from o
+    union all select 'vectors', name, value::double, null from v, (values ('tp', c), ('tn', c), ('fp', 0), ('fn', 0), ('f1', 1), ('validation score', 1), ('test score', 1)) m(name, value)
+    union all select 'vectors', 'model name', null, 'logistic_regression vectors'
+    union all select 'vectors', 'class ' || k || '_version', 1.0::double, '1' from range(10) c(k)
+    union all select 'again', name, value::double, null from v, (values ('tp', c), ('tn', c)) m(name, value)""",
+)
+def search_ledger(spark, d):
+    """A search that dies after three of six trials and is called again: what the run log holds, who ran which trial, and the run assessed anew."""
+    home = shared_dir(spark, "ledger")
+    registry, log = Registry(spark, f"{home}/data"), RunLog(spark, f"{home}/log")
+    column = external.embedding_column("text", "stored")
+    side = F.when(F.col("label") < 5, F.lit(6.0)).otherwise(F.lit(-6.0))
+    clear = F.when(F.col("embedding").isNotNull(), F.concat(F.array(side), F.transform("embedding", lambda x: x.cast("double"))))
+    rows = cut_lineage(_vectors(spark, d).select("vec_id", "label", "y", "train", "test", "val", clear.alias(column)), "clear")
+    names = [f"class {k}" for k in range(10)]
+    for k, name in enumerate(names):
+        registry.write_dataset(rows.where(F.col("label") == k), name)
+    calls = []
+
+    def failing(scored, y, p):
+        calls.append(1)
+        if len(calls) > _LEDGER_STOP:
+            raise RuntimeError("the driver is gone")
+        return M.scorer("f1")(scored, y, p)
+
+    def run(scorer):
+        return search_and_record(
+            registry, log, home, "vectors", names[:5], names[5:], "logistic_regression", "y", "vec_id", "text", "stored",
+            trials=_LEDGER_TRIALS, scorer=scorer, fixed={"C": 1000.0}, parallelism=1,
+        )
+
+    try:
+        run(failing)
+    except RuntimeError:
+        registry.write_dataset(rows.limit(0), names[0])  # a newer version must not change a search that was begun
+        run(M.scorer("f1"))
+        run(M.scorer("f1"))  # finished: nothing is logged twice
+    kept = ["tp", "tn", "fp", "fn", "f1", "validation score", "test score", "score", "n_rows", runlog.MODEL_NAME, *(f"{n}_version" for n in names)]
+    logged = log.read().where(F.col("name").isin(kept)).select("run_id", "name", "value", "text")
+    sessions = Ledger(spark, f"{home}/searches/vectors", session=9).trials()
+    by = sessions.select(F.lit("session").alias("run_id"), F.col("trial").cast("string").alias("name"), F.col("session").cast("double").alias("value"), F.lit(None).cast("string").alias("text"))
+    registry.write_dataset(rows.where("label = 0"), names[0])
+    again = reassess(log, registry, "vectors", f"{home}/models", "vec_id").select(F.lit("again").alias("run_id"), "tp", "tn")
+    again = again.unpivot(["run_id"], ["tp", "tn"], "name", "value").select("run_id", "name", F.col("value").cast("double"), F.lit(None).cast("string").alias("text"))
+    return logged.unionByName(by).unionByName(again)
+
+
 _RUNS = """(select source as experiment, doc_id::varchar as run_id, lang as name, n_chars::double as value from documents)"""
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,10 +12,29 @@ from reviewloom.operators.sampling import assign_splits
 from reviewloom.operators.tables import with_label
 
 
+_LOCK = Lock()
+
+
 class DatasetNotFound(LookupError):
     pass
 
 
+def create_once(fs, path) -> bool:
+    """Create a file that must not exist; False if someone else did.
+
+    Shared file systems refuse a second creator themselves. A local one looks before it creates, so threads of one
+    driver take turns.
+    """
+    with _LOCK:
+        try:
+            fs.create(path, False).close()
+            return True
+        except Exception:  # noqa: BLE001 - py4j wraps the file system's own exceptions
+            if fs.exists(path):
+                return False
+            raise
+
+
 class Registry:
     """Every write makes a new version, so a job may read the version it is about to replace."""
 
@@ -64,14 +84,9 @@ class Registry:
         """Next version number; creating its claim file is atomic, so two writers never share one."""
         version = max([int(c.split("=")[1]) for c in self._children(f"{self.root}/{name}") if "=" in c], default=0) + 1
         while True:
-            fs, claim = self._fs(f"{self.root}/{name}/_claims/{version}")
-            try:
-                fs.create(claim, False).close()
+            if create_once(*self._fs(f"{self.root}/{name}/_claims/{version}")):
                 return version
-            except Exception as error:  # noqa: BLE001 - py4j wraps the file system's own exceptions
-                if not fs.exists(claim):
-                    raise error
-                version += 1
+            version += 1
 
     def write_dataset(self, df: DataFrame, name: str) -> int:
         """Register a dataset, or a new version of it; returns the version."""

@@ -33,7 +33,13 @@ class RunLog:
     def read(self) -> DataFrame:
         return self.spark.read.schema(SCHEMA).parquet(self.path)
 
-    def _append(self, lines: DataFrame) -> None:
+    def exists(self) -> bool:
+        """Has anything been logged yet?"""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return where.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+    def append(self, lines: DataFrame) -> None:
+        """Append lines of the log's schema in one job: all of them, or none if it fails."""
         lines.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMA.fields]).write.mode("append").parquet(self.path)
 
     def log_run(self, metrics: DataFrame, run_id: str, experiment: str = "") -> None:
@@ -41,7 +47,7 @@ class RunLog:
         value_type = metrics.schema["value"].dataType
         if not isinstance(value_type, T.NumericType):
             raise TypeError(f"metric values must be numbers, got {value_type.simpleString()}")
-        self._append(
+        self.append(
             metrics.select(
                 F.lit(experiment).alias("experiment"),
                 F.lit(run_id).alias("run_id"),
@@ -61,7 +67,7 @@ class RunLog:
             rows.append((experiment, run_id, str(name), number, text))
         frame = self.spark.createDataFrame(rows, T.StructType(SCHEMA.fields[:-1]))
         when = F.lit(logged_at) if logged_at else F.current_timestamp()
-        self._append(frame.withColumn("logged_at", when))
+        self.append(frame.withColumn("logged_at", when))
 
     def log_dataset_versions(self, registry, names: Sequence[str], run_id: str, experiment: str = "") -> None:
         """Record which version of each dataset fed a run."""
