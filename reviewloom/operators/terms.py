@@ -100,32 +100,6 @@ def tag_terms(df: DataFrame, y: str, text: str, tags: DataFrame) -> DataFrame:
     return tagged.groupBy("tag").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def tag_names(df: DataFrame, id_col: str, text: str, gazetteer: DataFrame) -> DataFrame:
-    """Mentions of gazetteer phrases (``phrase``, ``entity``), matched as words in lower case.
-
-    One row per mention: ``(id, start, entity, phrase)``; ``start`` is the index of the first word. The longest
-    phrase is measured first.
-    """
-    gazetteer = gazetteer.select(F.concat_ws(" ", tokens("phrase")).alias("phrase"), "entity").filter("phrase <> ''").distinct()
-    max_words = gazetteer.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
-    words = df.select(id_col, tokens(text).alias("_w"))
-    parts = [f"_{i}" for i in range(max_words)]
-    places = words.select(id_col, F.posexplode(neighbours("_w", max_words, parts, whole=False)).alias("start", "_g")).select(
-        id_col, "start", "_g.*"
-    )
-    # Most places drop out on their first word, before any phrase is put together.
-    openers = gazetteer.select(F.split("phrase", " ")[0].alias("_0")).distinct()
-    places = lookup_join(places, openers, "_0", "left_semi", spread_by=[id_col, "start"])
-    spans = [
-        F.when(F.col(parts[length - 1]).isNotNull(), F.concat_ws(" ", *parts[:length]))
-        for length in range(1, max_words + 1)
-    ]
-    phrases = places.select(id_col, "start", F.explode(F.array_compact(F.array(*spans))).alias("phrase"))
-    return lookup_join(phrases, gazetteer.select("phrase", "entity"), "phrase", "inner", spread_by=[id_col, "start"]).select(
-        id_col, "start", "entity", "phrase"
-    )
-
-
 def modifier_pairs(df: DataFrame, id_col: str, text: str, modifiers: DataFrame) -> DataFrame:
     """Neighbouring words whose first one is a known modifier (``token``): ``(id, pos, modifier, head)``."""
     words = df.select(id_col, tokens(text).alias("_w"))

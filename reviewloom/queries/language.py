@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from reviewloom.functions.text import WHITESPACE, tokens
-from reviewloom.operators import augment, bias, terms
+from reviewloom.operators import augment, bias, phrases, terms
 from reviewloom.operators.sampling import assign_splits
 from reviewloom.queries.base import REVIEWS, documents, query, reviews, sentences_sql, strip_sql, table, unit, words_sql
 
@@ -155,7 +157,36 @@ _SPANS = " union all ".join(
 )
 def name_mentions(spark, d):
     gazetteer = _lexicon(spark, NAMES.items(), "phrase string, entity string")
-    return terms.tag_names(documents(spark, d), "doc_id", "text", gazetteer)
+    return phrases.phrase_mentions(documents(spark, d), "doc_id", "text", gazetteer)
+
+
+# Openings of the benchmark texts, up to 24 words long and one inside the other, next to the short names.
+_LENGTHS = (2, 5, 24)
+_OPENINGS = " union ".join(
+    f"select array_to_string(k[1:{n}], ' ') as phrase, 'ITEM{n}' as entity from (select {words_sql('text')} as k from benchmark) where len(k) >= {n}" for n in _LENGTHS
+)
+
+
+def _longest_sql() -> str:
+    """Each phrase is met by its own word count and first word; then from place to place, the longest at each."""
+    return f"""with recursive t as (select doc_id, {words_sql('text')} as k from documents),
+      x(phrase, entity) as (values {_NAMES} union {_OPENINGS}),
+      g as (select distinct phrase, len(string_split(phrase, ' ')) as n, string_split(phrase, ' ')[1] as opener from x),
+      p as (select doc_id, k, unnest(range(1, len(k) + 1)) as i from t),
+      s as (select doc_id, i, max_by(phrase, n) as phrase, max(n) as n from p join g on k[i] = opener and k[i:i + n - 1] = string_split(phrase, ' ') group by doc_id, i),
+      r as (select doc_id, min(i) as i from s group by doc_id
+        union all select r.doc_id, (select min(z.i) from s z where z.doc_id = r.doc_id and z.i >= r.i + y.n) from r join s y on r.doc_id = y.doc_id and r.i = y.i)
+    select r.doc_id, cast(r.i - 1 as int) as start, entity, s.phrase from r join s on r.doc_id = s.doc_id and r.i = s.i join x on s.phrase = x.phrase"""
+
+
+@query("name_mentions_longest", _longest_sql())
+def name_mentions_longest(spark, d):
+    words = table(spark, d, "benchmark").select(tokens("text").alias("_w"))
+    openings = [
+        words.filter(F.size("_w") >= n).select(F.concat_ws(" ", F.slice("_w", 1, n)).alias("phrase"), F.lit(f"ITEM{n}").alias("entity")) for n in _LENGTHS
+    ]
+    gazetteer = reduce(lambda a, b: a.union(b), [_lexicon(spark, NAMES.items(), "phrase string, entity string"), *openings])
+    return phrases.phrase_mentions(documents(spark, d), "doc_id", "text", gazetteer, "longest")
 
 
 @query(

@@ -46,17 +46,6 @@ def test_tags(spark, df, size_check):
     assert rows(terms.tag_terms(df, "y", "text", tags), "tag", "n1", "n0") == [("JJ", 4, 2), ("VBD", 1, 0)]
 
 
-def test_names(spark, df, size_check):
-    names = spark.createDataFrame([("cat", "PER"), ("good cat", "PER"), ("bad dog", "ORG"), ("dog saw the good", "LOC")], "phrase string, entity string")
-    got = rows(terms.tag_names(df, "id", "text", names), "id", "start", "entity", "phrase")
-    assert got == sorted(
-        [(1, 1, "PER", "good cat"), (1, 2, "PER", "cat"), (1, 9, "PER", "good cat"), (1, 10, "PER", "cat"), (2, 2, "PER", "cat"), (2, 4, "ORG", "bad dog"),
-         (1, 6, "LOC", "dog saw the good")]
-    )
-    capitals = spark.createDataFrame([("Good  CAT", "PER")], "phrase string, entity string")
-    assert (1, 1, "PER", "good cat") in rows(terms.tag_names(df, "id", "text", capitals), "id", "start", "entity", "phrase")
-
-
 def test_word_lists_are_lowered(spark):
     df = spark.createDataFrame([(1, "I will take Legal Action, Mary")], "id int, text string")
     rules = [moderate.keyword_rule("c", ["Legal Action"]), moderate.mentions_rule("m", ["Mary"]), moderate.lacks_rule("l", ["LEGAL"])]
