@@ -12,6 +12,7 @@ from reviewloom.plans.session import cut_lineage
 MAX_ROWS = 500_000
 MAX_BYTES = 64 * 1024 * 1024
 SALTS = 32
+HOT_KEYS = 1_000
 SMALL_SPLITS, SPREAD_TASKS = 8, 64
 
 
@@ -55,6 +56,23 @@ def lookup_join(
     return salted_big.join(salted_small, [on, "_salt"], how).drop("_salt")
 
 
+def join_by_key(big: DataFrame, small: DataFrame, key: str, counts: DataFrame, how: str, spread_by: Sequence[str]) -> DataFrame:
+    """Join a large frame to one that is large too, whatever the key's skew in ``big``.
+
+    ``counts`` holds ``(key, n)`` of ``big``, stored. A key with more than 1 in ``HOT_KEYS`` of its rows is hot, so
+    there are fewer than ``HOT_KEYS`` of them: these alone are spread over ``SALTS`` tasks and repeated in ``small``.
+    Null keys are spread as well. ``spread_by`` names columns that vary within a hot key.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(counts.filter(F.col("n") * HOT_KEYS > total).select(key, F.lit(True).alias("_hot")))
+    last = F.lit(SALTS - 1).cast("bigint")
+    draw, none = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)), F.lit(0).cast("bigint")
+    dealt = big.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), draw).otherwise(none)).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(none, last)).otherwise(F.array(none))
+    repeated = small.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
 def spread_small(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a table of a few splits over the cores, by key.
 

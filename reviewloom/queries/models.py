@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewloom.functions.hashing import DEFAULT_SEED, uniform
-from reviewloom.operators import external, metrics as M, train
+from reviewloom.functions.hashing import DEFAULT_SEED, text_key, uniform
+from reviewloom.operators import durable, external, metrics as M, train
 from reviewloom.operators.grids import expand_grid
 from reviewloom.operators.moderate import assess_run as reassess
 from reviewloom.operators.sampling import assign_splits
@@ -79,6 +79,51 @@ def embed_all_stub(spark, d):
     return rows.select("conv_id", "turn", *totals)
 
 
+@query(
+    "vectors_by_content",
+    f"""with known as (select distinct text from {REVIEWS})
+    select doc_id, list_sum([{_VOWELS}])::double as total, [{_VOWELS}][2]::double as e,
+      case when text is not null then 1 + (text not in (select text from known where text is not null))::int end as encoded_by,
+      (select count(distinct text) from documents) as n_encoded from documents""",
+)
+def vectors_by_content(spark, d):
+    """The labelled reviews are embedded first, all documents next: the second call encodes only what is new."""
+    registry = Registry(spark, shared_dir(spark, "registry"))
+    store = durable.vector_store(registry, "vowels")
+    first = reviews(spark, d).select("doc_id", "text")
+    durable.embed_by_content(first, "doc_id", "text", "vowels", VowelEncoder, registry, tasks=8)
+    before = registry.versions(store.name)
+    rows = durable.embed_by_content(documents(spark, d).select("doc_id", "text"), "doc_id", "text", "vowels", VowelEncoder, registry, tasks=8)
+    vector = F.col(external.embedding_column("text", "vowels"))
+    total = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x)
+    calls = store.rows().select("_key", F.when(F.col("version").isin(before), 1).otherwise(2).alias("encoded_by"))
+    out = rows.select("doc_id", text_key("text").alias("_key"), total.alias("total"), vector[1].cast("double").alias("e"))
+    encoded = calls.count()
+    return out.join(calls, "_key", "left").select("doc_id", "total", "e", "encoded_by", F.lit(encoded).cast("bigint").alias("n_encoded"))
+
+
+@query(
+    "replies_resumed",
+    """with p as (select doc_id, 'Say again: ' || left(lang, 1) || ' ' || text as prompt from documents), s as (select prompt, min(doc_id) from p where prompt is not null group by prompt)
+    select doc_id, n::int as reply_no, n || '|' || prompt as text, null as error, (select count(*) from s) as n_sent from p, (values (1), (2)) r(n) where substr(md5(prompt), 1, 1) <> 'f'
+    union all select doc_id, 0, null, 'RuntimeError: refused', (select count(*) from s) from p where substr(md5(prompt), 1, 1) = 'f'""",
+)
+def replies_resumed(spark, d):
+    """A run cut short after the first of several waves, and the run that goes on from the store."""
+    prompts = documents(spark, d).select("doc_id", F.concat(F.lit("Say again: "), F.substring("lang", 1, 1), F.lit(" "), "text").alias("prompt"))
+    store = durable.reply_store(Registry(spark, shared_dir(spark, "registry")), "echo")
+    wave = max(prompts.count() // 3, 1)
+
+    def ask(texts):
+        return external.generate(texts, EchoWriter, 2, "_key", "text")
+
+    durable.ask_new(prompts, "prompt", store, ask, wave_rows=wave, tasks=8, max_waves=1)
+    early = store.rows().filter("error is not null").count()  # sent again by the second run
+    out = durable.generate_durably(prompts, EchoWriter, store, 2, "doc_id", wave_rows=wave, tasks=8)
+    sent = store.rows().filter("reply_no < 2").count() - early
+    return out.withColumn("n_sent", F.lit(sent).cast("bigint"))
+
+
 _ASKED = f"(select *, 'Give a label.\n' || text as prompt, (('0x' || substr(md5('Give a label.\n' || text), 1, 1))::int % 5) as k from {REVIEWS} where {unit('doc_id')} >= 0.5 and {unit('doc_id')} < 0.75)"
 
 

@@ -80,6 +80,11 @@ class Registry:
             raise DatasetNotFound(f"{name} version {version}")
         return self.spark.read.parquet(self._path(name, version))
 
+    def read_versions(self, name: str, versions: Sequence[int]) -> DataFrame:
+        """Several finished versions of one schema together, with a ``version`` column."""
+        paths = [self._path(name, v) for v in versions]
+        return self.spark.read.option("basePath", f"{self.root}/{name}").parquet(*paths)
+
     def _claim(self, name: str) -> int:
         """Next version number; creating its claim file is atomic, so two writers never share one."""
         version = max([int(c.split("=")[1]) for c in self._children(f"{self.root}/{name}") if "=" in c], default=0) + 1
