@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from reviewloom.llm.base import free_name, query, shingles, slices, table
+from reviewloom.llm.base import WORD, free_name, query, shingles, slices, table
 from reviewloom.llm.graph import components
 from reviewloom.plans.bounded import fits_broadcast, lookup_join
 from reviewloom.plans.session import cut_lineage
@@ -413,6 +414,19 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, own]).drop(own)
 
 
-@query("op3_near_duplicates")
+_SQL = f"""
+with recursive w as (select doc_id, regexp_extract_all(translate(text, '{ascii_uppercase}', '{ascii_lowercase}'), '{WORD}') as k from documents),
+  s as (select doc_id, list_distinct(case when coalesce(len(k), 0) = 0 then cast([] as varchar[]) when len(k) < 4 then [array_to_string(k, ' ')]
+      else list_transform(range(1, len(k) - 2), lambda i: array_to_string(k[i:i + 3], ' ')) end) as sh from w),
+  e as (select doc_id, len(sh) as n, unnest(sh) as x from s),
+  l as (select a.doc_id as a, b.doc_id as b from e a join e b on a.x = b.x and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+  r as (select doc_id as id, doc_id as root from s union select l.b, r.root from r join l on r.id = l.a)
+select s.doc_id, len(s.sh)::bigint as n_shingles, c.root as component_id, s.doc_id = c.root as kept
+from s join (select id, min(root) as root from r group by id) c on s.doc_id = c.id
+"""
+
+
+@query("op3_near_duplicates", _SQL)
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), words=4).drop("set_key")

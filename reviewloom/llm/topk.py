@@ -192,6 +192,17 @@ def top_products(
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-@query("op7_top_products")
+_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  p as (select q.vec_id as query_id, c.vec_id,
+      coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: coalesce(z[1] * z[2], 0))), 0)::bigint as score
+    from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p) where rank <= 5
+"""
+
+
+@query("op7_top_products", _SQL)
 def op7_top_products(spark: SparkSession, folder: str) -> DataFrame:
     return top_products(table(spark, folder, "embeddings"))
