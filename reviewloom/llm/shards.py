@@ -14,18 +14,26 @@ from reviewloom.plans.session import cut_lineage
 DIMENSIONS = ("size", "tokens", "rows")
 
 
-#: What a dimension counts for when a shard is chosen; bytes are to come out near equal.
-WEIGHTS = (4.0, 1.0, 1.0)
+#: What a dimension counts for when a shard is chosen; bytes are to come out near equal, also where a group of many
+#: short copies has filled a shard's rows.
+WEIGHTS = (64.0, 1.0, 1.0)
+#: Rounds in which the capacities settle when single loads exceed them.
+SETTLE = 4
 
 
 def place(loads: np.ndarray, n_shards: int, weights: tuple[float, ...] = WEIGHTS) -> np.ndarray:
     """Shard of each load (rows of a matrix, one column per dimension).
 
     Loads come in order of their largest share of a shard. Each goes where the weighted dot product of its
-    vector with the residual capacities is highest; the first shard wins a tie.
+    vector with the residual capacities is highest; the first shard wins a tie. A load beyond a shard's share of a
+    dimension other than the first counts as one share, and the others share the rest of that dimension.
     """
-    capacity = np.maximum(loads.sum(axis=0) / n_shards, 1e-9)
+    capacity = loads.sum(axis=0) / n_shards
+    for _ in range(SETTLE):
+        capacity[1:] = np.minimum(loads, capacity).sum(axis=0)[1:] / n_shards
+    capacity = np.maximum(capacity, 1e-9)
     vectors = loads / capacity
+    vectors[:, 1:] = np.minimum(vectors[:, 1:], 1)
     residual = np.ones((n_shards, loads.shape[1]))
     out = np.zeros(len(loads), np.int32)
     for k in np.lexsort((np.arange(len(loads)), -vectors.max(axis=1, initial=0))):
@@ -41,8 +49,8 @@ def assign_shards(
     """(id, size, tokens, text_crc32, shard, slot) of every row; slots count from 0 in each shard without a gap.
 
     The unit of packing is a lot. A group of equal texts that holds more than 1 / (n_shards * lots_per_shard) of
-    the bytes, tokens or rows is a lot of its own, and one beyond a shard's whole capacity is split evenly by
-    row; all other groups are gathered into as many lots by hash. So the driver packs a number of lots that
+    the bytes, tokens or rows is a lot of its own, and one beyond a shard's whole capacity of bytes is split evenly
+    by row; all other groups are gathered into as many lots by hash. So the driver packs a number of lots that
     depends on the shards alone, however large the table or a group is. Size is UTF-8 bytes plus 16; a null
     text has no bytes and the checksum of the empty text, and null texts are a group. Null and repeated ids and
     repeated rows all get slots of their own. Columns other than id and text are not read. Slots are numbered in
@@ -64,8 +72,9 @@ def assign_shards(
     n_lots = n_shards * lots_per_shard
     groups = slim.groupBy("key").agg(*(F.sum(c).alias(c) for c in DIMENSIONS))
     share = F.greatest(*(F.col(c) / max(totals[c], 1) for c in DIMENSIONS))
-    heavy = groups.select("key", share.alias("share")).where(F.col("share") * n_lots > 1).orderBy("key").collect()
-    pieces = [math.ceil(r.share * n_shards * 8) if r.share * n_shards > 1 else 1 for r in heavy]
+    filled = (F.col("size") * n_shards / max(totals["size"], 1)).alias("filled")
+    heavy = groups.select("key", share.alias("share"), filled).where(F.col("share") * n_lots > 1).orderBy("key").collect()
+    pieces = [math.ceil(r.filled * 8) if r.filled > 1 else 1 for r in heavy]
     first = n_lots + np.concatenate(([0], np.cumsum(pieces)[:-1])) if heavy else []
     own = spark.createDataFrame(
         [(bytes(r.key), int(at), n) for r, at, n in zip(heavy, first, pieces, strict=True)], "key binary, first bigint, pieces bigint"

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 from conftest_data import ODD
@@ -19,6 +21,22 @@ def test_shards_are_gapless_and_balanced(frame):
     assert (counts.shard_x == counts.shard_y).all()  # only a group beyond a shard's capacity is split
 
 
+def test_many_short_copies_stay_together(frame):
+    rng = np.random.default_rng(2)
+    rows = [(i, "é" * int(n)) for i, n in enumerate(rng.integers(200, 900, 600))]
+    rows += [(1000 + i, "") for i in range(400)]  # two fifths of the rows, few of the bytes
+    rows += [(2000 + i, None) for i in range(50)]
+    out = shards.assign_shards(frame(rows), 5).toPandas()
+    texts = dict(rows)
+    homes = out.groupby(out.doc_id.map(lambda i: (texts[i] is None, texts[i]))).shard.nunique()
+    assert homes.max() == 1
+    total = out.groupby("shard")["size"].sum()
+    assert len(total) == 5 and total.max() < 1.02 * total.min()
+    for r in out.itertuples():
+        data = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32) == (len(data) + 16, zlib.crc32(data))
+
+
 def test_shards_of_odd_rows(frame):
     out = shards.assign_shards(frame(ODD), 3).toPandas()
     assert len(out) == len(ODD)
