@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reviewloom.operators import quality as Q
+from reviewloom.operators.key_index import KeyIndex
 from reviewloom.operators.sampling import assign_splits
+from reviewloom.plans.session import shared_dir
 from reviewloom.queries.base import documents, query, table, unit
+from reviewloom.sources.registry import Registry
 
 
 @query(
@@ -48,6 +51,28 @@ def cross_source_duplicates(spark, d):
     return Q.cross_dataset_duplicates(documents(spark, d), "text", "source")
 
 
+_PARTS = f"(select *, {unit('doc_id')} as u, case when {unit('doc_id')} < 0.5 then 'train' when {unit('doc_id')} < 0.75 then 'test' else 'val' end as part from documents)"
+
+
+@query(
+    "leaks_by_index",
+    f"""with d as {_PARTS}, o as (select text, part as dataset, count(*) as n from d where text is not null group by text, part)
+    select d.doc_id, d.part, o.dataset, o.n from d join o on d.text = o.text and d.part <> o.dataset""",
+)
+def leaks_by_index(spark, d):
+    """Three splits are indexed, the training rows in a batch per language; each is then checked by its own texts."""
+    rows = assign_splits(documents(spark, d).select("doc_id", "text", "lang"), "doc_id")
+    index = KeyIndex(Registry(spark, shared_dir(spark, "index")))
+    parts = {p: rows.filter(F.col(p) == 1) for p in ("train", "test", "val")}
+    english = F.col("lang").eqNullSafe("en")
+    index.add("train", "english", parts["train"].filter(english), "text")
+    index.add("train", "others", parts["train"].filter(~english), "text")
+    for name in ("test", "val"):
+        index.add(name, "all", parts[name], "text")
+    found = [index.leaks(p, df, "doc_id", "text").select("doc_id", F.lit(p).alias("part"), "dataset", "n") for p, df in parts.items()]
+    return found[0].union(found[1]).union(found[2])
+
+
 def _with_broken_splits(spark, d):
     """Splits with known faults: rows of one language lose a flag, those of another gain one."""
     rows = assign_splits(documents(spark, d).select("doc_id", "text", "lang", "source"), "doc_id")
