@@ -11,6 +11,7 @@ from reviewloom.operators.sampling import assign_splits
 from reviewloom.plans.session import shared_dir
 from reviewloom.queries.base import REVIEWS, clean_sql, documents, query, reviews, sentences_sql, table, unit
 from reviewloom.sources import formats
+from reviewloom.sources.csv_records import read_csv_split
 from reviewloom.sources.registry import Registry
 
 
@@ -68,6 +69,15 @@ def csv_roundtrip(spark, d):
     return formats.read_csv(spark, path, documents.schema)
 
 
+@query("csv_split_roundtrip", "select doc_id, text, lang, source, n_chars from documents")
+def csv_split_roundtrip(spark, d):
+    """Documents with newlines and quotes through CSV files that are read by many tasks each."""
+    path = shared_dir(spark, "csv")
+    documents = table(spark, d, "documents")
+    formats.write_csv(documents, path)
+    return read_csv_split(spark, path, documents.schema)
+
+
 @query("lines_roundtrip", "select text from documents")
 def lines_roundtrip(spark, d):
     path = shared_dir(spark, "lines")
