@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.text import neighbours, tokens
 from reviewloom.plans.bounded import lookup_join
+from reviewloom.plans.session import cut_lineage
+
+#: Terms that a sketch tracks at first, and at most, and the size of all that may be broadcast.
+TRACKED, MOST_TRACKED = 1 << 14, 1 << 19
+#: A sketch of frequent items that tracks m of them is off by at most 3.5 / m of all occurrences; an item that it does
+#: not name has at most twice that.
+SKETCH_ERROR = 3.5
 
 
 def term_counts(df: DataFrame, terms: Column, by: Sequence[str] = (), name: str = "term") -> DataFrame:
@@ -113,3 +120,38 @@ def vocabulary(df: DataFrame, text: str, size: int = 10_000, pattern: str = r"[\
     """The most frequent terms of two or more word characters, ties in alphabetical order."""
     words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), F.lit(0))
     return term_counts(df, words).orderBy(F.col("n").desc(), "term").limit(size)
+
+
+def _sketched(words: DataFrame, name: str, tracked: int) -> tuple[DataFrame, int]:
+    """Terms that a sketch names, stored, and the number of all occurrences."""
+    sketch = words.agg(F.expr(f"approx_top_k({name}, {tracked}, {tracked})").alias("top"), F.count(name).alias("total"))
+    stored = cut_lineage(sketch, "sketch")
+    return stored.select(F.explode("top").alias("_t")).select(F.col("_t.item").alias(name)), stored.first()["total"]
+
+
+def frequent_terms(df: DataFrame, terms: Column, k: int, name: str = "term", tracked: int = TRACKED) -> DataFrame:
+    """The ``k`` most frequent terms of an array column with exact counts ``n``, ties in order of the term.
+
+    The same rows as sorting ``term_counts``, but the long tail does not move: every task keeps a sketch of ``tracked``
+    terms, the sketches are merged, and only terms that the merged one names are counted, where the texts lie. A
+    term that it does not name stays below a known number of occurrences; if the k-th count is above that, or the
+    named terms make up all occurrences, nothing can be missing. If not, the sketch grows eightfold, and beyond
+    ``MOST_TRACKED`` terms all are counted by a shuffle. Null terms are left out; without terms there are no rows.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    words = df.select(F.explode(terms).alias(name)).filter(F.col(name).isNotNull())
+    best = [F.col("n").desc(), name]
+    tracked = max(tracked, k)
+    while tracked <= MOST_TRACKED:
+        named, total = _sketched(words, name, tracked)
+        # A sketch holds at most `tracked` terms, but terms can be long: the join looks at their size.
+        met = lookup_join(words, named, name, spread_by=[name], max_rows=MOST_TRACKED)
+        counted = cut_lineage(met.groupBy(name).agg(F.count(F.lit(1)).alias("n")), "frequent")
+        top = counted.orderBy(*best).limit(k)
+        least = top.agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("n")).first()
+        beyond = least["rows"] == k and least["n"] > 2 * SKETCH_ERROR * total / tracked
+        if beyond or total == (counted.agg(F.sum("n")).first()[0] or 0):
+            return top
+        tracked *= 8
+    return words.groupBy(name).agg(F.count(F.lit(1)).alias("n")).orderBy(*best).limit(k)

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from reviewloom.functions.text import WHITESPACE, tokens
+from reviewloom.functions.text import WHITESPACE, ngrams, tokens
 from reviewloom.operators import augment, bias, phrases, terms
 from reviewloom.operators.sampling import assign_splits
 from reviewloom.queries.base import REVIEWS, documents, query, reviews, sentences_sql, strip_sql, table, unit, words_sql
@@ -209,6 +209,16 @@ def vocabulary_top(spark, d):
     return terms.vocabulary(documents(spark, d), "text")
 
 
+_PAIRS = f"(select unnest(list_transform(range(1, len(k)), lambda i: k[i] || ' ' || k[i + 1])) as pair from (select {words_sql('text')} as k from documents))"
+
+
+@query("frequent_pairs", f"select pair, count(*) as n from {_PAIRS} group by pair order by n desc, pair limit 200")
+def frequent_pairs(spark, d):
+    """The 200 most frequent pairs of neighbouring words, counted without a shuffle of the rare ones."""
+    words = documents(spark, d).select(tokens("text").alias("words"))
+    return terms.frequent_terms(words, ngrams("words", 2), 200, "pair")
+
+
 @query(
     "text_features",
     rf"""with x(token, polarity) as (values {_POLARITY}), w as (select doc_id, unnest({words_sql('text')}) as token from documents),

@@ -14,6 +14,8 @@ from reviewloom.plans.session import shared_dir
 from reviewloom.queries.models import gap_sql, without
 from reviewloom.queries.base import clean_sql, documents, query, reviews, table, unit, words_sql
 from reviewloom.queries.stubs import VowelEncoder
+from reviewloom.sources.registry import Registry
+from reviewloom.streaming import intake
 from reviewloom.streaming import moderation as S
 
 COMPLAINT = ["thentre", "ation", "ouation", "shthe", "ingthe"]
@@ -69,6 +71,19 @@ def moderate_stream(spark, d):
     return spark.read.parquet(f"{home}/out").select(*_COLUMNS)
 
 
+@query("stream_resent", "select doc_id, text, lang, source from documents")
+def stream_resent(spark, d):
+    """All documents sent twice, the second time after a restart; every batch is a version of a dataset."""
+    home = shared_dir(spark, "intake")
+    registry = Registry(spark, f"{home}/registry")
+    rows = table(spark, d, "documents").select("doc_id", "text", "lang", "source")
+    for _sending in range(2):
+        rows.write.mode("append").parquet(f"{home}/in")
+        fresh = intake.first_arrivals(intake.read_arrivals(spark, f"{home}/in", rows.schema), "doc_id")
+        intake.keep_versions(fresh, registry, "submissions", f"{home}/checkpoint", available_now=True).awaitTermination()
+    return registry.read_versions("submissions", registry.versions("submissions")).select(*rows.columns)
+
+
 _FLAGSHIP_SQL = f"""
 with r as (select d.*, l.quality, l.toxic from documents d join labels l on d.doc_id = l.doc_id),
   k as (select * from (select *, row_number() over (partition by text order by doc_id) as rn from r) where rn = 1),

@@ -99,6 +99,24 @@ class Registry:
         df.write.parquet(self._path(name, version))
         return version
 
+    def write_batch(self, df: DataFrame, name: str, query: str, batch: int) -> int:
+        """Register a batch of a streaming query once, however often it is run; returns its version.
+
+        The version is noted before it is written. A batch whose version is finished leaves it as it is, but its rows
+        are run through, as the state of a streaming query moves on with them. Only one driver at a time may run a query.
+        """
+        notes = f"{self.root}/{name}/_batches/{query}/{batch}"
+        noted = self._children(notes)
+        version = int(noted[0]) if noted else self._claim(name)
+        if not noted:
+            fs, note = self._fs(f"{notes}/{version}")
+            fs.mkdirs(note)
+        if self._finished(name, version):
+            df.write.format("noop").mode("overwrite").save()
+        else:
+            df.write.mode("overwrite").parquet(self._path(name, version))
+        return version
+
     # Registered-dataset forms of the table operators: read the latest version, write the next.
 
     def label_dataset(self, name: str, col: str, value) -> int:

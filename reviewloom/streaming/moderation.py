@@ -20,13 +20,20 @@ MAX_FILES = 1_000
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files_per_trigger: int = MAX_FILES
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    max_files_per_trigger: int = MAX_FILES,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Files of a folder as a stream; the schema is given, never guessed.
 
-    A batch takes at most ``max_files_per_trigger`` files, so a backlog is worked off in batches of bounded size.
+    A batch takes at most ``max_files_per_trigger`` files, or with ``max_bytes_per_trigger`` files of about that many
+    bytes together instead, so a backlog is worked off in batches of bounded size.
     """
-    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files_per_trigger).load(path)
+    bound = ("maxFilesPerTrigger", max_files_per_trigger) if max_bytes_per_trigger is None else ("maxBytesPerTrigger", max_bytes_per_trigger)
+    return spark.readStream.schema(schema).format(fmt).option(*bound).load(path)
 
 
 def requests_to_texts(stream: DataFrame, col: str = "value", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
