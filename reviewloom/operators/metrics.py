@@ -8,6 +8,9 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Classes whose k x k cells are laid out from one row.
+MAX_CLASSES = 2_000
+
 
 def _ratio(num: Column, den: Column, undefined: float | None = 0.0) -> Column:
     filler = F.lit(undefined) if undefined is not None else F.lit(None).cast("double")
@@ -31,18 +34,25 @@ def _counted(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame
     return (df.groupBy(*by) if by else df).agg(*aggs)
 
 
-def confusion(df: DataFrame, y: str, p: str) -> DataFrame:
+def confusion(df: DataFrame, y: str, p: str, zero_cells: bool = True) -> DataFrame:
     """k x k confusion matrix as ``(actual, predicted, n)`` with its zero cells.
 
     The classes are those seen in either column. The matrix is spread out from two exploded arrays of
-    class names, then filled from the counts.
+    class names, then filled from the counts. That needs all names in one row, so more than ``MAX_CLASSES`` fail;
+    without ``zero_cells`` any number goes, and only cells that occur are returned.
     """
     counts = (
         df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
         .groupBy(F.col(y).alias("actual"), F.col(p).alias("predicted"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    classes = counts.agg(F.array_union(F.collect_set("actual"), F.collect_set("predicted")).alias("_c"))
+    if not zero_cells:
+        return counts
+    # The names of one class column at a time, and never more of them than the matrix may have.
+    seen = counts.select("actual").union(counts.select("predicted")).distinct().limit(MAX_CLASSES + 1)
+    names = F.collect_list("actual")
+    too_many = F.raise_error(F.lit(f"more than {MAX_CLASSES} classes: use zero_cells=False"))
+    classes = seen.agg(F.when(F.size(names) > MAX_CLASSES, too_many).otherwise(names).alias("_c"))
     cells = classes.select("_c", F.explode("_c").alias("actual")).select("actual", F.explode("_c").alias("predicted"))
     return cells.join(counts, ["actual", "predicted"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 

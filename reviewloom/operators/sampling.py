@@ -46,6 +46,15 @@ def shuffle(df: DataFrame, id_col: str, seed: int = DEFAULT_SEED) -> DataFrame:
     return df.orderBy(seed_hash(seed, id_col), id_col)
 
 
+def shuffle_positions(df: DataFrame, id_col: str, seed: int = DEFAULT_SEED, name: str = "position") -> DataFrame:
+    """Every row with its place (from 1) in the order of ``shuffle``, for exports that are written in parts.
+
+    No global sort: rows meet by their leading hash digits, and counts per digits tell where each part begins. Rows
+    that share a key share its first place; rows without a key are left out.
+    """
+    return rank_by_hash(df.withColumn("_all", F.lit(0)), "_all", id_col, seed, name).drop("_all", "_n")
+
+
 def sample_n(df: DataFrame, n: int, id_col: str, seed: int = DEFAULT_SEED) -> DataFrame:
     """The first n rows in hash order (all of them when there are fewer), and rows that share the last one's key.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.operators.tables import drop_status, fix_timeline
+from reviewloom.operators.tables import fix_timeline
 
 # The questions whose ratings become columns.
 RATING_QUESTIONS = ("10001", "10002", "10003", "10004", "10005")
@@ -50,8 +50,13 @@ def load_submissions(
     keep: Sequence[str] = (),
     sort: bool = True,
 ) -> DataFrame:
-    """Unpack, drop removed submissions, fix the dates (newest first) and unpack the ratings."""
-    out = unpack_json(df, payload, schema, keep)
-    out = drop_status(out, "Status", "Removed")
+    """Unpack, drop removed submissions, fix the dates (newest first) and unpack the ratings.
+
+    Submissions without a status stay, unreadable payloads as rows of nulls. A payload is parsed once: removed ones go
+    before they are laid out as rows, where a filter on a column would be pushed below the parse and repeat it.
+    """
+    schema = schema if schema is not None else infer_payload_schema(df, payload)
+    staying = F.filter(F.array(F.from_json(payload, schema)), lambda p: ~p["Status"].eqNullSafe(F.lit("Removed")))
+    out = df.select(*keep, F.inline(staying))
     out = pivot_ratings(out, "Ratings")
     return fix_timeline(out, "DateSubmitted", sort=sort)

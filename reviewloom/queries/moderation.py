@@ -140,11 +140,11 @@ def complaints_rule(spark, d):
     return out.select("doc_id", missing.alias("missing"), (missing | F.col("complaint").isin(0, 1)).alias("valid"))
 
 
-def _judged(out, key, name):
+def _judged(out, key, name, *more):
     """Is a prediction missing, and if not, is it the class whose probability is given?"""
     p = F.col(f"{name}_probability")
     missing = F.col(name).isNull()
-    return out.select(key, missing.alias("missing"), ((missing & p.isNull()) | (F.col(name).isin(0, 1) & p.between(0.5, 1))).alias("valid"))
+    return out.select(key, missing.alias("missing"), ((missing & p.isNull()) | (F.col(name).isin(0, 1) & p.between(0.5, 1))).alias("valid"), *more)
 
 
 @query("nae_rule", f"select doc_id, text is null or {gap_sql('doc_id')} as missing, true as valid from documents")
@@ -155,8 +155,16 @@ def nae_rule(spark, d):
     return _judged(R.nae_rule(rows, model), "doc_id", "not_an_experience")
 
 
-@query("uninformative_rule", f"select vec_id, embedding is null or {gap_sql('vec_id')} as missing, true as valid from embeddings")
+@query(
+    "uninformative_rule",
+    f"""select vec_id, missing, true as valid, case when not missing then cast(vec_id % 2 as int) end as uninformative
+    from (select vec_id, embedding is null or {gap_sql('vec_id')} as missing from embeddings)""",
+)
 def uninformative_rule(spark, d):
-    rows = without(table(spark, d, "embeddings"), "vec_id", "embedding").withColumn("y", (F.col("label") < 5).cast("int"))
+    """Vectors with one more component that tells odd ids from even ones, so that the class is known beforehand."""
+    rows = without(table(spark, d, "embeddings"), "vec_id", "embedding").withColumn("y", (F.col("vec_id") % 2).cast("int"))
+    signal = F.array((F.col("y") * 20 - 10).cast("float"))
+    rows = rows.withColumn("embedding", F.concat("embedding", signal))
     model = train.train(train.with_features(rows, "embedding", "y"), "logistic_regression", {"C": 1.0})
-    return _judged(R.uninformative_rule(rows.select("vec_id", "embedding"), "embedding", model), "vec_id", "uninformative")
+    out = R.uninformative_rule(rows.select("vec_id", "embedding"), "embedding", model)
+    return _judged(out, "vec_id", "uninformative", F.col("uninformative").cast("int").alias("uninformative"))

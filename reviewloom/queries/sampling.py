@@ -43,6 +43,11 @@ def sample_n(spark, d):
     return sampling.sample_n(table(spark, d, "documents").select("doc_id", "text"), 100, "doc_id")
 
 
+@query("shuffle_positions", f"select doc_id, text, row_number() over (order by {by_hash('doc_id')}) as position from documents")
+def shuffle_positions(spark, d):
+    return sampling.shuffle_positions(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+
+
 @query("sample_large", f"select o_orderkey, o_totalprice from orders order by {by_hash('o_orderkey')} limit 12000")
 def sample_large(spark, d):
     """A sample beyond the size at which sorting on one task is right."""

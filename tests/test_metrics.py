@@ -84,3 +84,13 @@ def test_scorers(spark):
     assert M.scorer("accuracy")(df, "y", "p") == pytest.approx(0.7)
     with pytest.raises(ValueError):
         M.scorer("auc")(df, "y", "p")
+
+
+def test_confusion_of_many_classes(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, i) for i in range(30)] + [(0, 1)], "y int, p int")
+    assert M.confusion(rows, "y", "p").count() == 900
+    monkeypatch.setattr(M, "MAX_CLASSES", 29)
+    with pytest.raises(Exception, match="more than 29 classes"):
+        M.confusion(rows, "y", "p").collect()
+    cells = M.confusion(rows, "y", "p", zero_cells=False).collect()
+    assert sorted((r["actual"], r["predicted"], r["n"]) for r in cells) == sorted([(i, i, 1) for i in range(30)] + [(0, 1, 1)])

@@ -176,3 +176,14 @@ def test_fewer_digits_give_the_same_rows(pool, monkeypatch):
     for most in (60, 1):
         monkeypatch.setattr("reviewloom.plans.hash_rank.MAX_COUNTS", most)
         assert sorted(map(str, sampling.stratified_split(pool, "y", "id", 0.3).collect())) == expected
+
+
+def test_shuffle_positions(spark, pool):
+    """The places are those of the sorted order, whatever the partitions; repeated keys share one."""
+    order = [r["id"] for r in sampling.shuffle(pool, "id").collect()]
+    placed = sampling.shuffle_positions(pool.repartition(7), "id").collect()
+    assert sorted((r["position"], r["id"]) for r in placed) == list(enumerate(order, 1))
+    assert order != sorted(order)
+    twice = sampling.shuffle_positions(spark.createDataFrame([(1,), (1,), (None,), (2,)], "id long"), "id").collect()
+    assert sorted(r["id"] for r in twice) == [1, 1, 2]
+    assert len({r["position"] for r in twice if r["id"] == 1}) == 1
