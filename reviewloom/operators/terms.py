@@ -12,7 +12,9 @@ from reviewloom.plans.bounded import lookup_join
 from reviewloom.plans.session import cut_lineage
 
 #: Terms that a sketch tracks at first, and at most, and the size of all that may be broadcast.
-TRACKED, MOST_TRACKED = 1 << 14, 1 << 19
+TRACKED, MOST_TRACKED = 1 << 17, 1 << 19
+#: Sketches that one task merges.
+FAN_IN = 64
 #: A sketch of frequent items that tracks m of them is off by at most 3.5 / m of all occurrences; an item that it does
 #: not name has at most twice that.
 SKETCH_ERROR = 3.5
@@ -124,18 +126,29 @@ def vocabulary(df: DataFrame, text: str, size: int = 10_000, pattern: str = r"[\
 
 def _sketched(words: DataFrame, name: str, tracked: int) -> tuple[DataFrame, int]:
     """Terms that a sketch names, stored, and the number of all occurrences."""
-    sketch = words.agg(F.expr(f"approx_top_k({name}, {tracked}, {tracked})").alias("top"), F.count(name).alias("total"))
-    stored = cut_lineage(sketch, "sketch")
-    return stored.select(F.explode("top").alias("_t")).select(F.col("_t.item").alias(name)), stored.first()["total"]
+    tasks = words.rdd.getNumPartitions()
+    begin = F.expr(f"approx_top_k_accumulate({name}, {tracked})").alias("sketch")
+    merge = F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")
+    # A tree: no task merges more than FAN_IN sketches, however many tasks made them.
+    groups = -(-tasks // FAN_IN)
+    part = words.withColumn("_part", F.spark_partition_id() % groups)
+    level = part.groupBy("_part").agg(begin, F.count(name).alias("total"))
+    while groups > 1:
+        groups = -(-groups // FAN_IN)
+        level = level.groupBy((F.col("_part") % groups).alias("_part")).agg(merge, F.sum("total").alias("total"))
+    top = F.expr(f"approx_top_k_estimate(sketch, {tracked})").alias("top")
+    stored = cut_lineage(level.select(top, "total"), "sketch")
+    total = stored.agg(F.sum("total")).first()[0] or 0
+    return stored.select(F.explode("top").alias("_t")).select(F.col("_t.item").alias(name)), total
 
 
 def frequent_terms(df: DataFrame, terms: Column, k: int, name: str = "term", tracked: int = TRACKED) -> DataFrame:
     """The ``k`` most frequent terms of an array column with exact counts ``n``, ties in order of the term.
 
     The same rows as sorting ``term_counts``, but the long tail does not move: every task keeps a sketch of ``tracked``
-    terms, the sketches are merged, and only terms that the merged one names are counted, where the texts lie. A
+    terms, the sketches are merged in a tree, and only terms that the merged one names are counted, where the texts lie. A
     term that it does not name stays below a known number of occurrences; if the k-th count is above that, or the
-    named terms make up all occurrences, nothing can be missing. If not, the sketch grows eightfold, and beyond
+    named terms make up all occurrences, nothing can be missing. If not, the sketch grows fourfold, and beyond
     ``MOST_TRACKED`` terms all are counted by a shuffle. Null terms are left out; without terms there are no rows.
     """
     if k < 1:
@@ -153,5 +166,5 @@ def frequent_terms(df: DataFrame, terms: Column, k: int, name: str = "term", tra
         beyond = least["rows"] == k and least["n"] > 2 * SKETCH_ERROR * total / tracked
         if beyond or total == (counted.agg(F.sum("n")).first()[0] or 0):
             return top
-        tracked *= 8
+        tracked *= 4
     return words.groupBy(name).agg(F.count(F.lit(1)).alias("n")).orderBy(*best).limit(k)

@@ -29,6 +29,14 @@ def test_equal_to_counting_all(spark, monkeypatch, tracked, most):
             assert got == _counted(lists, k), (len(lists), k)
 
 
+def test_sketches_merged_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(terms, "FAN_IN", 2)
+    lists = [[f"w{i % 7}", f"w{i % 3}", "w0"] for i in range(500)]
+    df = spark.createDataFrame([(ts,) for ts in lists], "words array<string>").repartition(9)
+    got = [tuple(r) for r in terms.frequent_terms(df, F.col("words"), 4, tracked=16).collect()]
+    assert got == _counted(lists, 4)
+
+
 def test_one_small_sketch_is_enough_for_a_large_head(spark, monkeypatch):
     steps = []
     sketched = terms._sketched
