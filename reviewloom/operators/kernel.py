@@ -23,6 +23,23 @@ def _waves(gamma: float, size: int, dims: int, seed: int) -> tuple[np.ndarray, n
     return draw.normal(0.0, np.sqrt(2.0 * gamma), (dims, size)), draw.uniform(0.0, 2.0 * np.pi, size)
 
 
+#: Numbers that are made at a time.
+_CHUNK = 1 << 17
+
+
+def _in_chunks(batches: Iterator[pd.Series], gamma: float, size: int, dims: int, seed: int) -> Iterator[pd.Series]:
+    """Features of the vectors in some thousand numbers at a time, however many rows a batch has."""
+    directions, phases = _waves(gamma, size, dims, seed)
+    rows = max(_CHUNK // max(size, dims), 1)
+    for x in batches:
+        for start in range(0, len(x), rows):
+            out = np.stack(x.iloc[start : start + rows].to_numpy()) @ directions
+            out += phases
+            np.cos(out, out=out)
+            out *= np.sqrt(2.0 / size)
+            yield pd.Series(list(out))
+
+
 class FourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Vectors whose inner products approach exp(-gamma * squared distance) as ``size`` grows.
 
@@ -56,13 +73,7 @@ class FourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable)
 
         @F.pandas_udf("array<double>")
         def waves(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            directions, phases = _waves(gamma, size, dims, seed)
-            for x in batches:
-                if not len(x):
-                    yield pd.Series([], dtype=object)
-                    continue
-                out = np.cos(np.stack(x.to_numpy()) @ directions + phases) * np.sqrt(2.0 / size)
-                yield pd.Series(list(out))
+            return _in_chunks(batches, gamma, size, dims, seed)
 
         made = array_to_vector(waves(vector_to_array(F.col(self.getOrDefault("inputCol")))))
         return dataset.withColumn(self.getOrDefault("outputCol"), made)

@@ -157,6 +157,28 @@ def test_fourier_features_approach_the_kernel(spark):
         FourierFeatures(inputCol=train.FEATURES, outputCol="w", gamma=0.0, size=2, dims=3).transform(df)
 
 
+def test_fourier_features_of_a_large_batch_in_little_memory():
+    """What one batch needs beyond itself does not grow with its rows."""
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from reviewloom.operators import kernel
+
+    points = np.random.default_rng(1).normal(size=(20_001, 3))
+    directions, phases = kernel._waves(0.7, 512, 3, 42)
+    done = 0
+    tracemalloc.start()
+    for part in kernel._in_chunks(iter([pd.Series([], dtype=object), pd.Series(list(points))]), 0.7, 512, 3, 42):
+        want = np.cos(points[done : done + len(part)] @ directions + phases) * np.sqrt(2.0 / 512)
+        assert np.allclose(np.stack(part.to_numpy()), want, rtol=0, atol=1e-12)
+        done += len(part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert done == 20_001 and peak < 30e6  # all features at once are 82 MB
+
+
 def test_kernel_with_three_classes_and_missing_vectors(spark):
     """Rings around the origin: a kernel machine parts them, and rows without a vector get no prediction."""
     rows = [(i, [(1 + 2 * (i % 3)) * math.cos(i), (1 + 2 * (i % 3)) * math.sin(i)], i % 3) for i in range(300)] + [(999, None, 1)]
