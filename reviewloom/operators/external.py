@@ -7,12 +7,14 @@ so that a repeated task overwrites rather than adds.
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,11 @@ from reviewloom.operators.sampling import balance, sample_n
 from reviewloom.operators.tables import concat_datasets, split_slice
 from reviewloom.plans.session import cut_lineage
 
+# Calls handed to the threads before the oldest is waited for, per thread; replies that go back at a time.
+_AHEAD = 8
+_REPLY_CHARS = 1 << 20
+_REPLY_ROWS = 1_000
+
 
 @dataclass(frozen=True)
 class EndpointDetails:
@@ -88,22 +95,51 @@ def generate(
         ]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = client_factory()
         with ThreadPoolExecutor(threads) as pool:
-            for batch in batches:
-                answers = pool.map(
-                    lambda p: _with_retries(lambda: client.generate(p, n), attempts, wait), batch[prompt_col]
-                )
-                out = []
-                for key, (texts, error) in zip(batch[id_col], answers):
-                    if texts is None:
-                        out.append((key, 0, None, error))
-                    else:
-                        out.extend((key, i, text, None) for i, text in enumerate(texts, start=1))
-                yield pd.DataFrame(out, columns=[id_col, "reply_no", "text", "error"])
-
-    return rows.mapInPandas(run, schema)
+            yield from _replies(batches, lambda p: _with_retries(lambda: client.generate(p, n), attempts, wait), pool, threads)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _replies(batches: Iterator[pa.RecordBatch], ask: Callable, pool: ThreadPoolExecutor, threads: int) -> Iterator[pa.RecordBatch]:
+    """Replies to batches of ``(id, prompt)``, in their order and some megabytes at a time.
+
+    Few calls wait for a thread, so neither prompts nor replies of a whole batch are held as Python objects.
+    """
+    waiting: deque = deque()
+    out: list[tuple] = []
+    size, kind = 0, None
+
+    def flush() -> pa.RecordBatch:
+        nonlocal out, size
+        keys, numbers, texts, errors = zip(*out)
+        out, size = [], 0
+        columns = [pa.array(keys, kind.type), pa.array(numbers, pa.int32()), pa.array(texts, pa.string(), from_pandas=True), pa.array(errors, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, [kind.name, "reply_no", "text", "error"])
+
+    def take() -> None:
+        nonlocal size
+        key, call = waiting.popleft()
+        texts, error = call.result()
+        out.extend([(key, 0, None, error)] if texts is None else [(key, i, text, None) for i, text in enumerate(texts, start=1)])
+        size += sum(len(t) for t in texts or () if isinstance(t, str))
+
+    for batch in batches:
+        kind = batch.schema.field(0)
+        for key, prompt in zip(batch.column(0), batch.column(1)):
+            waiting.append((key.as_py(), pool.submit(ask, prompt.as_py())))
+            if len(waiting) >= _AHEAD * threads:
+                take()
+            if size >= _REPLY_CHARS or len(out) >= _REPLY_ROWS:
+                yield flush()
+    while waiting:
+        take()
+        if size >= _REPLY_CHARS or len(out) >= _REPLY_ROWS:
+            yield flush()
+    if out:
+        yield flush()
 
 
 def rewrite(

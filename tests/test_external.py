@@ -35,6 +35,39 @@ def test_retries_stop_after_the_last_attempt(spark, prompts):
     assert many == {f"p{i}" for i in range(60) if digit(f"prompt {i}") == "f"}
 
 
+def test_replies_to_a_large_batch_in_little_memory():
+    """One batch of long prompts: neither they nor their replies are all held as Python objects."""
+    import tracemalloc
+    from concurrent.futures import ThreadPoolExecutor
+
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"k": list(range(4000)), "p": [f"{i:>10000}" for i in range(4000)]})
+    keys = []
+    with ThreadPoolExecutor(2) as pool:
+        tracemalloc.start()
+        for part in X._replies(iter([batch, batch.slice(0, 0)]), lambda p: ([p, None], None) if p[-1] != "7" else (None, "E: no"), pool, 2):
+            for row in part.to_pylist() if len(keys) < 200 else ():
+                want = (row["reply_no"], row["text"], row["error"])
+                assert want in ((1, f"{row['k']:>10000}", None), (2, None, None), (0, None, "E: no")) and list(row) == ["k", "reply_no", "text", "error"]
+            keys.extend(part.column(0).to_pylist())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert keys == [k for k in range(4000) for _ in range(1 if k % 10 == 7 else 2)]
+    assert peak < 10e6  # the prompts are 40 MB
+
+
+@pytest.mark.parametrize(
+    "ids", ["nullif(id, 2L)", "encode(string(id), 'utf-8')", "timestamp_micros(id * 1000001)", "cast(id as decimal(20,2))", "date_add(date'2020-01-01', int(id))"]
+)
+def test_ids_keep_their_type(spark, ids):
+    df = spark.range(5).selectExpr(f"{ids} as id", "string(id) as prompt")
+    out = X.generate(df, stubs.EchoWriter, id_col="id")
+    assert out.schema["id"].dataType == df.schema["id"].dataType
+    want = sorted(str((r["id"], f"1|{r['prompt']}")) for r in df.collect() if not refused(r["prompt"]))
+    assert sorted(str((r["id"], r["text"])) for r in out.filter("error is null").collect()) == want
+
+
 def test_rewrite_dataset_quarantines(spark):
     registry = Registry(spark, shared_dir(spark, "registry"))
     df = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(99, None)], "id int, text string")
