@@ -68,6 +68,22 @@ def test_ids_keep_their_type(spark, ids):
     assert sorted(str((r["id"], r["text"])) for r in out.filter("error is null").collect()) == want
 
 
+def test_retrying_keeps_no_prompts():
+    writer = stubs.FlakyWriter()
+    for i in range(2000):
+        prompt = f"{i} " + "x" * 100
+        for _ in range(5):
+            try:
+                assert writer.generate(prompt, 1) == [f"plain: {prompt}"] and not refused(prompt)
+                break
+            except TimeoutError:
+                pass
+        else:
+            assert refused(prompt)
+    held = [vars(writer), vars(writer.__dict__.get("last", writer))]
+    assert all(len(v) < 2000 for h in held for v in h.values() if hasattr(v, "__len__"))
+
+
 def test_rewrite_dataset_quarantines(spark):
     registry = Registry(spark, shared_dir(spark, "registry"))
     df = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(99, None)], "id int, text string")
