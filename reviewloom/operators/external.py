@@ -23,7 +23,11 @@ from reviewloom.functions.hashing import DEFAULT_SEED
 from reviewloom.functions.text import parse_reply, prefix_text
 from reviewloom.operators.sampling import balance, sample_n
 from reviewloom.operators.tables import concat_datasets, split_slice
-from reviewloom.plans.session import cut_lineage
+from reviewloom.plans.session import cut_lineage, shared_dir
+
+#: Bytes of prompts that one of a bounded number of tasks takes per wave; of a row besides its prompt.
+WAVE_BYTES = 128 * 1024 * 1024
+_ROW_BYTES = 16
 
 # Calls handed to the threads before the oldest is waited for, per thread; replies that go back at a time.
 _AHEAD = 8
@@ -81,11 +85,10 @@ def generate(
     """n replies per prompt as ``(id, reply_no, text, error)``; a failed prompt is one row with an error.
 
     ``concurrency`` bounds the number of tasks that call the service at a time, ``threads`` the calls in
-    flight in each.
+    flight in each. Prompts beyond ``WAVE_BYTES`` for each of these tasks are sent in waves, one after the other, and
+    the replies are stored in the shared folder before this returns; fewer are sent when the result is used.
     """
     rows = prompts.select(id_col, prompt_col)
-    if concurrency:
-        rows = rows.repartition(concurrency, id_col)
     schema = T.StructType(
         [
             prompts.schema[id_col],
@@ -100,7 +103,14 @@ def generate(
         with ThreadPoolExecutor(threads) as pool:
             yield from _replies(batches, lambda p: _with_retries(lambda: client.generate(p, n), attempts, wait), pool, threads)
 
-    return rows.mapInArrow(run, schema)
+    if not concurrency:
+        return rows.mapInArrow(run, schema)
+    # The batches of a stream are bounded by its trigger.
+    size = 0 if rows.isStreaming else rows.agg(F.sum(F.octet_length(prompt_col).cast("bigint") + _ROW_BYTES)).first()[0] or 0
+    waves = -(-size // (concurrency * WAVE_BYTES))
+    if waves <= 1:
+        return rows.repartition(concurrency, id_col).mapInArrow(run, schema)
+    return _in_waves(rows, concurrency, waves, lambda part: part.mapInArrow(run, schema)).select(*schema.names)
 
 
 def _replies(batches: Iterator[pa.RecordBatch], ask: Callable, pool: ThreadPoolExecutor, threads: int) -> Iterator[pa.RecordBatch]:
@@ -142,6 +152,22 @@ def _replies(batches: Iterator[pa.RecordBatch], ask: Callable, pool: ThreadPoolE
         yield flush()
 
 
+def _in_waves(rows: DataFrame, tasks: int, waves: int, ask: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``ask`` of all rows, of one wave after the other, by at most ``tasks`` tasks at a time.
+
+    Rows are dealt by their content into ``tasks`` files a wave, written once; the results are read back from the shared folder.
+    """
+    spark = rows.sparkSession
+    path, results = shared_dir(spark, "waves"), shared_dir(spark, "replies")
+    dealt = rows.repartition(waves * tasks, *rows.columns).withColumn("_wave", F.pmod(F.spark_partition_id(), F.lit(waves)))
+    dealt.write.partitionBy("_wave").parquet(path)
+    waiting = spark.read.schema(dealt.schema).parquet(path)
+    for wave in range(waves):
+        part = ask(waiting.filter(F.col("_wave") == wave).drop("_wave").coalesce(tasks))
+        part.write.mode("append").parquet(results)
+    return spark.read.schema(part.schema).parquet(results)
+
+
 def rewrite(
     df: DataFrame,
     client_factory: Callable[[], TextClient],

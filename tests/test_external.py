@@ -84,6 +84,30 @@ def test_retrying_keeps_no_prompts():
     assert all(len(v) < 2000 for h in held for v in h.values() if hasattr(v, "__len__"))
 
 
+def test_waves_bound_what_one_task_reads(spark, prompts, monkeypatch):
+    """Beyond the bytes of a wave no more tasks call, but each takes part of one wave only."""
+    from pyspark import TaskContext
+
+    class Sited:
+        """Tells the task that took a prompt."""
+
+        def __init__(self):
+            self.site = f"{TaskContext.get().stageId()}.{TaskContext.get().partitionId()}"
+
+        def generate(self, prompt, n):
+            return [self.site] * n
+
+    plain = sorted(map(str, X.generate(prompts, stubs.EchoWriter, n=2, concurrency=3).collect()))
+    monkeypatch.setattr(X, "WAVE_BYTES", 200)
+    assert sorted(map(str, X.generate(prompts, stubs.EchoWriter, n=2, concurrency=3).collect())) == plain
+    taken = {}
+    for r in X.generate(prompts, Sited, concurrency=3).collect():
+        taken.setdefault(r["text"], set()).add(r["prompt_id"])
+    stages = [t.split(".")[0] for t in taken]
+    assert sum(map(len, taken.values())) == 60 and max(map(len, taken.values())) < 20
+    assert len(set(stages)) > 1 and max(map(stages.count, stages)) <= 3
+
+
 def test_rewrite_dataset_quarantines(spark):
     registry = Registry(spark, shared_dir(spark, "registry"))
     df = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(99, None)], "id int, text string")
