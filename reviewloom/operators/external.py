@@ -160,11 +160,11 @@ def _in_waves(rows: DataFrame, tasks: int, waves: int, ask: Callable[[DataFrame]
     spark = rows.sparkSession
     path, results = shared_dir(spark, "waves"), shared_dir(spark, "replies")
     dealt = rows.repartition(waves * tasks, *rows.columns).withColumn("_wave", F.pmod(F.spark_partition_id(), F.lit(waves)))
-    dealt.write.partitionBy("_wave").parquet(path)
+    dealt.write.partitionBy("_wave").parquet(path, compression="zstd")
     waiting = spark.read.schema(dealt.schema).parquet(path)
     for wave in range(waves):
         part = ask(waiting.filter(F.col("_wave") == wave).drop("_wave").coalesce(tasks))
-        part.write.mode("append").parquet(results)
+        part.write.mode("append").parquet(results, compression="zstd")
     return spark.read.schema(part.schema).parquet(results)
 
 
